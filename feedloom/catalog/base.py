@@ -41,6 +41,15 @@ def stamp(published: Column | str, name: str = "published") -> Column:
     return F.date_format(published, "yyyy-MM-dd HH:mm:ss").alias(name)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Group-ready partitions, as many as the cluster can use.
+
+    Pages built from table rows are small in bytes but costly to walk, and AQE would gather
+    them into a few partitions by size. A fixed number stays as it is.
+    """
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def scratch(spark: SparkSession, purpose: str) -> str:
     """A new folder name on the cluster's shared storage, for queries that write and read back."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from feedloom.catalog.base import query, sql_stamp, stamp, table
+from feedloom.catalog.base import query, spread, sql_stamp, stamp, table
 from feedloom.operators import pagination
 from feedloom.plans.entries import listing_candidates, site_entries
 
@@ -101,7 +101,8 @@ def _crawl_html(spark, sf_dir):
     )
     shown = F.when(_has_links(), article).otherwise("")
     return (
-        listed.groupBy("feed_name", "page_no")
+        spread(listed, "feed_name", "page_no")
+        .groupBy("feed_name", "page_no")
         .agg(F.array_sort(F.collect_list(F.struct("pos", shown.alias("a")))).alias("found"))
         .select(
             "feed_name",
@@ -119,7 +120,7 @@ WITH {FRONTIER}
 SELECT feed_name, link, 'Post ' || event_id AS title, {sql_stamp("date_trunc('day', ts)")} AS published FROM collected""")
 def crawl_entries(spark, sf_dir):
     """Full crawl: walk the pages, cut each site at its frontier, keep the first copy."""
-    rows = site_entries(_crawl_html(spark, sf_dir))
+    rows = site_entries(_crawl_html(spark, sf_dir), rules=["dated_articles"])
     return rows.select("feed_name", "link", "title", stamp("published"))
 
 
@@ -130,7 +131,7 @@ FROM shown WHERE page_no = 1
 QUALIFY row_number() OVER (PARTITION BY feed_name, link ORDER BY pos) = 1""")
 def first_page_entries(spark, sf_dir):
     """Incremental run: page 1 only."""
-    rows = site_entries(_crawl_html(spark, sf_dir), crawl=False)
+    rows = site_entries(_crawl_html(spark, sf_dir), crawl=False, rules=["dated_articles"])
     return rows.select("feed_name", "link", "title", stamp("published"))
 
 
@@ -139,7 +140,7 @@ WITH {SHOWN}
 SELECT feed_name, count(*) AS n_items, count(DISTINCT page_no) AS n_pages FROM shown GROUP BY feed_name""")
 def listing_items(spark, sf_dir):
     """Every item of every page, before any filter."""
-    rows = listing_candidates(_crawl_html(spark, sf_dir))
+    rows = listing_candidates(_crawl_html(spark, sf_dir), ["dated_articles"])
     return rows.groupBy("feed_name").agg(
         F.count(F.lit(1)).alias("n_items"), F.countDistinct("page_no").alias("n_pages")
     )

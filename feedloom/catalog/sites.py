@@ -6,7 +6,7 @@ The SQL states what the rule must find, straight from the orders.
 
 from pyspark.sql import functions as F
 
-from feedloom.catalog.base import query, sql_fallback, sql_stamp, stamp, table
+from feedloom.catalog.base import query, spread, sql_fallback, sql_stamp, stamp, table
 from feedloom.plans import entries as plans
 
 SITE = "'site-' || o_orderkey // 20"
@@ -30,6 +30,10 @@ def _written(form):
     return F.date_format("o_orderdate", form)
 
 
+def _site():
+    return _text("site-", F.floor(_key() / 20).cast("string"))
+
+
 def _title():
     return _text("Order ", _key_text(), " ", F.col("o_orderpriority"))
 
@@ -41,9 +45,9 @@ def _same_link():
 
 
 def _pages(spark, sf_dir, rule, item, before="", after=""):
+    items = table(spark, sf_dir, "orders").select(_site().alias("feed_name"), "o_orderkey", item.alias("item"))
     return (
-        table(spark, sf_dir, "orders")
-        .select(_text("site-", F.floor(_key() / 20).cast("string")).alias("feed_name"), "o_orderkey", item.alias("item"))
+        spread(items, "feed_name")
         .groupBy("feed_name")
         .agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "item"))).alias("found"))
         .select(
@@ -88,7 +92,7 @@ SELECT {SITE} AS feed_name, link, {TITLE} AS title, {TITLE} AS description,
        {sql_stamp(f"CASE WHEN o_orderkey % 6 = 5 THEN {sql_fallback('link')} ELSE {DAY} END")} AS published
 FROM o""")
 def site_news_cards(spark, sf_dir):
-    return _shown(plans.site_entries(_news_pages(spark, sf_dir)), "description", "category")
+    return _shown(plans.site_entries(_news_pages(spark, sf_dir), rules=["news_cards"]), "description", "category")
 
 
 @query(f"""
@@ -97,7 +101,7 @@ SELECT {SITE} AS feed_name, count(*) + 1 AS links_found,
        count(*) FILTER (WHERE {NEWS_OK}) AS valid_entries
 FROM orders GROUP BY 1""")
 def extraction_quality(spark, sf_dir):
-    return plans.extraction_quality(plans.listing_candidates(_news_pages(spark, sf_dir))).select(
+    return plans.extraction_quality(plans.listing_candidates(_news_pages(spark, sf_dir), ["news_cards"])).select(
         "feed_name", "links_found", "unknown_structures", "valid_entries"
     )
 
@@ -132,7 +136,7 @@ def site_research_cards(spark, sf_dir):
         "<section>", outer, "<div>", beside, '<a href="', href, '">', label, own, "</a></div></section>",
     )
     pages = _pages(spark, sf_dir, "research_cards", item, '<p class="detail-m">Jan 1, 1990</p><a href="/research/">x</a>')
-    return _shown(plans.site_entries(pages), "category")
+    return _shown(plans.site_entries(pages, rules=["research_cards"]), "category")
 
 
 @query(f"""
@@ -164,11 +168,11 @@ def site_note_links(spark, sf_dir):
         F.when(_key() % 7 == 1, "some day").when(_key() % 7 == 2, _written("MMMM yyyy")).otherwise(_written("MMMM d, yyyy"))
     )
     details = table(spark, sf_dir, "orders").where(_key() % 7 != 0).select(
-        _text("site-", F.floor(_key() / 20).cast("string")).alias("feed_name"),
+        _site().alias("feed_name"),
         link.alias("link"),
         _text("<p>March 3, 1970</p><d-article><p> ", day, " </p><p>May 5, 1975</p></d-article>").alias("html"),
     )
-    return _shown(plans.site_entries(pages, details=details), "description")
+    return _shown(plans.site_entries(pages, details=details, rules=["note_links"]), "description")
 
 
 @query(f"""
@@ -198,7 +202,7 @@ def site_dyn_items(spark, sf_dir):
         '<div class="w-dyn-item x"', data, '><a href="', folder, "order-", _same_link(), '"', copy, "></a>",
         heading, "<span>by A on ", day, ".</span>", topic, about, "</div>",
     )
-    return _shown(plans.site_entries(_pages(spark, sf_dir, "dyn_items", item)), "description", "category")
+    return _shown(plans.site_entries(_pages(spark, sf_dir, "dyn_items", item), rules=["dyn_items"]), "description", "category")
 
 
 @query(f"""
@@ -228,7 +232,7 @@ def site_dated_articles(spark, sf_dir):
     pages = _pages(
         spark, sf_dir, "dated_articles", item, '<article><h1><a href="/out">outside</a></h1></article><div id="content">', "</div>"
     )
-    return _shown(plans.site_entries(pages), "description")
+    return _shown(plans.site_entries(pages, rules=["dated_articles"]), "description")
 
 
 def _listing_bodies(spark, sf_dir):
@@ -238,9 +242,9 @@ def _listing_bodies(spark, sf_dir):
         F.when(_key() % 11 != 0, _text("posts/", _key_text())).alias("s3Key"),
         F.when(_key() % 7 == 0, " ").otherwise(_text(_title(), " &amp; more")).alias("title"),
     )
+    rows = table(spark, sf_dir, "orders").select(_site().alias("feed_name"), "o_orderkey", row.alias("r"))
     return (
-        table(spark, sf_dir, "orders")
-        .select(_text("site-", F.floor(_key() / 20).cast("string")).alias("feed_name"), "o_orderkey", row.alias("r"))
+        spread(rows, "feed_name")
         .groupBy("feed_name")
         .agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "r"))).alias("found"))
         .select("feed_name", F.to_json(F.transform("found", lambda x: x["r"])).alias("body"))
@@ -290,11 +294,11 @@ def site_json_and_legacy(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").where(_key() % 4 != 0)
     both = F.explode(F.array(F.lit("posts/"), F.lit("old/")))
     details = orders.select("*", both.alias("folder")).select(
-        _text("site-", F.floor(_key() / 20).cast("string")).alias("feed_name"),
+        _site().alias("feed_name"),
         _text("https://brettski.net/", F.col("folder"), _key_text()).alias("link"),
         inside.alias("html"),
     )
-    rows = plans.site_entries(_legacy_pages(spark, sf_dir), _listing_bodies(spark, sf_dir), details)
+    rows = plans.site_entries(_legacy_pages(spark, sf_dir), _listing_bodies(spark, sf_dir), details, rules=["legacy_links"])
     return _shown(rows, "description")
 
 
@@ -307,11 +311,11 @@ def site_new_only(spark, sf_dir):
     known = table(spark, sf_dir, "orders").where(_key() % 6 == 4)
     both = F.explode(F.array(F.lit("posts/"), F.lit("old/")))
     stored = known.select("*", both.alias("folder")).select(
-        _text("site-", F.floor(_key() / 20).cast("string")).alias("feed_name"),
+        _site().alias("feed_name"),
         _text("https://brettski.net/", F.col("folder"), _key_text()).alias("link"),
         F.lit(0).cast("bigint").alias("seq"),
     )
-    rows = plans.site_entries(_legacy_pages(spark, sf_dir), _listing_bodies(spark, sf_dir), stored=stored)
+    rows = plans.site_entries(_legacy_pages(spark, sf_dir), _listing_bodies(spark, sf_dir), stored=stored, rules=["legacy_links"])
     return _shown(rows)
 
 
@@ -340,7 +344,7 @@ def site_time_articles(spark, sf_dir):
     item = _text(
         "<article>", heading, '<a href="/blog/order-', _same_link(), ending, '">go</a>', day, about, "</article>",
     )
-    return _shown(plans.site_entries(_pages(spark, sf_dir, "time_articles", item)), "description")
+    return _shown(plans.site_entries(_pages(spark, sf_dir, "time_articles", item), rules=["time_articles"]), "description")
 
 
 @query(f"""
@@ -373,9 +377,9 @@ def site_front_page(spark, sf_dir):
     item = _text(card, F.when((place > 0) & (place <= 5), side).when(place == 0, hero).otherwise(""))
     pages = _pages(spark, sf_dir, "front_page", item)
     details = table(spark, sf_dir, "orders").where(_key() % 3 != 0).select(
-        _text("site-", F.floor(_key() / 20).cast("string")).alias("feed_name"),
+        _site().alias("feed_name"),
         _text("https://itopfield.com.au/order-", _key_text()).alias("link"),
         _text('<head><meta name="author" content="z"><meta name="description" content=" A &amp;amp;\n B &quot;', _key_text(),
               '&quot; "></head><body><p>x</p></body>').alias("html"),
     )
-    return _shown(plans.site_entries(pages, details=details), "description", "category")
+    return _shown(plans.site_entries(pages, details=details, rules=["front_page"]), "description", "category")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -43,10 +44,34 @@ ZONES = {
 RFC822_PARSE = "d MMM yyyy HH:mm:ss Z"
 
 
+# What the letters of a date pattern can stand for. A short month name is exactly three
+# letters; "May" is long and short at once.
+_LETTERS = {
+    "MMMM": "(?:may|[a-z]{4,9})",
+    "MMM": "[a-z]{3}",
+    "MM": r"\d{2}",
+    "M": r"\d{1,2}",
+    "dd": r"\d{2}",
+    "d": r"\d{1,2}",
+    "yyyy": r"\d{4}",
+}
+
+
+def _shape(pattern: str) -> str:
+    return "(?i)^" + re.sub(r"M+|d+|y+", lambda m: _LETTERS[m.group()], pattern) + "$"
+
+
 def parse_date(text: Column, patterns: Sequence[str]) -> Column:
-    """First pattern that fits, as a UTC wall-clock time."""
+    """First pattern that fits, as a UTC wall-clock time.
+
+    A pattern is only tried on texts of its shape: refusing a text by parsing it costs an
+    exception per text and pattern.
+    """
     clean = collapse_space(text)
-    tried = [F.try_to_timestamp(clean, F.lit(p)).cast("timestamp_ntz") for p in patterns]
+    tried = [
+        F.when(F.rlike(clean, F.lit(_shape(p))), F.try_to_timestamp(clean, F.lit(p))).cast("timestamp_ntz")
+        for p in patterns
+    ]
     return F.coalesce(*tried)
 
 

@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import re
 import sys
+from bisect import bisect_right
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -53,15 +55,21 @@ class _Page(HTMLParser):
         self.first_string: list[int] = []
         self.last_string: list[int] = []
         self.strings: list[tuple[str, str]] = []
+        self.by_tag: dict[str, list[int]] = {}
+        self.found: dict[str, list[int]] = {}
         self._open: list[int] = []
         self.feed(markup)
         self.close()
         while self._open:
             self._shut(self._open.pop())
 
+    def updatepos(self, i: int, j: int) -> int:
+        return j  # nobody asks for line numbers
+
     def handle_starttag(self, tag: str, attrs) -> None:
         node = len(self.tags)
         self.tags.append(tag)
+        self.by_tag.setdefault(tag, []).append(node)
         self.attrs.append({k: v or "" for k, v in attrs})
         self.parent.append(self._open[-1] if self._open else -1)
         self.end.append(node)
@@ -116,36 +124,55 @@ def _tests(compound: str) -> list[Test]:
     return tests
 
 
-Selector = list[list[list[Test]]]
+@dataclass
+class _Selector:
+    """Alternatives, each a list of compounds from the outermost to the node itself."""
+
+    css: str
+    alternatives: list[list[list[Test]]]
+    tags: list[str] | None  # the only tags a match can have, when every alternative names one
 
 
-def _compile(selector: str) -> Selector:
-    """Alternatives, each a list of compounds from the outermost to the node itself."""
-    return [[_tests(c) for c in alternative.split()] for alternative in selector.split(",")]
+def _compile(css: str) -> _Selector:
+    parts = [alternative.split() for alternative in css.split(",")]
+    named = [re.match(r"[\w-]+", compounds[-1]) for compounds in parts]
+    tags = sorted({m.group() for m in named}) if all(named) else None
+    return _Selector(css, [[_tests(c) for c in compounds] for compounds in parts], tags)
 
 
-def _matches(page: _Page, node: int, selector: Selector) -> bool:
-    for compounds in selector:
-        rest = list(compounds)
+def _matches(page: _Page, node: int, selector: _Selector) -> bool:
+    for compounds in selector.alternatives:
         at = node
-        if not all(t(page.tags[at], page.attrs[at]) for t in rest.pop()):
+        if not all(t(page.tags[at], page.attrs[at]) for t in compounds[-1]):
             continue
-        while rest and (at := page.parent[at]) >= 0:
-            if all(t(page.tags[at], page.attrs[at]) for t in rest[-1]):
-                rest.pop()
-        if not rest:
+        open_compounds = len(compounds) - 1
+        while open_compounds and (at := page.parent[at]) >= 0:
+            if all(t(page.tags[at], page.attrs[at]) for t in compounds[open_compounds - 1]):
+                open_compounds -= 1
+        if not open_compounds:
             return True
     return False
 
 
-def _find(page: _Page, scope: int, selector: Selector, first: bool = False) -> list[int]:
+def _all_matches(page: _Page, selector: _Selector) -> list[int]:
+    """Matches on the whole page, in document order; worked out once per page."""
+    if selector.css not in page.found:
+        if selector.tags is None:
+            nodes: Sequence[int] = range(len(page.tags))
+        else:
+            nodes = sorted(n for tag in selector.tags for n in page.by_tag.get(tag, ()))
+        page.found[selector.css] = [n for n in nodes if _matches(page, n, selector)]
+    return page.found[selector.css]
+
+
+def _find(page: _Page, scope: int, selector: _Selector, first: bool = False) -> list[int]:
     """Descendants of ``scope`` (-1 is the page) that match, in document order."""
-    low, high = (0, len(page.tags)) if scope < 0 else (scope + 1, page.end[scope] + 1)
-    found = (n for n in range(low, high) if _matches(page, n, selector))
-    if first:
-        node = next(found, None)
-        return [] if node is None else [node]
-    return list(found)
+    found = _all_matches(page, selector)
+    low, high = 0, len(found)
+    if scope >= 0:
+        low = bisect_right(found, scope)
+        high = bisect_right(found, page.end[scope])
+    return found[low : min(high, low + 1)] if first else found[low:high]
 
 
 def select_nodes(markup: Column, selectors: Mapping[str, str]) -> Column:
@@ -174,15 +201,16 @@ def select_nodes(markup: Column, selectors: Mapping[str, str]) -> Column:
         "attrs: MAP<STRING, STRING>, strings: ARRAY<STRING>>>"
     )
     def walk(batch: pa.Array) -> pa.Array:
-        tests = {name: _compile(css) for name, css in named.items()}
+        tests = [(name, _compile(css)) for name, css in named.items()]
 
         def rows(text: str | None) -> list[dict]:
             if not text:
                 return []
             page = _Page(text)
+            hits = sorted((n, at) for at, (_, sel) in enumerate(tests) for n in _all_matches(page, sel))
             return [
                 {
-                    "selector": name,
+                    "selector": tests[at][0],
                     "pos": node,
                     "parent_pos": page.parent[node],
                     "end_pos": page.end[node],
@@ -190,9 +218,7 @@ def select_nodes(markup: Column, selectors: Mapping[str, str]) -> Column:
                     "attrs": list(page.attrs[node].items()),
                     "strings": page.strings_of(node),
                 }
-                for node in range(len(page.tags))
-                for name, selector in tests.items()
-                if _matches(page, node, selector)
+                for node, at in hits
             ]
 
         return pa.array([rows(t.as_py()) for t in batch], type=shape)
@@ -214,15 +240,11 @@ class _Section:
         ]
 
     def rows(self, page: _Page, rank: int) -> list[dict]:
-        memo: dict[tuple, list[int]] = {}  # siblings share their parent's look-ups
-
-        def look_up(scope: int, name: str, number: int, steps: list[Selector], every: bool) -> list[int]:
-            if (key := (scope, name, number)) not in memo:
-                inner = [scope]
-                for selector in steps[:-1]:
-                    inner = _find(page, inner[0], selector, first=True) if inner else []
-                memo[key] = _find(page, inner[0], steps[-1], first=not every) if inner else []
-            return memo[key]
+        def look_up(scope: int, steps: list[_Selector], every: bool) -> list[int]:
+            inner = [scope]
+            for selector in steps[:-1]:
+                inner = _find(page, inner[0], selector, first=True) if inner else []
+            return _find(page, inner[0], steps[-1], first=not every) if inner else []
 
         def node(n: int) -> dict:
             return {"attrs": list(page.attrs[n].items()), "strings": page.strings_of(n)}
@@ -233,6 +255,11 @@ class _Section:
                 near.append(page.parent[near[-1]])
             return near
 
+        # Most candidates of a rule match nothing on a given page.
+        live = [
+            (name, every, ancestors, [c for c in candidates if all(_all_matches(page, s) for s in c)])
+            for name, every, ancestors, candidates in self.fields
+        ]
         return [
             {
                 "section": rank,
@@ -242,10 +269,10 @@ class _Section:
                     (name, [
                         node(n)
                         for scope in scopes(item, ancestors)
-                        for number, steps in enumerate(candidates)
-                        for n in look_up(scope, name, number, steps, every)
+                        for steps in candidates
+                        for n in look_up(scope, steps, every)
                     ])
-                    for name, every, ancestors, candidates in self.fields
+                    for name, every, ancestors, candidates in live
                 ],
             }
             for item in _find(page, -1, self.items, self.first)

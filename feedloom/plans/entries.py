@@ -6,7 +6,8 @@ per row by ``by_rule``, so the page table is not read once per site.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,13 +24,25 @@ from feedloom.plans.sites import BASE_URLS
 from feedloom.session import cut_lineage
 
 
-def by_rule(choices: Mapping[str, Column], otherwise: Column | None = None) -> Column:
-    """The expression of the row's own rule; NULL (or ``otherwise``) for the rest."""
+Choice = Column | Callable[[], Column]
+
+
+def by_rule(
+    choices: Mapping[str, Choice], otherwise: Column | None = None, rules: Collection[str] | None = None
+) -> Column:
+    """The expression of the row's own rule; NULL (or ``otherwise``) for the rest.
+
+    Only the choices of ``rules`` are built, if given.
+    """
     chosen: Column | None = None
-    for rule, value in choices.items():
+    for rule, choice in choices.items():
+        if rules is not None and rule not in rules:
+            continue
         condition = F.col("rule_id") == rule
+        value = choice if isinstance(choice, Column) else choice()
         chosen = F.when(condition, value) if chosen is None else chosen.when(condition, value)
-    return chosen if otherwise is None else chosen.otherwise(otherwise)
+    rest = otherwise if otherwise is not None else F.lit(None)
+    return rest if chosen is None else chosen.otherwise(rest)
 
 
 def rules_where(test: Callable) -> Column:
@@ -78,93 +91,117 @@ def _first(name: str, reading: Callable[[Column], Column]) -> Column:
     return reading(F.get(_nodes(name), F.lit(0)))
 
 
-def listing_candidates(pages: DataFrame) -> DataFrame:
+def listing_candidates(pages: DataFrame, rules: Collection[str] | None = None) -> DataFrame:
     """Every item of every listing page, resolved but neither filtered nor de-duplicated.
 
     ``usable`` is false for index pages and items without a link, ``valid`` tells whether
     the entry passes the checks of its rule. ``published`` is NULL where no date was read.
+    ``rules`` names the rules in use; pages of others are passed over.
     """
+    rules = [r for r in LAYOUTS if rules is None or r in rules]
     walked = _with_defaults(pages).select(
-        *PAGE, "base_url", F.inline(markup.select_items(F.col("html"), F.col("rule_id"), LAYOUTS))
+        *PAGE,
+        "base_url",
+        F.inline(markup.select_items(F.col("html"), F.col("rule_id"), {r: LAYOUTS[r] for r in rules})),
     )
 
+    def pick(choices: Mapping[str, Choice], otherwise: Column | None = None) -> Column:
+        return by_rule(choices, otherwise, rules)
+
     anchors = ["news_cards", "research_cards", "note_links"]
-    inner = ["dyn_items", "dated_articles", "legacy_links", "time_articles", "front_page"]
     item_href = F.col("item.attrs")["href"]
     link_href = F.get(_nodes("link"), F.lit(0))["attrs"]["href"]
-    walked = walked.withColumn(
-        "href", by_rule({r: item_href for r in anchors} | {r: link_href for r in inner})
+    walked = walked.withColumn("href", pick({r: item_href for r in anchors}, link_href))
+
+    href, base, item = F.col("href"), F.col("base_url"), F.col("item")
+    full = {r: partial(urls.absolute_url, href, base, POLICIES[r].url_mode) for r in rules}
+    plain_link = pick({r: f for r, f in full.items() if r not in ("time_articles", "front_page")})
+    link = pick(
+        {
+            "time_articles": lambda: urls.canonical_url(full["time_articles"]()),
+            "front_page": lambda: urls.strip_slashes(full["front_page"]()),
+        },
+        plain_link,
     )
 
-    href, base = F.col("href"), F.col("base_url")
-    full = {r: urls.absolute_url(href, base, POLICIES[r].url_mode) for r in anchors + inner}
-    full["time_articles"] = urls.canonical_url(full["time_articles"])
-    full["front_page"] = urls.strip_slashes(full["front_page"])
-
-    item = F.col("item")
-    whole_item = text.collapse_space(node_text(item))
-    titles = {
-        "news_cards": text.first_match(_texts("title", node_text)),
-        "research_cards": F.coalesce(
-            text.first_match(_texts("title", lambda n: text.collapse_space(node_text(n))), 5),
-            F.when(F.length(whole_item) >= 5, whole_item),
-        ),
-        "note_links": _first("title", node_text),
-        "dyn_items": F.coalesce(
-            text.null_if_blank(_first("title", tight_text)),
-            text.null_if_blank(F.get(_nodes("link"), F.lit(0))["attrs"]["data-cta-copy"]),
-            _first("other_title", tight_text),
-        ),
-        "dated_articles": _first("link", tight_text),
-        "legacy_links": _first("link", tight_text),
-        "time_articles": _first("title", tight_text),
-        "front_page": _first("link", tight_text),
-    }
+    def research_title() -> Column:
+        whole = text.collapse_space(node_text(item))
+        headings = _texts("title", lambda n: text.collapse_space(node_text(n)))
+        return F.coalesce(text.first_match(headings, 5), F.when(F.length(whole) >= 5, whole))
 
-    posted = dates.strip_posted_on(_first("date", tight_text))
-    last_date = tight_text(F.try_element_at(_nodes("date"), F.lit(-1)))
-    published = {
-        "news_cards": dates.first_date(_texts("date", node_text), DATE_PATTERNS["news_cards"]),
-        "research_cards": dates.first_date(_texts("date", node_text), DATE_PATTERNS["research_cards"]),
-        "dyn_items": dates.text_date(F.array_join(item["strings"], "")),
-        "dated_articles": F.coalesce(
-            dates.parse_date(dates.require_weekday(posted), DATE_PATTERNS["dated_articles"]),
-            dates.slug_date(href),
-        ),
-        "time_articles": dates.parse_date(
-            dates.strip_weekday(_first("date", tight_text), comma=True), DATE_PATTERNS["time_articles"]
-        ),
-        "front_page": dates.parse_date(last_date, DATE_PATTERNS["front_page"]),
-    }
+    title = pick(
+        {
+            "news_cards": lambda: text.first_match(_texts("title", node_text)),
+            "research_cards": research_title,
+            "note_links": lambda: _first("title", node_text),
+            "dyn_items": lambda: F.coalesce(
+                text.null_if_blank(_first("title", tight_text)),
+                text.null_if_blank(F.get(_nodes("link"), F.lit(0))["attrs"]["data-cta-copy"]),
+                _first("other_title", tight_text),
+            ),
+            "dated_articles": lambda: _first("link", tight_text),
+            "legacy_links": lambda: _first("link", tight_text),
+            "time_articles": lambda: _first("title", tight_text),
+            "front_page": lambda: _first("link", tight_text),
+        }
+    )
 
-    categories = {
-        "news_cards": text.first_category(_texts("category", node_text), "News"),
-        "research_cards": text.url_category(href),
-        "dyn_items": F.coalesce(
-            text.null_if_blank(_first("category", tight_text)),
-            text.null_if_blank(item["attrs"]["data-category"]),
-        ),
-        "front_page": text.null_if_blank(_first("category", tight_text)),
-    }
+    def any_date(rule: str) -> Column:
+        return dates.first_date(_texts("date", node_text), DATE_PATTERNS[rule])
 
-    descriptions = {
-        "note_links": _first("description", node_text),
-        "dyn_items": text.null_if_blank(_first("description", tight_text)),
-        "dated_articles": text.first_paragraph(_texts("description", spaced_text), "equals"),
-        "time_articles": text.first_paragraph(_texts("description", spaced_text), "prefix"),
-    }
+    def posted_date() -> Column:
+        posted = dates.strip_posted_on(_first("date", tight_text))
+        listed = dates.parse_date(dates.require_weekday(posted), DATE_PATTERNS["dated_articles"])
+        return F.coalesce(listed, dates.slug_date(href))
+
+    published = pick(
+        {
+            "news_cards": partial(any_date, "news_cards"),
+            "research_cards": partial(any_date, "research_cards"),
+            "dyn_items": lambda: dates.text_date(F.array_join(item["strings"], "")),
+            "dated_articles": posted_date,
+            "time_articles": lambda: dates.parse_date(
+                dates.strip_weekday(_first("date", tight_text), comma=True), DATE_PATTERNS["time_articles"]
+            ),
+            "front_page": lambda: dates.parse_date(
+                tight_text(F.try_element_at(_nodes("date"), F.lit(-1))), DATE_PATTERNS["front_page"]
+            ),
+        }
+    )
+
+    category = pick(
+        {
+            "news_cards": lambda: text.first_category(_texts("category", node_text), "News"),
+            "research_cards": lambda: text.url_category(href),
+            "dyn_items": lambda: F.coalesce(
+                text.null_if_blank(_first("category", tight_text)),
+                text.null_if_blank(item["attrs"]["data-category"]),
+            ),
+            "front_page": lambda: text.null_if_blank(_first("category", tight_text)),
+        }
+    )
+
+    description = pick(
+        {
+            "note_links": lambda: _first("description", node_text),
+            "dyn_items": lambda: text.null_if_blank(_first("description", tight_text)),
+            "dated_articles": lambda: text.first_paragraph(_texts("description", spaced_text), "equals"),
+            "time_articles": lambda: text.first_paragraph(_texts("description", spaced_text), "prefix"),
+        }
+    )
 
+    # A second source of one feed comes after the first.
+    section = F.when(F.col("rule_id") == "legacy_links", F.col("section") + 1).otherwise(F.col("section"))
     resolved = walked.select(
         *PAGE,
         "href",
-        # A second source of one feed comes after the first.
-        by_rule({"legacy_links": F.col("section") + 1}, F.col("section")).alias("section"),
+        section.alias("section"),
         "pos",
-        by_rule(full).alias("link"),
-        by_rule(titles).alias("title"),
-        by_rule(descriptions).alias("description"),
-        by_rule(categories).alias("category"),
-        by_rule(published).alias("published"),
+        link.cast("string").alias("link"),
+        title.cast("string").alias("title"),
+        description.cast("string").alias("description"),
+        category.cast("string").alias("category"),
+        published.cast("timestamp_ntz").alias("published"),
     )
     settled = _settle(resolved).withColumn("description", F.coalesce("description", "title"))
     return _judge(settled).select(*CANDIDATE)
@@ -286,6 +323,7 @@ def site_entries(
     details: DataFrame | None = None,
     stored: DataFrame | None = None,
     crawl: bool = True,
+    rules: Collection[str] | None = None,
 ) -> DataFrame:
     """Fresh entries of all sites.
 
@@ -294,13 +332,14 @@ def site_entries(
     ``details``  feed_name, link, html of the entries' own pages
     ``stored``   known entries: their links are left out before the detail pages are read
     ``crawl``    all pages up to the frontier, or (False) page 1 only
+    ``rules``    the rules in use, if known; fewer rules make a smaller plan
     """
     if not crawl and "page_no" in pages.columns:
         pages = pages.where("page_no = 1")
     embedded = pages.where("rule_id = 'embedded_json'")
     walked = pages.where("rule_id <> 'embedded_json'")
 
-    candidates = listing_candidates(walked)
+    candidates = listing_candidates(walked, rules)
     if crawl and "page_no" in pages.columns:
         # The crawl looks at the candidates several times; the pages are walked only once.
         candidates = crawl_candidates(cut_lineage(candidates), walked)
@@ -344,6 +383,8 @@ def site_entries(
         published.alias("published"),
         "seq",
     )
+    if rules is not None and "embedded_json" not in rules:
+        return fresh
     return fresh.unionByName(embedded_entries(embedded, stored))
 
 
