@@ -274,7 +274,7 @@ def stream_refresh_store(spark, sf_dir):
     """Page files as a stream into the store; a second run over the same files adds nothing."""
     root = scratch(spark, "stream")
     pages = dated_pages(spark, sf_dir)
-    # Two files a batch, so that later batches meet a store that is not empty.
+    # Three files a batch, so that later batches meet a store that is not empty.
     pages.unionByName(pages).repartition(6).write.parquet(f"{root}/pages")
     for checkpoint in ("first", "second"):
         stream_refresh(
@@ -285,7 +285,7 @@ def stream_refresh_store(spark, sf_dir):
             f"{root}/{checkpoint}",
             lambda batch: batch,
             "2024-06-01 00:00:00",
-            max_files=2,
+            max_files=3,
         ).awaitTermination()
     stored = store.read_entry_batches(spark, f"{root}/store")
     total = stored.groupBy("feed_name").agg(F.count(F.lit(1)).alias("n"))

@@ -6,7 +6,7 @@ The SQL states what the rule must find, straight from the orders.
 
 from pyspark.sql import functions as F
 
-from feedloom.catalog.base import query, spread, sql_fallback, sql_stamp, stamp, table
+from feedloom.catalog.base import ORACLES, query, spread, sql_fallback, sql_stamp, stamp, table
 from feedloom.plans import entries as plans
 
 SITE = "'site-' || o_orderkey // 20"
@@ -106,18 +106,7 @@ def extraction_quality(spark, sf_dir):
     )
 
 
-@query(f"""
-WITH o AS (
-  SELECT *, CASE WHEN o_orderkey % 7 = 0 THEN 'https://other.example/research/order-'
-                 ELSE 'https://www.anthropic.com/research/' || CASE WHEN o_orderkey % 5 = 0 THEN 'news/' ELSE '' END || 'order-' END
-            || o_orderkey AS link
-  FROM orders WHERE o_orderkey % 11 <> 0)
-SELECT {SITE} AS feed_name, link,
-       CASE WHEN o_orderkey % 3 = 0 THEN 'Plain link ' || o_orderkey ELSE {TITLE} END AS title,
-       CASE WHEN o_orderkey % 5 = 0 AND o_orderkey % 7 <> 0 THEN 'News' ELSE 'Research' END AS category,
-       {sql_stamp(f"CASE WHEN o_orderkey % 4 = 3 THEN {sql_fallback('link')} ELSE {DAY} END")} AS published
-FROM o""")
-def site_research_cards(spark, sf_dir):
+def _research_cards_pages(spark, sf_dir):
     day = _written("d MMM yyyy")
     stamped = _text('<p class="detail-m">', day, "</p>")
     href = (
@@ -135,21 +124,27 @@ def site_research_cards(spark, sf_dir):
     item = _text(
         "<section>", outer, "<div>", beside, '<a href="', href, '">', label, own, "</a></div></section>",
     )
-    pages = _pages(spark, sf_dir, "research_cards", item, '<p class="detail-m">Jan 1, 1990</p><a href="/research/">x</a>')
-    return _shown(plans.site_entries(pages, rules=["research_cards"]), "category")
+    far = '<p class="detail-m">Jan 1, 1990</p><a href="/research/">x</a>'
+    return _pages(spark, sf_dir, "research_cards", item, far)
 
 
 @query(f"""
 WITH o AS (
-  SELECT *, CASE o_orderkey % 3 WHEN 0 THEN 'https://red.anthropic.com/notes/' WHEN 1 THEN 'https://red.anthropic.com/'
-                 ELSE 'https://else.example/' END || o_orderkey AS link
-  FROM orders WHERE o_orderkey % 13 <> 0)
-SELECT {SITE} AS feed_name, link, {TITLE} AS title,
-       CASE WHEN o_orderkey % 5 = 0 THEN {TITLE} ELSE 'About ' || o_orderstatus END AS description,
-       {sql_stamp(f'''CASE WHEN o_orderkey % 7 IN (0, 1) THEN {sql_fallback('link')}
-                      WHEN o_orderkey % 7 = 2 THEN date_trunc('month', o_orderdate) ELSE {DAY} END''')} AS published
+  SELECT *, CASE WHEN o_orderkey % 7 = 0 THEN 'https://other.example/research/order-'
+                 ELSE 'https://www.anthropic.com/research/' || CASE WHEN o_orderkey % 5 = 0 THEN 'news/' ELSE '' END || 'order-' END
+            || o_orderkey AS link
+  FROM orders WHERE o_orderkey % 11 <> 0)
+SELECT {SITE} AS feed_name, link,
+       CASE WHEN o_orderkey % 3 = 0 THEN 'Plain link ' || o_orderkey ELSE {TITLE} END AS title,
+       CASE WHEN o_orderkey % 5 = 0 AND o_orderkey % 7 <> 0 THEN 'News' ELSE 'Research' END AS category,
+       {sql_stamp(f"CASE WHEN o_orderkey % 4 = 3 THEN {sql_fallback('link')} ELSE {DAY} END")} AS published
 FROM o""")
-def site_note_links(spark, sf_dir):
+def site_research_cards(spark, sf_dir):
+    rows = plans.site_entries(_research_cards_pages(spark, sf_dir), rules=["research_cards"])
+    return _shown(rows, "category")
+
+
+def _note_links_pages(spark, sf_dir):
     href = (
         F.when(_key() % 3 == 0, _text("/notes/", _key_text())).when(_key() % 3 == 1, _key_text()).otherwise(_text("https://else.example/", _key_text()))
     )
@@ -158,7 +153,10 @@ def site_note_links(spark, sf_dir):
         _text('<div class="description">About ', F.col("o_orderstatus"), "</div>")
     )
     item = _text('<a class="big note" href="', href, '">', heading, about, "</a>")
-    pages = _pages(spark, sf_dir, "note_links", item, '<div class="date">May 2020</div>')
+    return _pages(spark, sf_dir, "note_links", item, '<div class="date">May 2020</div>')
+
+
+def _note_links_details(spark, sf_dir):
     link = (
         F.when(_key() % 3 == 0, _text("https://red.anthropic.com/notes/", _key_text()))
         .when(_key() % 3 == 1, _text("https://red.anthropic.com/", _key_text()))
@@ -167,26 +165,29 @@ def site_note_links(spark, sf_dir):
     day = (
         F.when(_key() % 7 == 1, "some day").when(_key() % 7 == 2, _written("MMMM yyyy")).otherwise(_written("MMMM d, yyyy"))
     )
-    details = table(spark, sf_dir, "orders").where(_key() % 7 != 0).select(
+    return table(spark, sf_dir, "orders").where(_key() % 7 != 0).select(
         _site().alias("feed_name"),
         link.alias("link"),
         _text("<p>March 3, 1970</p><d-article><p> ", day, " </p><p>May 5, 1975</p></d-article>").alias("html"),
     )
-    return _shown(plans.site_entries(pages, details=details, rules=["note_links"]), "description")
 
 
 @query(f"""
 WITH o AS (
-  SELECT *, CASE WHEN o_orderkey % 10 = 9 THEN o_orderkey - 1 ELSE o_orderkey END AS owner,
-         CASE WHEN o_orderkey % 4 <> 0 THEN {DAY} END AS day
-  FROM orders WHERE o_orderkey % 11 <> 0),
-w AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY owner ORDER BY day IS NULL, o_orderkey) = 1)
-SELECT {SITE} AS feed_name, 'https://claude.com/blog/order-' || owner AS link, {TITLE} AS title,
-       CASE WHEN o_orderkey % 3 = 0 THEN {TITLE} ELSE 'R&D <' || o_orderkey || '>' END AS description,
-       CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority WHEN o_orderkey % 5 <> 0 THEN o_orderstatus END AS category,
-       {sql_stamp("day")} AS published
-FROM w""")
-def site_dyn_items(spark, sf_dir):
+  SELECT *, CASE o_orderkey % 3 WHEN 0 THEN 'https://red.anthropic.com/notes/' WHEN 1 THEN 'https://red.anthropic.com/'
+                 ELSE 'https://else.example/' END || o_orderkey AS link
+  FROM orders WHERE o_orderkey % 13 <> 0)
+SELECT {SITE} AS feed_name, link, {TITLE} AS title,
+       CASE WHEN o_orderkey % 5 = 0 THEN {TITLE} ELSE 'About ' || o_orderstatus END AS description,
+       {sql_stamp(f'''CASE WHEN o_orderkey % 7 IN (0, 1) THEN {sql_fallback('link')}
+                      WHEN o_orderkey % 7 = 2 THEN date_trunc('month', o_orderdate) ELSE {DAY} END''')} AS published
+FROM o""")
+def site_note_links(spark, sf_dir):
+    pages, details = _note_links_pages(spark, sf_dir), _note_links_details(spark, sf_dir)
+    return _shown(plans.site_entries(pages, details=details, rules=["note_links"]), "description")
+
+
+def _dyn_items_pages(spark, sf_dir):
     heading = (
         F.when(_key() % 3 == 0, _text("<h2>", _title(), "</h2>"))
         .when(_key() % 3 == 1, _text('<h2> </h2>'))
@@ -202,19 +203,26 @@ def site_dyn_items(spark, sf_dir):
         '<div class="w-dyn-item x"', data, '><a href="', folder, "order-", _same_link(), '"', copy, "></a>",
         heading, "<span>by A on ", day, ".</span>", topic, about, "</div>",
     )
-    return _shown(plans.site_entries(_pages(spark, sf_dir, "dyn_items", item), rules=["dyn_items"]), "description", "category")
+    return _pages(spark, sf_dir, "dyn_items", item)
 
 
 @query(f"""
 WITH o AS (
-  SELECT *, 'https://jamiehurst.co.uk/' || CASE WHEN o_orderkey % 3 = 1 THEN strftime(o_orderdate, '%Y-%m-%d') || '_' ELSE '' END
-         || 'order-' || o_orderkey AS link
-  FROM orders WHERE o_orderkey % 13 <> 0)
-SELECT {SITE} AS feed_name, link, {TITLE} || ' & more' AS title,
-       CASE WHEN o_orderkey % 4 = 0 THEN {TITLE} || ' & more' ELSE 'Some bold ' || o_orderstatus || ' text' END AS description,
-       {sql_stamp(f"CASE WHEN o_orderkey % 3 = 2 THEN {sql_fallback('link')} ELSE {DAY} END")} AS published
-FROM o""")
-def site_dated_articles(spark, sf_dir):
+  SELECT *, CASE WHEN o_orderkey % 10 = 9 THEN o_orderkey - 1 ELSE o_orderkey END AS owner,
+         CASE WHEN o_orderkey % 4 <> 0 THEN {DAY} END AS day
+  FROM orders WHERE o_orderkey % 11 <> 0),
+w AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY owner ORDER BY day IS NULL, o_orderkey) = 1)
+SELECT {SITE} AS feed_name, 'https://claude.com/blog/order-' || owner AS link, {TITLE} AS title,
+       CASE WHEN o_orderkey % 3 = 0 THEN {TITLE} ELSE 'R&D <' || o_orderkey || '>' END AS description,
+       CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority WHEN o_orderkey % 5 <> 0 THEN o_orderstatus END AS category,
+       {sql_stamp("day")} AS published
+FROM w""")
+def site_dyn_items(spark, sf_dir):
+    rows = plans.site_entries(_dyn_items_pages(spark, sf_dir), rules=["dyn_items"])
+    return _shown(rows, "description", "category")
+
+
+def _dated_articles_pages(spark, sf_dir):
     prefix = F.when(_key() % 3 == 1, _text(_written("yyyy-MM-dd"), "_")).otherwise("")
     day = (
         F.when(_key() % 3 == 0, _text("Posted on ", _written("EEEE MMMM d, yyyy")))
@@ -229,10 +237,22 @@ def site_dated_articles(spark, sf_dir):
         '<article><h1><a href="/', prefix, "order-", _key_text(), '"><b>', title, '</b></a></h1><p class="date">', day,
         '</p><div class="summary">', about, "</div></article>",
     )
-    pages = _pages(
-        spark, sf_dir, "dated_articles", item, '<article><h1><a href="/out">outside</a></h1></article><div id="content">', "</div>"
-    )
-    return _shown(plans.site_entries(pages, rules=["dated_articles"]), "description")
+    outside = '<article><h1><a href="/out">outside</a></h1></article>'
+    return _pages(spark, sf_dir, "dated_articles", item, f'{outside}<div id="content">', "</div>")
+
+
+@query(f"""
+WITH o AS (
+  SELECT *, 'https://jamiehurst.co.uk/' || CASE WHEN o_orderkey % 3 = 1 THEN strftime(o_orderdate, '%Y-%m-%d') || '_' ELSE '' END
+         || 'order-' || o_orderkey AS link
+  FROM orders WHERE o_orderkey % 13 <> 0)
+SELECT {SITE} AS feed_name, link, {TITLE} || ' & more' AS title,
+       CASE WHEN o_orderkey % 4 = 0 THEN {TITLE} || ' & more' ELSE 'Some bold ' || o_orderstatus || ' text' END AS description,
+       {sql_stamp(f"CASE WHEN o_orderkey % 3 = 2 THEN {sql_fallback('link')} ELSE {DAY} END")} AS published
+FROM o""")
+def site_dated_articles(spark, sf_dir):
+    rows = plans.site_entries(_dated_articles_pages(spark, sf_dir), rules=["dated_articles"])
+    return _shown(rows, "description")
 
 
 def _listing_bodies(spark, sf_dir):
@@ -319,19 +339,7 @@ def site_new_only(spark, sf_dir):
     return _shown(rows)
 
 
-@query(f"""
-WITH o AS (
-  SELECT *, 'https://www.pulumi.com/blog/order-' || o_orderkey AS link FROM orders
-  WHERE o_orderkey % 10 <> 9 AND o_orderkey % 13 <> 0
-  UNION ALL
-  -- The one before it was refused, so the copy of its link counts.
-  SELECT *, 'https://www.pulumi.com/blog/order-' || (o_orderkey - 1) FROM orders
-  WHERE o_orderkey % 10 = 9 AND (o_orderkey - 1) % 13 = 0 AND o_orderkey % 13 <> 0)
-SELECT {SITE} AS feed_name, link, {TITLE} AS title,
-       CASE WHEN o_orderkey % 4 = 0 THEN {TITLE} ELSE 'Text of ' || o_orderkey END AS description,
-       {sql_stamp(f"CASE WHEN o_orderkey % 6 = 5 THEN {sql_fallback('link')} ELSE {DAY} END")} AS published
-FROM o""")
-def site_time_articles(spark, sf_dir):
+def _time_articles_pages(spark, sf_dir):
     forms = ["EEEE, MMM d, yyyy", "EEEE, MMMM d, yyyy", "MMM d, yyyy", "MMMM d, yyyy", "EEEE, MMM d, yyyy"]
     day = F.lit("")
     for number, form in enumerate(forms):
@@ -344,21 +352,27 @@ def site_time_articles(spark, sf_dir):
     item = _text(
         "<article>", heading, '<a href="/blog/order-', _same_link(), ending, '">go</a>', day, about, "</article>",
     )
-    return _shown(plans.site_entries(_pages(spark, sf_dir, "time_articles", item), rules=["time_articles"]), "description")
+    return _pages(spark, sf_dir, "time_articles", item)
 
 
 @query(f"""
 WITH o AS (
-  SELECT *, CASE WHEN o_orderkey % 20 = 0 THEN 'Hero ' WHEN o_orderkey % 20 <= 5 THEN 'Side ' ELSE 'Card ' END AS part,
-         'https://itopfield.com.au/order-' || o_orderkey AS link
-  FROM orders)
-SELECT {SITE} AS feed_name, link, part || o_orderkey AS title,
-       CASE WHEN o_orderkey % 3 = 0 THEN part || o_orderkey ELSE 'A & B "' || o_orderkey || '"' END AS description,
-       CASE WHEN o_orderkey % 4 <> 0 THEN o_orderpriority END AS category,
-       {sql_stamp(f"CASE WHEN o_orderkey % 7 = 0 THEN {sql_fallback('link')} ELSE {DAY} END")} AS published
+  SELECT *, 'https://www.pulumi.com/blog/order-' || o_orderkey AS link FROM orders
+  WHERE o_orderkey % 10 <> 9 AND o_orderkey % 13 <> 0
+  UNION ALL
+  -- The one before it was refused, so the copy of its link counts.
+  SELECT *, 'https://www.pulumi.com/blog/order-' || (o_orderkey - 1) FROM orders
+  WHERE o_orderkey % 10 = 9 AND (o_orderkey - 1) % 13 = 0 AND o_orderkey % 13 <> 0)
+SELECT {SITE} AS feed_name, link, {TITLE} AS title,
+       CASE WHEN o_orderkey % 4 = 0 THEN {TITLE} ELSE 'Text of ' || o_orderkey END AS description,
+       {sql_stamp(f"CASE WHEN o_orderkey % 6 = 5 THEN {sql_fallback('link')} ELSE {DAY} END")} AS published
 FROM o""")
-def site_front_page(spark, sf_dir):
-    """The same link in three sections: hero before sidecar before cards."""
+def site_time_articles(spark, sf_dir):
+    rows = plans.site_entries(_time_articles_pages(spark, sf_dir), rules=["time_articles"])
+    return _shown(rows, "description")
+
+
+def _front_page_pages(spark, sf_dir):
     day = F.when(_key() % 7 == 0, "recently").otherwise(_written("MMMM d, yyyy"))
     topic = F.when(_key() % 4 != 0, _text('<a class="mp-cat">', F.col("o_orderpriority"), "</a>")).otherwise("")
     card = _text(
@@ -375,11 +389,75 @@ def site_front_page(spark, sf_dir):
     )
     place = _key() % 20
     item = _text(card, F.when((place > 0) & (place <= 5), side).when(place == 0, hero).otherwise(""))
-    pages = _pages(spark, sf_dir, "front_page", item)
-    details = table(spark, sf_dir, "orders").where(_key() % 3 != 0).select(
+    return _pages(spark, sf_dir, "front_page", item)
+
+
+def _front_page_details(spark, sf_dir):
+    return table(spark, sf_dir, "orders").where(_key() % 3 != 0).select(
         _site().alias("feed_name"),
         _text("https://itopfield.com.au/order-", _key_text()).alias("link"),
         _text('<head><meta name="author" content="z"><meta name="description" content=" A &amp;amp;\n B &quot;', _key_text(),
               '&quot; "></head><body><p>x</p></body>').alias("html"),
     )
+
+
+@query(f"""
+WITH o AS (
+  SELECT *, CASE WHEN o_orderkey % 20 = 0 THEN 'Hero ' WHEN o_orderkey % 20 <= 5 THEN 'Side ' ELSE 'Card ' END AS part,
+         'https://itopfield.com.au/order-' || o_orderkey AS link
+  FROM orders)
+SELECT {SITE} AS feed_name, link, part || o_orderkey AS title,
+       CASE WHEN o_orderkey % 3 = 0 THEN part || o_orderkey ELSE 'A & B "' || o_orderkey || '"' END AS description,
+       CASE WHEN o_orderkey % 4 <> 0 THEN o_orderpriority END AS category,
+       {sql_stamp(f"CASE WHEN o_orderkey % 7 = 0 THEN {sql_fallback('link')} ELSE {DAY} END")} AS published
+FROM o""")
+def site_front_page(spark, sf_dir):
+    """The same link in three sections: hero before sidecar before cards."""
+    pages, details = _front_page_pages(spark, sf_dir), _front_page_details(spark, sf_dir)
     return _shown(plans.site_entries(pages, details=details, rules=["front_page"]), "description", "category")
+
+
+WALKED = {
+    "news_cards": _news_pages,
+    "research_cards": _research_cards_pages,
+    "note_links": _note_links_pages,
+    "dyn_items": _dyn_items_pages,
+    "dated_articles": _dated_articles_pages,
+    "time_articles": _time_articles_pages,
+    "front_page": _front_page_pages,
+}
+
+
+def _named(df, rule):
+    return df.withColumn("feed_name", _text(rule, ":", F.col("feed_name")))
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{rule}:' || feed_name AS feed_name, link, title, description, published FROM ({sql})"
+        for rule, sql in (
+            ("news_cards", ORACLES["site_news_cards"]),
+            ("research_cards", ORACLES["site_research_cards"].replace("AS title,", "AS title, NULL AS description,", 1)),
+            ("note_links", ORACLES["site_note_links"]),
+            ("dyn_items", ORACLES["site_dyn_items"]),
+            ("dated_articles", ORACLES["site_dated_articles"]),
+            ("time_articles", ORACLES["site_time_articles"]),
+            ("front_page", ORACLES["site_front_page"]),
+        )
+    )
+)
+def site_all_rules(spark, sf_dir):
+    """All walked rules in one job: pages routed by the registry, one pass over the page table."""
+    pages, registry = None, None
+    for rule, build in WALKED.items():
+        named = _named(build(spark, sf_dir), rule)
+        pages = named if pages is None else pages.unionByName(named)
+    registry = pages.select("feed_name", "rule_id").distinct().withColumn("enabled", F.lit(None).cast("boolean"))
+    details = _named(_note_links_details(spark, sf_dir), "note_links").unionByName(
+        _named(_front_page_details(spark, sf_dir), "front_page")
+    )
+    routed = plans.route_pages(pages.drop("rule_id").withColumn("url", F.col("feed_name")), registry)
+    rows = plans.site_entries(routed, details=details, rules=list(WALKED))
+    # Research descriptions repeat the title and are not part of the SQL.
+    shown = F.when(F.col("rule_id") != "research_cards", F.col("description"))
+    return rows.select("feed_name", "link", "title", shown.alias("description"), stamp("published"))
