@@ -3,15 +3,16 @@
 from pyspark.sql import functions as F
 
 from feedloom.catalog.base import (
+    PAGE_ENTRIES,
     page_entries,
     query,
+    spread,
     sql_collapse,
     sql_fallback,
     sql_stamp,
     sql_unescape,
     stamp,
     table,
-    PAGE_ENTRIES,
 )
 from feedloom.functions import dates, markup, text, urls
 from feedloom.operators import extract
@@ -225,9 +226,9 @@ def embedded_articles(spark, sf_dir):
         F.lit("}" + " " * extract.ARTICLE_REACH),
     )
     # Twenty parts to a page, so a page never grows with the table.
+    articles = table(spark, sf_dir, "part").select(F.floor(key / 20).alias("page_id"), "p_partkey", article.alias("a"))
     pages = (
-        table(spark, sf_dir, "part")
-        .select(F.floor(key / 20).alias("page_id"), "p_partkey", article.alias("a"))
+        spread(articles, "page_id")
         .groupBy("page_id")
         .agg(F.array_sort(F.collect_list(F.struct("p_partkey", "a"))).alias("found"))
         .select(
@@ -263,9 +264,9 @@ def json_listing(spark, sf_dir):
         F.when(key % 11 != 0, F.concat(F.lit("/p/"), key.cast("string"))).alias("s3Key"),
         title.alias("title"),
     )
+    rows = table(spark, sf_dir, "events").select(F.floor(key / 20).alias("body_id"), row.alias("r"))
     bodies = (
-        table(spark, sf_dir, "events")
-        .select(F.floor(key / 20).alias("body_id"), row.alias("r"))
+        spread(rows, "body_id")
         .groupBy("body_id")
         .agg(F.to_json(F.collect_list("r")).alias("body"))
     )
