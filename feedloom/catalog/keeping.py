@@ -38,6 +38,7 @@ def cards(spark, sf_dir):
         F.when(key % 3 == 0, "").otherwise(F.concat(F.lit("Card "), key.cast("string"))).alias("title"),
         F.when(key % 4 == 0, F.date_trunc("second", "ts").cast("timestamp_ntz")).alias("published"),
         (key % 3).alias("section"),
+        "ts",
     )
 
 
@@ -102,9 +103,8 @@ merged AS (SELECT *, FALSE AS is_new FROM stored UNION ALL SELECT *, TRUE AS is_
 
 def halves(spark, sf_dir):
     early = F.col("ts") < F.lit("2024-01-03").cast("timestamp_ntz")
-    key = table(spark, sf_dir, "events").select(F.col("event_id").alias("pos"), "ts")
     columns = ["feed_name", "link", "title", "published", F.col("pos").alias("seq")]
-    timed = cards(spark, sf_dir).join(key, "pos").where(non_blank())
+    timed = cards(spark, sf_dir).where(non_blank())
     stored = dedupe.first_valid(timed.where(early), non_blank()).select(*columns)
     return timed.where(~early).select(*columns), stored
 

@@ -12,22 +12,26 @@ from feedloom.operators.joins import join_dimension
 
 
 def new_entries(
-    fresh: DataFrame, stored: DataFrame, keys: Sequence[str] = KEY, few: bool = False
+    fresh: DataFrame, stored: DataFrame, keys: Sequence[str] = KEY, unique: bool = False, few: bool = False
 ) -> DataFrame:
     """Fresh rows whose link the store does not hold.
 
     Put this before any costly work on the rows (detail pages, entity decoding): Spark does
-    not move a join below a Python function by itself. The store side is reduced to its
-    distinct keys, so copies of one link shrink before the shuffle.
-
-    ``few`` suits a fresh side that is small next to the store and cheap to read twice: the
-    store is first cut down to the keys of the fresh rows, for which Spark broadcasts those
-    keys when their measured size allows, so that the store is scanned but not shuffled.
+    not move a join below a Python function by itself.
+
+    ``unique`` says that no link comes twice in ``fresh``; then one join against the distinct
+    keys of the store does it. Otherwise one link may fill much of ``fresh``: the store is cut
+    down to the links that occur there at all, and the rows of a hot link are spread over
+    several tasks. ``few`` asks for the same cut when ``fresh`` is small next to the store:
+    Spark then broadcasts its keys if their measured size allows, and the store is scanned
+    but not shuffled. Cutting reads ``fresh`` twice.
     """
     known = stored.select(*keys)
-    if few:
+    if few or not unique:
         known = known.join(fresh.select(*keys).distinct(), list(keys), "left_semi")
-    return fresh.join(known.distinct(), list(keys), "left_anti")
+    if unique:
+        return fresh.join(known.distinct(), list(keys), "left_anti")
+    return join_dimension(fresh, known.distinct(), list(keys), "left_anti", spread_by=["seq"])
 
 
 def added_entries(
@@ -39,7 +43,7 @@ def added_entries(
     dates stored entries stay ahead of new ones.
     """
     last = stored.agg(F.max("seq")).scalar()
-    added = new_entries(first_by(fresh, ["seq"], keys), stored, keys, few)
+    added = new_entries(first_by(fresh, ["seq"], keys), stored, keys, unique=True, few=few)
     return added.withColumn("seq", F.col("seq") + F.coalesce(last, F.lit(-1).cast("bigint")) + F.lit(1))
 
 
@@ -66,7 +70,8 @@ def enrich_details(
 ) -> DataFrame:
     """Fill columns of listing rows from detail rows; what the detail lacks stays as it was.
 
-    One detail row per key is expected; the first under its values is kept if there are more.
+    The listing is de-duplicated before (one row per key), so no key can be hot. One detail
+    row per key is expected; the smallest values are taken if there are more.
     """
     detail = details.groupBy(*keys).agg(*[F.min(c).alias(f"_{c}") for c in columns])
     joined = listing.join(detail, list(keys), "left")
@@ -83,17 +88,16 @@ def refresh_entries(
     nothing of it; otherwise the two are merged. ``full`` may be a condition on
     ``feed_name``. A feed without fresh entries keeps what it has, in either mode.
     """
-    full = full if isinstance(full, Column) else F.lit(full)
+    always, full = full, full if isinstance(full, Column) else F.lit(full)
     known_feeds = stored.select("feed_name").distinct().withColumn("_known", F.lit(True))
-    fresh_feeds = fresh.select("feed_name").distinct().withColumn("_fresh", F.lit(True))
     split = join_dimension(fresh, known_feeds, ["feed_name"], "left", spread_by=["link"]).withColumn(
         "_replace", full | F.col("_known").isNull()
     )
     replacing = split.where("_replace").drop("_known", "_replace").withColumn("is_new", F.lit(True))
     merging = split.where(~F.col("_replace")).drop("_known", "_replace")
-    surviving = (
-        join_dimension(stored, fresh_feeds, ["feed_name"], "left", spread_by=["link"])
-        .where(~(full & F.col("_fresh").isNotNull()))
-        .drop("_fresh")
-    )
+    surviving = stored
+    if always is not False:
+        fresh_feeds = fresh.select("feed_name").distinct().withColumn("_fresh", F.lit(True))
+        flagged = join_dimension(stored, fresh_feeds, ["feed_name"], "left", spread_by=["link"])
+        surviving = flagged.where(~(full & F.col("_fresh").isNotNull())).drop("_fresh")
     return merge_entries(merging, surviving, keys).unionByName(replacing, allowMissingColumns=True)

@@ -39,12 +39,12 @@ def select_feeds(
     if skip_selenium and selenium_only:
         raise ValueError("skip_selenium and selenium_only exclude each other")
     if feed is not None:
-        asked = registry.sparkSession.range(1).select(F.lit(feed).alias("registry_name"))
-        known = registry.where(F.col("registry_name") == feed).select("registry_name", "feed_name", "enabled")
-        status = F.when(F.coalesce("enabled", F.lit(False)), "selected").otherwise("error")
-        return asked.join(known, "registry_name", "left").select(
-            "registry_name", "feed_name", status.alias("status")
+        # A sum over no rows is still one row, so an unknown name is reported too.
+        found = registry.where(F.col("registry_name") == feed).agg(
+            F.max("feed_name").alias("feed_name"), F.bool_or("enabled").alias("enabled")
         )
+        status = F.when(F.coalesce("enabled", F.lit(False)), "selected").otherwise("error")
+        return found.select(F.lit(feed).alias("registry_name"), "feed_name", status.alias("status"))
     is_selenium = F.col("fetch_type") == SELENIUM
     wrong_type = is_selenium if skip_selenium else (~is_selenium if selenium_only else F.lit(False))
     status = F.when(~F.col("enabled") | wrong_type, "skipped").otherwise("selected")

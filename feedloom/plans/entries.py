@@ -347,7 +347,7 @@ def site_entries(
         candidates = candidates.unionByName(listing_bodies(bodies))
     fresh = choose_entries(candidates)
     if stored is not None:
-        fresh = new_entries(fresh, stored)
+        fresh = new_entries(fresh, stored, unique=True)
 
     if details is not None:
         first = details.groupBy("feed_name", "link").agg(F.min("html").alias("detail_html"))
@@ -409,10 +409,8 @@ def listing_bodies(bodies: DataFrame) -> DataFrame:
 
 def embedded_entries(pages: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Entries from embedded JSON: checked, but copies of one link are all kept."""
-    rows = extract.embedded_articles(_with_defaults(pages), F.col("base_url")).where(valid_entry())
-    if stored is not None:
-        rows = new_entries(rows, stored)
-    return rows.select(
+    found = extract.embedded_articles(_with_defaults(pages), F.col("base_url")).where(valid_entry())
+    rows = found.select(
         "feed_name",
         "rule_id",
         "link",
@@ -422,6 +420,9 @@ def embedded_entries(pages: DataFrame, stored: DataFrame | None = None) -> DataF
         "published",
         arrival(F.col("page_no"), F.lit(0), F.col("pos")).alias("seq"),
     )
+    if stored is not None:
+        rows = new_entries(rows, stored)
+    return rows
 
 
 def extraction_quality(candidates: DataFrame) -> DataFrame:

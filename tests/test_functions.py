@@ -10,8 +10,7 @@ from feedloom.functions import dates, text, urls
 
 def value(spark, column, given=None):
     """What a column function makes of one text."""
-    df = spark.createDataFrame([(given,)], "t STRING")
-    return df.select(column(F.col("t")).alias("v")).first()["v"]
+    return spark.range(1).select(column(F.lit(given).cast("string")).alias("v")).first()["v"]
 
 
 NEWS = ["MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy", "yyyy-M-d", "M/d/yyyy"]

@@ -7,7 +7,7 @@ from feedloom.functions import markup
 
 
 def nodes(spark, html, css):
-    df = spark.createDataFrame([(html,)], "html STRING")
+    df = spark.range(1, numPartitions=1).select(F.lit(html).cast("string").alias("html"))
     found = df.select(F.inline(markup.select_nodes(F.col("html"), {"x": css})))
     return found.select(
         "pos",
