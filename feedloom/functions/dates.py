@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedloom.functions.text import collapse_space
+from feedloom.functions.text import bind, collapse_space
 
 # First day and number of days of the substitute dates.
 FALLBACK_START = "2023-01-01"
@@ -41,8 +41,6 @@ ZONES = {
     "PDT": "-0700",
 }
 
-RFC822_PARSE = "d MMM yyyy HH:mm:ss Z"
-
 
 # What the letters of a date pattern can stand for. A short month name is exactly three
 # letters; "May" is long and short at once.
@@ -67,12 +65,13 @@ def parse_date(text: Column, patterns: Sequence[str]) -> Column:
     A pattern is only tried on texts of its shape: refusing a text by parsing it costs an
     exception per text and pattern.
     """
-    clean = collapse_space(text)
-    tried = [
-        F.when(F.rlike(clean, F.lit(_shape(p))), F.try_to_timestamp(clean, F.lit(p))).cast("timestamp_ntz")
-        for p in patterns
-    ]
-    return F.coalesce(*tried)
+
+    def tried(clean: Column) -> Column:
+        return F.coalesce(
+            *[F.when(F.rlike(clean, F.lit(_shape(p))), F.try_to_timestamp(clean, F.lit(p))) for p in patterns]
+        )
+
+    return bind(collapse_space(text), tried).cast("timestamp_ntz")
 
 
 def first_date(texts: Column, patterns: Sequence[str]) -> Column:
@@ -133,14 +132,26 @@ def format_rfc822(published: Column) -> Column:
     return F.concat(F.date_format(published, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000"))
 
 
+# The form nearly every feed writes; such a text only loses its weekday before parsing.
+_USUAL = rf"^({SHORT_WEEKDAYS}), \d{{2}} [A-Z][a-z]{{2}} \d{{4}} \d{{2}}:\d{{2}}:\d{{2}} [+-]\d{{4}}$"
+_PARSEABLE = r"(?i)^\d{1,2} [a-z]{3} \d{4} \d{1,2}:\d{2}:\d{2} [+-]\d{4}$"
+
+
+def _rfc822_instant(text: Column, rewritten: Column) -> Column:
+    """Parse the text itself where it has the usual form, else what it was rewritten to."""
+    usual = F.rlike(text, F.lit(_USUAL))
+    other = bind(rewritten, lambda t: F.when(F.rlike(t, F.lit(_PARSEABLE)), t))
+    stamped = F.when(usual, F.substring(text, 6, 100)).otherwise(other)
+    return _as_utc(F.try_to_timestamp(stamped, F.lit("d MMM yyyy H:mm:ss Z")))
+
+
 def parse_rfc822_strict(text: Column) -> Column:
     """Only the full form: weekday, day, month, year, time with seconds, numeric offset."""
     shape = rf"(?i)^({SHORT_WEEKDAYS}),\s+(\d.*?)\s*(Z|[+-]\d{{2}}:?\d{{2}})$"
     body = F.regexp_extract(text, shape, 2)
     offset = F.replace(F.regexp_extract(text, shape, 3), F.lit(":"), F.lit(""))
-    offset = F.when(F.upper(offset) == "Z", "+0000").otherwise(offset)
-    stamped = collapse_space(F.concat_ws(" ", body, offset))
-    return F.when(body != "", _as_utc(F.try_to_timestamp(stamped, F.lit(RFC822_PARSE))))
+    offset = bind(offset, lambda o: F.when(F.upper(o) == "Z", "+0000").otherwise(o))
+    return _rfc822_instant(text, collapse_space(F.concat_ws(" ", body, offset)))
 
 
 def parse_rfc822(text: Column) -> Column:
@@ -151,15 +162,15 @@ def parse_rfc822(text: Column) -> Column:
     t = F.regexp_replace(t, r"^(\d{1,2} [A-Za-z]{3}) ([0-5]\d|6[0-8]) ", "$1 20$2 ")
     t = F.regexp_replace(t, r"^(\d{1,2} [A-Za-z]{3}) (69|[7-9]\d) ", "$1 19$2 ")
     t = F.regexp_replace(t, r"^(\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:\d{2})(?!:)", "$1:00")
-    zone = F.upper(F.regexp_extract(t, r" ([A-Za-z]{1,3})$", 1))
     names = F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair])
-    named = F.concat(F.regexp_replace(t, r" [A-Za-z]{1,3}$", " "), F.coalesce(names[zone], F.lit("+0000")))
-    t = (
-        F.when(F.rlike(t, F.lit(r"[+-]\d{4}$")), t)
-        .when(zone != "", named)
-        .otherwise(F.concat(t, F.lit(" +0000")))
-    )
-    return _as_utc(F.try_to_timestamp(t, F.lit("d MMM yyyy H:mm:ss Z")))
+
+    def zoned(t: Column) -> Column:
+        zone = F.upper(F.regexp_extract(t, r" ([A-Za-z]{1,3})$", 1))
+        offset = F.when(zone != "", F.coalesce(names[zone], F.lit("+0000"))).otherwise("+0000")
+        bare = F.concat(F.regexp_replace(t, r" [A-Za-z]{1,3}$", ""), F.lit(" "), offset)
+        return F.when(F.rlike(t, F.lit(r"[+-]\d{4}$")), t).otherwise(bare)
+
+    return _rfc822_instant(text, bind(t, zoned))
 
 
 def whole_days(later: str | datetime | Column, earlier: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import sys
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -26,6 +27,15 @@ ILLEGAL_XML = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\x9F]"
 MONTH_MARKS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` worked out once, however often ``body`` names it.
+
+    Spark shares repeated expressions of a projection, but not those inside the branches of
+    a CASE or inside a lambda, where the long chains of these functions live.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Cut white space of any kind from both ends (linear, no regular expression)."""
     return F.trim(text, F.lit(WHITE_SPACE))
