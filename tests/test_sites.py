@@ -156,3 +156,28 @@ def test_known_sites(spark):
     assert registry.count() == 9 and channels.count() == 9
     assert registry.join(channels, "feed_name").count() == 9
     assert registry.join(rules, "rule_id").count() == 9
+
+
+def test_collections_of_one_site(spark):
+    """Page 1 belongs to every collection; each collection is cut by itself."""
+
+    def page(collection, number, links):
+        html = "".join(f'<div class="w-dyn-item"><a href="/blog/{k}"></a><h2>{k}</h2></div>' for k in links)
+        return ("site", "dyn_items", collection, number, html)
+
+    pages = spark.createDataFrame(
+        [
+            page("", 1, "ab"),
+            page("c1", 2, "ac"),
+            page("c1", 3, "ab"),
+            page("c1", 4, "bc"),
+            page("c1", 5, "d"),  # after two pages without news
+            page("c2", 2, "ce"),
+            page("c2", 4, "f"),  # page 3 is missing
+        ],
+        "feed_name STRING, rule_id STRING, collection_id STRING, page_no INT, html STRING",
+    )
+    found = site_entries(pages, rules=["dyn_items"])
+    assert [r["title"] for r in found.orderBy("title").collect()] == ["a", "b", "c", "e"]
+    first_page = site_entries(pages, crawl=False, rules=["dyn_items"])
+    assert [r["title"] for r in first_page.orderBy("seq").collect()] == ["a", "b"]
