@@ -36,7 +36,7 @@ def extract_links(spark, sf_dir):
     pages = page_snapshots(spark, f"{sf_dir}/pages.parquet")
     site = F.concat(F.lit("https://"), urls.host(F.col("url")))
     links = extract.extract_links(pages.select("page_id", "html", site.alias("base")), "", F.col("base"), "rooted_or_bare")
-    return links.select("page_id", "pos", "href", "link")
+    return links.select("page_id", F.col("pos").cast("bigint").alias("pos"), "href", "link")
 
 
 @query(rf"""
@@ -70,7 +70,7 @@ def select_nodes_anchors(spark, sf_dir):
         ).alias("found")
     )
     return per_page.select("page_id", "selector", F.posexplode("found").alias("at", "n")).select(
-        "page_id", "selector", (F.col("at") + 1).alias("nth"), "n.href", "n.node_text"
+        "page_id", "selector", (F.col("at") + 1).cast("bigint").alias("nth"), "n.href", "n.node_text"
     )
 
 

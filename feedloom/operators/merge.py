@@ -34,6 +34,11 @@ def new_entries(
     return join_dimension(fresh, known.distinct(), list(keys), "left_anti", spread_by=["seq"])
 
 
+def first_copies(fresh: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
+    """The first copy of each link; two snapshots of one place on a page differ by their text."""
+    return first_by(fresh, ["seq", *[c for c in ("title", "description") if c in fresh.columns]], keys)
+
+
 def added_entries(
     fresh: DataFrame, stored: DataFrame, keys: Sequence[str] = KEY, few: bool = False
 ) -> DataFrame:
@@ -43,7 +48,7 @@ def added_entries(
     dates stored entries stay ahead of new ones.
     """
     last = stored.agg(F.max("seq")).scalar()
-    added = new_entries(first_by(fresh, ["seq"], keys), stored, keys, unique=True, few=few)
+    added = new_entries(first_copies(fresh, keys), stored, keys, unique=True, few=few)
     return added.withColumn("seq", F.col("seq") + F.coalesce(last, F.lit(-1).cast("bigint")) + F.lit(1))
 
 

@@ -23,6 +23,8 @@ def number_rows(
     tasks, written to the shared checkpoint folder once, and numbered as "position in my
     slice" plus "rows of my group in earlier slices"; a hot group spreads over as many
     slices as it needs. ``order`` must break every tie.
+
+    ``df`` is read more than once, so pass a stored table rather than a costly plan.
     """
     largest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
     if largest <= window_rows:

@@ -249,7 +249,9 @@ def choose_entries(candidates: DataFrame) -> DataFrame:
 
     place = F.struct("page_no", "section", "pos", "collection_id")
     payload = F.struct("rule_id", "title", "description", "category", "published", "valid")
-    rank = F.struct(F.col("page_no"), undated_last, F.col("section"), F.col("pos"), F.col("collection_id"))
+    # Two snapshots of one page can show different texts in one place; the hash decides.
+    tie = F.xxhash64("title", "description", "category", "published")
+    rank = F.struct(F.col("page_no"), undated_last, F.col("section"), F.col("pos"), F.col("collection_id"), tie)
     chosen = rows.groupBy("feed_name", "link").agg(F.min_by(payload, rank).alias("w"), F.min(place).alias("at"))
     return chosen.where("w.valid").select(
         "feed_name",

@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from feedloom.operators.dedupe import first_by
-from feedloom.operators.merge import added_entries
+from feedloom.operators.merge import added_entries, first_copies
 from feedloom.sources.store import append_entry_batch, read_entry_batches
 
 
@@ -28,7 +27,7 @@ def refresh_batch(
     The batch is small next to the store and is looked at twice, so it is kept for the time
     of the merge; a lost executor only means working it out again.
     """
-    batch = first_by(fresh, ["seq"]).persist()
+    batch = first_copies(fresh).persist()
     try:
         stored = read_entry_batches(fresh.sparkSession, store_path, source, before=batch_id)
         append_entry_batch(added_entries(batch, stored, few=True), store_path, source, batch_id, updated_at)

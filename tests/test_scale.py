@@ -120,6 +120,7 @@ def test_scan_reads_only_what_it_needs(spark, tmp_path):
     ).write.parquet(path)
     text = plan(site_entries(spark.read.parquet(path), crawl=False, rules=["time_articles"]))
     assert "EqualTo(page_no,1)" in text
+    assert text.count("ArrowEvalPython [walk(") == 1  # every page is walked once
     assert "ReadSchema: struct<feed_name:string,rule_id:string,page_no:int,html:string>" in text
 
 
