@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +12,7 @@ from feedloom.functions.text import collapse_space, unescape_common
 from feedloom.functions.urls import canonical_url, host
 from feedloom.operators.dedupe import first_valid
 from feedloom.operators.filters import non_blank
-from feedloom.session import checkpoint_dir
+from feedloom.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,7 +51,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 def scratch(spark: SparkSession, purpose: str) -> str:
     """A new folder name on the cluster's shared storage, for queries that write and read back."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return f"{scratch_folder(spark, purpose)}/rows"
 
 
 # --- pieces of SQL ---------------------------------------------------------------------
