@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontamination, mixing, records, simhash, toxicity
+from feedloom.llm import decontamination, editprints, linededup, mixing, records, simhash, tokencounts, toxicity
 from feedloom.session import scratch_folder, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,36 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+@query(
+    r"""
+    WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    lines AS (SELECT doc_id, unnest(lines) AS line, unnest(generate_series(1, len(lines))) AS pos FROM docs),
+    keyed AS (
+      SELECT *, translate(trim(line, E' \t\n\x0b\x0c\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+      FROM lines),
+    owners AS (SELECT key, min(doc_id) AS owner FROM keyed WHERE length(key) >= 10 GROUP BY key),
+    marked AS (SELECT k.*, coalesce(o.owner < k.doc_id, false) AS dropped FROM keyed k LEFT JOIN owners o USING (key))
+    SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE dropped)::BIGINT AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+    FROM marked GROUP BY doc_id
+    """
+)
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query()
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    counted = docs.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        tokencounts.token_count("text", tokenizer_path()).alias("n_tokens"),
+    )
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -129,6 +159,12 @@ def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.digest(records.read_records(spark, folder))
 
 
+@query()
+def op9_edit_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = editprints.compare_with_edits(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @query()
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(table(spark, sf_dir, "documents"))

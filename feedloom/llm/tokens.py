@@ -23,6 +23,8 @@ def pieces(text: str) -> list[str]:
     return CUT.split(text) if UNSURE.search(text) else text.split(" ")
 
 
+#: Below this, every version of Unicode has the same letters.
+OLD_LETTERS = "\u0250"
 #: What may follow the letters of a word without joining them.
 TAIL = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~"
 
@@ -53,16 +55,21 @@ class PieceEncoder:
     def __init__(self, path: str, keep: int = 800_000, longest: int = 40) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self._library = Tokenizer.from_file(path)
+        # Letters after a space are one pre-token, so the library need not look for its ends again.
+        self._letters = Tokenizer.from_file(path)
+        self._letters.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.vocabulary = self._library.get_vocab_size()
         self._keep, self._longest = keep, longest
         self._words: dict[str, bytes] = {}  # ids of a word with a space before it
         marks = [re.escape(t.content) for t in self._library.get_added_tokens_decoder().values()]
         self._mark = re.compile("|".join(marks) or "(?!)")
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self._library.encode_batch_fast(texts, add_special_tokens=False)
+    def _encode(self, texts: list[str], letters: bool = False) -> list[bytes]:
+        library = self._letters if letters else self._library
+        found = library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
     def _learn(self, new: set[str]) -> dict[str, bytes]:
@@ -73,7 +80,10 @@ class PieceEncoder:
         for unit in {u for parts in cut.values() for u in parts}:
             ids[unit] = words.get(unit[1:]) if unit[0] == " " else None
         todo = [unit for unit, x in ids.items() if x is None]
-        ids.update(zip(todo, self._encode(todo), strict=True))
+        plain = [u for u in todo if u[0] == " " and u[1:].isalpha() and max(u) < OLD_LETTERS]
+        ids.update(zip(plain, self._encode(plain, letters=True), strict=True))
+        rest = list(set(todo).difference(plain))
+        ids.update(zip(rest, self._encode(rest), strict=True))
         for unit in todo:
             if unit[0] == " " and len(unit) <= self._longest:
                 words[unit[1:]] = ids[unit]
