@@ -237,7 +237,8 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = ranges or 4 * tasks
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    marks = rows.select("id").where("id IS NOT NULL").approxQuantile("id", [i / ranges for i in range(1, ranges)], 0.2 / ranges)
+    ids = rows.select("id").where("id IS NOT NULL")
+    marks = ids.approxQuantile("id", [i / ranges for i in range(1, ranges)], 0.2 / ranges) if ranges > 1 else []
     bounds = sorted({int(m) for m in marks})
     # Ranges count from the largest ids; null ids make one more at the end.
     number = F.when(F.col("id").isNull(), F.lit(len(bounds) + 1)).otherwise(

@@ -121,9 +121,9 @@ def drop_repeated_lines(
     lines_col, drop_col, key1, key2, ident = (fresh(docs, n) for n in ("lines", "dropped", "text_key", "text_size", "ident"))
     owner = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
     text = text_of(text_col)
-    marks = docs.select(owner.alias("owner")).where(F.col("owner") != LAST).approxQuantile(
-        "owner", [i / batches for i in range(1, batches)], 0.01
-    )
+    ids = docs.select(owner.alias("owner")).where(F.col("owner") != LAST)
+    # approxQuantile wants at least one share; with one batch there is none to ask for.
+    marks = ids.approxQuantile("owner", [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
     bounds = sorted({int(m) for m in marks})
     batch = sum((F.when(F.col("owner") > b, 1).otherwise(0) for b in bounds), F.lit(0))
     split = docs.select(

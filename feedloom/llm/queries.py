@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontamination, editprints, linededup, mixing, records, simhash, tokencounts, toxicity
+from feedloom.llm import (
+    decontamination,
+    editprints,
+    language,
+    linededup,
+    mixing,
+    ngrams,
+    records,
+    simhash,
+    tokencounts,
+    toxicity,
+)
 from feedloom.session import scratch_folder, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +87,32 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query(
+    rf"""
+    WITH docs AS (
+      SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+    tokens AS (
+      SELECT doc_id, unnest(words) AS word, unnest(list_prepend(NULL, words[1:len(words) - 1])) AS prev
+      FROM docs WHERE len(words) > 0),
+    ones AS (SELECT word, count(*) AS c FROM tokens GROUP BY word),
+    twos AS (SELECT prev, word, count(*) AS c2 FROM tokens WHERE prev IS NOT NULL GROUP BY prev, word HAVING count(*) >= {ngrams.CUTOFF}),
+    scored AS (
+      SELECT t.doc_id,
+             CASE WHEN w.c2 IS NOT NULL THEN ln(w.c2 / p.c)
+                  WHEN t.prev IS NULL THEN ln(o.c / (SELECT sum(c) FROM ones)::DOUBLE)
+                  ELSE ln(o.c / (SELECT sum(c) FROM ones)::DOUBLE) + ln({ngrams.BACKOFF}::DOUBLE) END AS log
+      FROM tokens t JOIN ones o ON t.word = o.word
+      LEFT JOIN ones p ON t.prev = p.word LEFT JOIN twos w ON t.prev = w.prev AND t.word = w.word)
+    SELECT d.doc_id, coalesce(len(d.words), 0)::BIGINT AS n_words, round(avg(s.log), 6) AS log_score
+    FROM docs d LEFT JOIN scored s ON d.doc_id = s.doc_id GROUP BY d.doc_id, d.words
+    """
+)
+def op3_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = ngrams.scores(table(spark, sf_dir, "documents"))
+    return scored.select(F.col("id").alias("doc_id"), "n_words", F.round("log_score", 6).alias("log_score"))
+
+
 @query()
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -152,6 +189,27 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+@query()
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document (its source as host) and every page (its markup and address)."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    model = language.TextModel(staged(language.fit(docs), "language-counts"))
+    host, suffix = language.address_parts("url")
+    none = F.lit(None)
+    rows = docs.select(
+        "doc_id", none.cast("long").alias("page_id"), model.evidence("text").alias("text_log"),
+        none.cast("string").alias("declared"), none.cast("string").alias("suffix"), F.col("source").alias("host"),
+    ).union(
+        pages.select(
+            none.cast("long").alias("doc_id"), F.col("page_id").cast("long"),
+            model.evidence(language.visible_text("html")).alias("text_log"),
+            language.markup_language("html").alias("declared"), suffix.alias("suffix"), host.alias("host"),
+        )
+    )
+    found = language.identify(staged(rows, "language-evidence"), model.languages)
+    return found.select("doc_id", "page_id", "lang", F.round("probability", 6).alias("probability"))
+
+
 @query()
 def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "token-records")
