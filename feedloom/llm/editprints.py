@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import fresh, text_of
+from feedloom.llm.common import text_of
 from feedloom.llm.components import connected
 from feedloom.session import staged
 
@@ -27,6 +27,7 @@ PERIOD = 1 << 14  # the random bits repeat after so many steps
 SLICE, GROUP = 6_000_000, 3_000  # characters and texts walked at once
 COMPARED_AT_ONCE = 24_000_000  # characters
 BANDS, BAND_BITS, NEAR = 24, 32, 0.8
+TILE = 2048  # members of a bucket compared in one go
 
 
 def _scramble(x: np.ndarray) -> np.ndarray:
@@ -275,24 +276,77 @@ def _bands(print_col: str) -> Column:
     return F.inline(F.array(*keys))
 
 
-def similar_groups(fingerprints: DataFrame, near: float = NEAR) -> DataFrame:
+def _forest(values: np.ndarray, near: float) -> list[tuple[int, int]]:
+    """Links (i, j) between near rows that join every component that all near pairs join.
+
+    A row that is reached leaves the rest, so a dense group costs little more than one look at each
+    member. Rows that nothing links are compared all with all.
+    """
+    left, links = np.arange(len(values)), []
+    while len(left):
+        front, left = [int(left[0])], left[1:]
+        while front and len(left):
+            at = front.pop()
+            met = likeness(values[left], values[at]) >= near
+            if met.any():
+                reached = left[met].tolist()
+                links += [(at, i) for i in reached]
+                front += reached
+                left = left[~met]
+    return links
+
+
+def _linked(near: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows of a task in the order of their buckets; a bucket can go on in the next batch."""
+        rest = None
+        for batch in batches:
+            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            marks = rows[["bucket", "low", "high"]].to_numpy()
+            begins = np.flatnonzero(np.r_[True, (marks[1:] != marks[:-1]).any(axis=1)])
+            rest = rows.iloc[begins[-1] :]
+            yield _links_of(rows.iloc[: begins[-1]], begins, near)
+        if rest is not None:
+            yield _links_of(rest, np.array([0, len(rest)]), near)
+
+    return run
+
+
+def _links_of(rows: pd.DataFrame, begins: np.ndarray, near: float) -> pd.DataFrame:
+    packed = np.frombuffer(b"".join(rows["packed"]), dtype=np.uint8).reshape(len(rows), SLOTS // 2)
+    values = np.concatenate([packed >> 4, packed & 15], axis=1)
+    nodes, a, b = rows["node"].to_numpy(), [], []
+    for start, end in zip(begins, begins[1:], strict=False):
+        links = _forest(values[start:end], near)
+        a += [nodes[start + i] for i, _ in links]
+        b += [nodes[start + j] for _, j in links]
+    return pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64)})
+
+
+def similar_groups(fingerprints: DataFrame, near: float = NEAR, tile: int = TILE) -> DataFrame:
     """(fingerprint, group): distinct fingerprints linked by likeness, with the group's smallest one.
 
-    Bands of sampled bits find candidates; whole fingerprints decide. In a band's bucket every member is
-    compared with the bucket's smallest member, never all with all, so that a bucket of a third
-    of all rows costs as many comparisons as it has members.
+    Bands of sampled bits find candidates; whole fingerprints decide. In a band's bucket all pairs count.
+    A bucket of more than ``tile`` members is cut into tiles, and each two of its tiles are a task's work
+    of their own, so that every pair of the bucket meets and none has to fit into one task.
+    What leaves a task are links that join the same components, never one row per pair.
     """
-    known = staged(fingerprints.select("fingerprint").where("fingerprint IS NOT NULL").distinct(), "edit-prints")
-    entries = known.select("fingerprint", _bands("fingerprint"))
-    lead = entries.groupBy("band", "key").agg(F.min("fingerprint").alias("lead"), F.count("*").alias("n")).where("n > 1")
-    pairs = entries.join(lead, ["band", "key"]).where("fingerprint <> lead").select("fingerprint", "lead").distinct()
-    equal = sum(
-        (F.when(F.substring("fingerprint", i + 1, 1) == F.substring("lead", i + 1, 1), 1).otherwise(0) for i in range(SLOTS)),
-        F.lit(0),
+    known = fingerprints.select("fingerprint").where("fingerprint IS NOT NULL").distinct()
+    known = staged(known.select(F.xxhash64("fingerprint").alias("node"), "fingerprint"), "edit-prints")
+    # Buckets are counted on numbers alone; a fingerprint goes along only where it has company.
+    entries = known.select("node", "fingerprint", _bands("fingerprint")).select("node", F.xxhash64("band", "key").alias("bucket"))
+    sizes = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    shared = entries.join(sizes, "bucket").withColumn("tiles", F.ceil(F.col("n") / tile).cast("int"))
+    own = F.pmod(F.xxhash64("node", F.lit("tile")), F.col("tiles")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("tiles") - 1), lambda i: (i != F.col("own")) | (F.col("tiles") == 1))
+    dealt = shared.withColumn("own", own).select("node", "bucket", "own", F.explode(others).alias("other"))
+    dealt = dealt.join(known.select("node", F.unhex("fingerprint").alias("packed")), "node").select(
+        "node", "packed", "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+    )
+    place = ["bucket", "low", "high"]
+    links = dealt.repartition(*place).sortWithinPartitions(*place).mapInPandas(_linked(near), "a long, b long")
+    roots = connected(links)
+    of_node = roots.select(F.col("node").alias("_node"), "root")
+    return known.join(of_node, F.col("node") == F.col("_node"), "left").select(
+        "fingerprint", F.coalesce("root", "node").alias("group")
     )
-    links = pairs.where((equal / SLOTS - 1 / 16) / (15 / 16) >= near)
-    numbered = links.select(F.xxhash64("fingerprint").alias("a"), F.xxhash64("lead").alias("b"))
-    roots = connected(numbered)
-    node = fresh(known, "node_key")
-    own = known.withColumn(node, F.xxhash64("fingerprint"))
-    return own.join(roots, own[node] == roots["node"], "left").select("fingerprint", F.coalesce("root", node).alias("group"))

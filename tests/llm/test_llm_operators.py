@@ -292,6 +292,40 @@ def test_edits_keep_prints_near(spark):
     assert groups.select("group").distinct().count() < 60
 
 
+def test_similar_groups_keep_every_link_of_a_bucket(spark):
+    draw = np.random.default_rng(11)
+    base = draw.integers(0, 16, 128)
+    family = np.tile(base, (300, 1))
+    for row, n in zip(family, draw.integers(4, 24, 300), strict=True):
+        row[draw.choice(128, n, replace=False)] = draw.integers(0, 16, n)
+    values = np.unique(np.r_[family, draw.integers(0, 16, (20, 128))], axis=0).astype(np.uint8)
+    names = editprints.to_text(values)
+    # The rule itself, without Spark: all pairs of each bucket, whole fingerprints decide.
+    frame = spark.createDataFrame([(n,) for n in names], "fingerprint string").repartition(5)
+    buckets = {}
+    for r in frame.select("fingerprint", editprints._bands("fingerprint")).collect():
+        buckets.setdefault((r.band, r.key), []).append(names.index(r.fingerprint))
+    root = list(range(len(names)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in {p for members in buckets.values() for p in itertools.combinations(sorted(members), 2)}:
+        if editprints.likeness(values[i : i + 1], values[j : j + 1])[0] >= editprints.NEAR:
+            root[find(i)] = find(j)
+    expected = {}
+    for i, name in enumerate(names):
+        expected.setdefault(find(i), set()).add(name)
+    for tile in (editprints.TILE, 7):
+        got = {}
+        for r in editprints.similar_groups(frame, tile=tile).collect():
+            got.setdefault(r.group, set()).add(r.fingerprint)
+        assert sorted(map(sorted, got.values())) == sorted(map(sorted, expected.values()))
+    assert editprints.similar_groups(frame.limit(0)).count() == 0
+
+
 def test_toxicity_learns_and_scores(spark, docs, none):
     draw = np.random.default_rng(6)
     plain = [f"w{i}" for i in range(200)]
