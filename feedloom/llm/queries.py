@@ -219,8 +219,9 @@ def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_edit_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = editprints.compare_with_edits(table(spark, sf_dir, "documents"))
-    return found.withColumnRenamed("id", "doc_id")
+    found = staged(editprints.compare_with_edits(table(spark, sf_dir, "documents")), "edit-compared")
+    groups = editprints.similar_groups(found)
+    return found.join(groups, "fingerprint").select(F.col("id").alias("doc_id"), *found.columns[1:], "group")
 
 
 @query()
