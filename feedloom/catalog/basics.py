@@ -222,8 +222,7 @@ def embedded_articles(spark, sf_dir):
         F.lit('},\\"type\\":\\"engineeringArticle\\"'),
         F.coalesce(summary, F.lit("")),
         F.coalesce(title, F.lit("")),
-        # Keeps the next article out of the reach of this one's look-up.
-        F.lit("}" + " " * extract.ARTICLE_REACH),
+        F.lit("}"),
     )
     # Twenty parts to a page, so a page never grows with the table.
     articles = table(spark, sf_dir, "part").select(F.floor(key / 20).alias("page_id"), "p_partkey", article.alias("a"))

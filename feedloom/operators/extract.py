@@ -27,7 +27,7 @@ ARTICLE_MARKS = ("publishedOn", "engineeringArticle")
 ARTICLE_PAIR = r'\\"publishedOn\\":\\"([^"]+?)\\",\\"slug\\":\{[^}]*?\\"current\\":\\"([^"]+?)\\"'
 ARTICLE_TITLE = r'\\"title\\":\\"(.*?)(?<!\\)\\"'
 ARTICLE_SUMMARY = r'\\"summary\\":\\"(.*?)(?<!\\)\\"'
-ARTICLE_REACH = 2000
+ARTICLE_START = '\\"publishedOn\\":'
 
 # Fixed value: a paging link such as ``?1a2b3c_page=2``.
 PAGING_ID = r"\?([a-f0-9]+)_page=\d+"
@@ -83,12 +83,15 @@ def date_sections(pages: DataFrame, patterns: list[str]) -> DataFrame:
     )
 
 
-def embedded_articles(pages: DataFrame, base: str | Column, category: str = "Engineering") -> DataFrame:
+def embedded_articles(
+    pages: DataFrame, base: str | Column, category: str = "Engineering", reach: int | None = None
+) -> DataFrame:
     """Articles from escaped JSON inside the first script that holds both marks.
 
-    Title and summary are looked up in the 2,000 characters after the first place the slug
-    stands at. They are cut out as an array before the rows multiply, so the script itself
-    is never copied. Rows are neither checked nor de-duplicated here.
+    Title and summary are looked up from the first place the slug stands at to the start of the
+    next article, or in ``reach`` characters at most if that is given. They are cut out as an
+    array before the rows multiply, so the script itself is never copied. Rows are neither checked
+    nor de-duplicated here.
     """
     base = base if isinstance(base, Column) else F.lit(base)
     scripts = F.regexp_extract_all("html", F.lit(r"(?is)<script\b[^>]*>(.*?)</script"), F.lit(1))
@@ -104,7 +107,14 @@ def embedded_articles(pages: DataFrame, base: str | Column, category: str = "Eng
         }
     )
     at = lambda slug: F.position(F.concat(F.lit('\\"current\\":\\"'), slug, F.lit('\\"')), script)
-    near = F.transform("_slug", lambda slug: F.substring(script, at(slug), F.lit(ARTICLE_REACH)))
+
+    def section_of(slug):
+        start = at(slug)
+        following = F.position(F.lit(ARTICLE_START), script, start)
+        size = F.when(following > 0, following).otherwise(F.length(script) + 1) - start
+        return F.substring(script, start, size if reach is None else F.least(size, F.lit(reach)))
+
+    near = F.transform("_slug", section_of)
     rows = found.select(*rest, F.posexplode(F.arrays_zip("_date", "_slug", near.alias("_near"))).alias("pos", "_a"))
 
     section, slug = F.col("_a._near"), F.col("_a._slug")
