@@ -7,7 +7,9 @@ from feedloom.operators import pagination
 from feedloom.plans.entries import listing_candidates, site_entries
 
 # Twenty events make a page, sixty-five page numbers a site. Links repeat, so crawls run dry.
-# Two kinds of page show no links, one page number in some sites is missing.
+# Two kinds of page show no links, one page number in some sites is missing. Crawls end at the
+# reference's page 50.
+PAGE_LIMIT = 50
 SHOWN = """
 listed AS (
   SELECT DISTINCT 'site-' || event_id // 1300 AS feed_name, (event_id % 1300) // 20 + 1 AS page_no,
@@ -77,13 +79,13 @@ SELECT c.feed_name, c.page_no, c.n_new, c.page_no < coalesce(t.stop_page, 1000)
 FROM counted c LEFT JOIN stops t USING (feed_name) WHERE c.page_no <= 50""")
 def crawl_pages(spark, sf_dir):
     listed = _listed(spark, sf_dir)
-    return pagination.crawl_pages(listed.where(_has_links()), listed).select("feed_name", "page_no", "n_new", "crawled")
+    return pagination.crawl_pages(listed.where(_has_links()), listed, PAGE_LIMIT).select("feed_name", "page_no", "n_new", "crawled")
 
 
 @query(f"WITH {FRONTIER} SELECT feed_name, link, page_no, pos FROM collected")
 def pagination_frontier(spark, sf_dir):
     listed = _listed(spark, sf_dir)
-    rows = pagination.pagination_frontier(listed.where(_has_links()), listed)
+    rows = pagination.pagination_frontier(listed.where(_has_links()), listed, PAGE_LIMIT)
     return rows.select("feed_name", "link", "page_no", "pos")
 
 
@@ -120,7 +122,7 @@ WITH {FRONTIER}
 SELECT feed_name, link, 'Post ' || event_id AS title, {sql_stamp("date_trunc('day', ts)")} AS published FROM collected""")
 def crawl_entries(spark, sf_dir):
     """Full crawl: walk the pages, cut each site at its frontier, keep the first copy."""
-    rows = site_entries(_crawl_html(spark, sf_dir), rules=["dated_articles"])
+    rows = site_entries(_crawl_html(spark, sf_dir), rules=["dated_articles"], page_limit=PAGE_LIMIT)
     return rows.select("feed_name", "link", "title", stamp("published"))
 
 

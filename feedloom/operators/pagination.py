@@ -8,30 +8,33 @@ from pyspark.sql import functions as F
 from feedloom.operators.dedupe import first_by
 from feedloom.operators.joins import join_dimension
 
-# Last page ever read, and the run of pages without news that ends a crawl.
-PAGE_LIMIT = 50
+# Fixed value: the run of pages without news that ends a crawl.
 EMPTY_RUN = 2
 
 CRAWL = ["feed_name", "collection_id"]
 
 
-def crawl_pages(entries: DataFrame, pages: DataFrame | None = None, page_limit: int = PAGE_LIMIT) -> DataFrame:
+def _within(rows: DataFrame, page_limit: int | None) -> DataFrame:
+    return rows if page_limit is None else rows.where(F.col("page_no") <= page_limit)
+
+
+def crawl_pages(entries: DataFrame, pages: DataFrame | None = None, page_limit: int | None = None) -> DataFrame:
     """Per page: how many links are new on it, and whether the crawl reads it.
 
     A link is new on the lowest page that shows it. The crawl ends before a missing page,
     and after two pages in a row without news; page 1 never counts as empty. ``pages``
     lists pages that exist but may show no entry at all; without it the pages are those
-    the entries name.
+    the entries name. ``page_limit`` is the last page ever read; without it there is none.
     """
-    shown = entries.where(F.col("page_no") <= page_limit)
-    listed = (pages if pages is not None else entries).where(F.col("page_no") <= page_limit)
+    shown = _within(entries, page_limit)
+    listed = _within(pages if pages is not None else entries, page_limit)
     # min() and count() shrink every link and page inside the tasks before they are shuffled.
     debut = shown.groupBy(*CRAWL, "link").agg(F.min("page_no").alias("page_no"))
     fresh = debut.groupBy(*CRAWL, "page_no").agg(F.count(F.lit(1)).alias("n_new"))
     every = listed.select(*CRAWL, "page_no").distinct()
     counted = every.join(fresh, [*CRAWL, "page_no"], "left").withColumn("n_new", F.coalesce("n_new", F.lit(0)))
 
-    # At most page_limit rows per crawl from here on.
+    # One row per page of a crawl from here on.
     walk = Window.partitionBy(*CRAWL).orderBy("page_no")
     gap = (F.col("page_no") > 1) & (F.coalesce(F.lag("page_no").over(walk), F.lit(0)) != F.col("page_no") - 1)
     quiet = (F.col("page_no") > EMPTY_RUN) & (F.col("n_new") == 0) & (F.lag("n_new").over(walk) == 0)
@@ -42,7 +45,7 @@ def crawl_pages(entries: DataFrame, pages: DataFrame | None = None, page_limit:
 
 
 def pagination_frontier(
-    entries: DataFrame, pages: DataFrame | None = None, page_limit: int = PAGE_LIMIT
+    entries: DataFrame, pages: DataFrame | None = None, page_limit: int | None = None
 ) -> DataFrame:
     """The entries a crawl collects: each link once, from the first crawled page that shows it.
 
@@ -55,5 +58,5 @@ def pagination_frontier(
         .groupBy(*CRAWL)
         .agg(F.max("page_no").alias("_last"))
     )
-    first = first_by(entries.where(F.col("page_no") <= page_limit), ["page_no", "pos"], [*CRAWL, "link"])
+    first = first_by(_within(entries, page_limit), ["page_no", "pos"], [*CRAWL, "link"])
     return join_dimension(first, last, CRAWL, spread_by=["link"]).where(F.col("page_no") <= F.col("_last")).drop("_last")

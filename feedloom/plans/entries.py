@@ -272,7 +272,7 @@ def arrival(page_no: Column, section: Column, pos: Column) -> Column:
     )
 
 
-def crawl_candidates(candidates: DataFrame, pages: DataFrame) -> DataFrame:
+def crawl_candidates(candidates: DataFrame, pages: DataFrame, page_limit: int | None = None) -> DataFrame:
     """Candidates on the pages a crawl would have read (see ``pagination_frontier``).
 
     Page 1 of a feed belongs to each of its collections.
@@ -288,7 +288,8 @@ def crawl_candidates(candidates: DataFrame, pages: DataFrame) -> DataFrame:
     shown = candidates.where("usable AND valid").select(
         "feed_name", "collection_id", "page_no", "section", "pos", "link"
     )
-    kept = pagination_frontier(shared(shown), shared(pages)).select("feed_name", "link", "page_no").distinct()
+    found = pagination_frontier(shared(shown), shared(pages), page_limit)
+    kept = found.select("feed_name", "link", "page_no").distinct()
     # The frontier decides on pages and links; all copies on the chosen page stay for the
     # de-duplication. Single-page rules have nothing to crawl and keep every row.
     one_page = candidates.where("page_no = 1")
@@ -326,6 +327,7 @@ def site_entries(
     stored: DataFrame | None = None,
     crawl: bool = True,
     rules: Collection[str] | None = None,
+    page_limit: int | None = None,
 ) -> DataFrame:
     """Fresh entries of all sites.
 
@@ -335,6 +337,7 @@ def site_entries(
     ``stored``   known entries: their links are left out before the detail pages are read
     ``crawl``    all pages up to the frontier, or (False) page 1 only
     ``rules``    the rules in use, if known; fewer rules make a smaller plan
+    ``page_limit``  the last page a crawl reads; None reads all of them up to the frontier
     """
     if not crawl and "page_no" in pages.columns:
         pages = pages.where("page_no = 1")
@@ -344,7 +347,7 @@ def site_entries(
     candidates = listing_candidates(walked, rules)
     if crawl and "page_no" in pages.columns:
         # The crawl looks at the candidates several times; the pages are walked only once.
-        candidates = crawl_candidates(cut_lineage(candidates), walked)
+        candidates = crawl_candidates(cut_lineage(candidates), walked, page_limit)
     if bodies is not None:
         candidates = candidates.unionByName(listing_bodies(bodies))
     fresh = choose_entries(candidates)
