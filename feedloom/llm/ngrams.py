@@ -1,8 +1,10 @@
 """Language-model scores by stupid backoff, computed as joins of n-gram tables.
 
-Counts come from the whole corpus. A word is scored by its pair with the word before it where the corpus
-has that pair at least ``CUTOFF`` times, else by its own frequency times ``BACKOFF``; the first word of a text
-is scored by its own frequency. A document's score is the mean of the logarithms.
+Counts come from the whole corpus. A word is scored by its n-gram with the words before it where the corpus
+has that n-gram at least ``cutoff`` times, else by the next shorter one times ``backoff``, down to its own
+frequency; words at a text's start have shorter n-grams only, without a factor. A document's score is the
+mean of the logarithms. ``ORDER`` and ``CUTOFF`` are what op3_backoff_scores and its SQL state: pairs seen
+twice. Order 3 with cutoff 1 keeps every n-gram and backs off only where the count is 0.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from feedloom.session import staged
 
 BACKOFF = 0.4
 CUTOFF = 2
+ORDER = 2
 
 
 def words_of(text: Column) -> Column:
@@ -24,8 +27,9 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(plain, " +"), "")
 
 
-def pairs_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, prev, word): one row per word; words are 64-bit hashes, prev is null at a text's start.
+def grams_of(docs: DataFrame, id_col: str, text_col: str, order: int = ORDER) -> DataFrame:
+    """(doc, p<order-1>.., p1, word): one row per word; words are 64-bit hashes, p<i> is the i-th word before
+    it and null beyond the text's start.
 
     ``doc`` stands for the id and the text, so rows of one id with different texts stay apart.
     """
@@ -33,42 +37,63 @@ def pairs_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     key = F.xxhash64(F.col(id_col), *text_key(text))
     hashed = F.transform(words_of(text), lambda w: F.xxhash64(w))
     listed = docs.select(key.alias("doc"), hashed.alias("w"))
-    before = F.slice(F.concat(F.array(F.lit(None).cast("long")), F.col("w")), F.lit(1), F.size("w"))
-    return listed.select("doc", F.inline(F.arrays_zip(before.alias("prev"), F.col("w").alias("word"))))
+
+    def before(i: int) -> Column:
+        return F.slice(F.concat(F.array_repeat(F.lit(None).cast("long"), i), F.col("w")), F.lit(1), F.size("w"))
+
+    columns = [before(i).alias(f"p{i}") for i in range(order - 1, 0, -1)]
+    return listed.select("doc", F.inline(F.arrays_zip(*columns, F.col("w").alias("word"))))
 
 
 def scores(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", backoff: float = BACKOFF, cutoff: int = CUTOFF
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    backoff: float = BACKOFF,
+    cutoff: int = CUTOFF,
+    order: int = ORDER,
 ) -> DataFrame:
     """(id, n_words, log_score) per row: the mean log score of its words; null for a text without words.
 
     Null ids and texts (empty) are kept; repeated rows count in the corpus each time and get the
     same score; an empty table gives an empty one.
 
-    Words and pairs are counted with a partial sum in each task, so that a pair in a third of all texts
-    costs one row per task. Pairs below the cutoff leave before the join with documents; what
-    each word needs then are one pair count and one word count.
+    N-grams of every order are counted with a partial sum in each task, so that a pair in a third of all
+    texts costs one row per task. N-grams below the cutoff leave before the join with documents; only
+    words whose n-gram is not there go on to the next shorter one.
     """
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     rows = rows.withColumn("doc", F.xxhash64("id", *text_key(F.col("text"))))
-    tokens = pairs_of(docs, id_col, text_col)
-    per_doc = tokens.groupBy("doc", "prev", "word").agg(F.count("*").alias("n"))
+    tokens = grams_of(docs, id_col, text_col, order)
+    grams = [[f"p{i}" for i in range(k - 1, 0, -1)] + ["word"] for k in range(1, order + 1)]
     unigrams = staged(tokens.groupBy("word").agg(F.count("*").alias("c")), "unigrams")
     total = unigrams.agg(F.sum("c")).first()[0] or 1
-    bigrams = tokens.where("prev IS NOT NULL").groupBy("prev", "word").agg(F.count("*").alias("c2")).where(F.col("c2") >= cutoff)
-    context = unigrams.select(F.col("word").alias("prev"), F.col("c").alias("c1"))
-    follow = staged(
-        bigrams.join(context, "prev").select("prev", "word", F.ln(F.col("c2") / F.col("c1")).alias("log")), "bigrams"
-    )
-    met = per_doc.join(follow, ["prev", "word"], "left")
-    known = met.where("log IS NOT NULL").select("doc", "n", "log")
-    alone = met.where("log IS NULL").select("doc", "word", "n", F.col("prev").isNull().alias("first"))
+    counts, follow = unigrams, []
+    for k in range(2, order + 1):
+        # The n-gram's start, as the last word and those before it of one order less.
+        context = counts.select(
+            F.col("word").alias("p1"), *[F.col(f"p{i}").alias(f"p{i + 1}") for i in range(1, k - 1)], F.col("c").alias("c1")
+        )
+        counts = tokens.where(F.col(f"p{k - 1}").isNotNull()).groupBy(*grams[k - 1]).agg(F.count("*").alias("c"))
+        counts = counts.where(F.col("c") >= cutoff)
+        if k < order:
+            counts = staged(counts, f"{k}-grams")
+        ratio = F.ln(F.col("c") / F.col("c1")).alias("log")
+        follow.append(staged(counts.join(context, grams[k - 1][:-1]).select(*grams[k - 1], ratio), f"{k}-gram-logs"))
+    alone = tokens.groupBy("doc", *grams[-1]).agg(F.count("*").alias("n")).withColumn("off", F.lit(0))
+    off = F.col("off") * F.ln(F.lit(backoff))
+    known = []
+    for k in range(order, 1, -1):
+        met = alone.join(follow[k - 2], grams[k - 1], "left")
+        known.append(met.where("log IS NOT NULL").select("doc", "n", (F.col("log") + off).alias("log")))
+        fell = F.col(f"p{k - 1}").isNotNull().cast("int")
+        alone = met.where("log IS NULL").select("doc", *grams[k - 2], "n", (F.col("off") + fell).alias("off"))
     base = F.ln(F.col("c") / F.lit(float(total)))
-    fallen = alone.join(unigrams, "word").select(
-        "doc", "n", F.when(F.col("first"), base).otherwise(base + F.ln(F.lit(backoff))).alias("log")
-    )
+    scored = alone.join(unigrams, "word").select("doc", "n", (base + off).alias("log"))
+    for found in known:
+        scored = scored.union(found)
     # A repeated row has counted its words once per copy; sums and numbers grow alike.
-    summed = known.union(fallen).groupBy("doc").agg(F.sum(F.col("n") * F.col("log")).alias("s"), F.sum("n").alias("k"))
+    summed = scored.groupBy("doc").agg(F.sum(F.col("n") * F.col("log")).alias("s"), F.sum("n").alias("k"))
     copies = rows.groupBy("doc").agg(F.count("*").alias("copies"))
     out = rows.select("id", "doc").join(copies, "doc").join(summed, "doc", "left")
     return out.select(

@@ -113,6 +113,13 @@ def op3_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(F.col("id").alias("doc_id"), "n_words", F.round("log_score", 6).alias("log_score"))
 
 
+@query()
+def op3_trigram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every n-gram up to order 3 counts; a word backs off only where the count is 0."""
+    scored = ngrams.scores(table(spark, sf_dir, "documents"), cutoff=1, order=3)
+    return scored.select(F.col("id").alias("doc_id"), "n_words", F.round("log_score", 6).alias("log_score"))
+
+
 @query()
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

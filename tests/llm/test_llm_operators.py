@@ -386,6 +386,33 @@ def test_backoff_scores_equal_plain(docs, none):
     assert ngrams.scores(none).count() == 0
 
 
+@pytest.mark.parametrize(("order", "cutoff"), [(3, 1), (3, 2)])
+def test_longer_backoff_scores_equal_plain(docs, order, cutoff):
+    import collections
+    import math
+
+    from feedloom.llm import ngrams
+
+    words = [(d, (t or "").encode().lower().split()) for d, t, _ in TEXTS]
+    counts = collections.Counter(tuple(w[i : i + k]) for _, w in words for k in range(1, order + 1) for i in range(len(w) - k + 1))
+    total = sum(n for g, n in counts.items() if len(g) == 1)
+
+    def log(gram):
+        if len(gram) == 1:
+            return math.log(counts[gram] / total)
+        if counts[gram] >= cutoff:
+            return math.log(counts[gram] / counts[gram[:-1]])
+        return math.log(ngrams.BACKOFF) + log(gram[1:])
+
+    expected = []
+    for d, w in words:
+        logs = [log(tuple(w[max(0, i - order + 1) : i + 1])) for i in range(len(w))]
+        expected.append((d, len(w), round(sum(logs) / len(logs), 9) if logs else None))
+    found = ngrams.scores(docs, order=order, cutoff=cutoff).collect()
+    got = [(r.id, r.n_words, None if r.log_score is None else round(r.log_score, 9)) for r in found]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+
+
 def test_languages_fuse_evidence(spark):
     from feedloom.llm import language
     from feedloom.session import staged
