@@ -4,9 +4,11 @@ Documents are partitioned by the number of their distinct five-word shingles int
 class with at most u shingles, the hash space is cut into ``SLOTS`` * u slots and a document keeps
 the smallest hash of each slot. The finer slots of larger classes are what keeps a short item in a
 long document findable: of a contained item's shingles each survives with a probability of 0.88
-or more in every class, so that all of m get lost with 0.12^m at most. Items of fewer than
-``SHORT`` shingles, for which that is not small, are met with all hashes. What is met is a
-candidate; exact shingles of the whole texts decide.
+or more in every class. A document is a candidate for an item when its sketch holds a quarter of the item's
+hashes, which a contained item of 8 shingles misses with a probability of 0.00002 and longer ones with less;
+a phrase that items share with many documents alone makes no candidate. Items of fewer than
+``SHORT`` shingles, for which a sketch is too coarse, are met with all hashes in a pass of their own.
+Exact shingles of the whole texts of candidates decide.
 """
 
 from __future__ import annotations
@@ -85,14 +87,38 @@ def shingles(text: Column, words: int = WORDS) -> Column:
     """The distinct shingles themselves: ASCII lower case, words between ASCII white space."""
     capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     tokens = F.array_remove(F.split(F.translate(text, capitals, capitals.lower()), r"[\x20\x09-\x0D]+"), "")
-    return F.array_distinct(
-        F.when(F.size(tokens) == 0, F.array().cast("array<string>")).otherwise(
-            F.transform(
-                F.sequence(F.lit(1), F.greatest(F.size(tokens) - words + 1, F.lit(1))),
-                lambda i: F.array_join(F.slice(tokens, i, words), " "),
-            )
+
+    def spans(t: Column) -> Column:
+        numbers = F.sequence(F.lit(1), F.greatest(F.size(t) - words + 1, F.lit(1)))
+        return F.when(F.size(t) == 0, F.array().cast("array<string>")).otherwise(
+            F.array_distinct(F.transform(numbers, lambda i: F.array_join(F.slice(t, i, words), " ")))
         )
+
+    # As the variable of a lambda the words are worked out once per text and not once per shingle.
+    return F.element_at(F.transform(F.array(tokens), spans), 1)
+
+
+def _candidates(keyed: DataFrame, item_set: DataFrame, words: int) -> DataFrame:
+    """(id, t1, t2) of the documents in which an item may be."""
+    who = ["id", "t1", "t2"]
+    asked = staged(
+        item_set.select(
+            F.xxhash64("item_id", "item_key").alias("item"),
+            F.size("hashes").alias("m"),
+            F.explode("hashes").alias("h"),
+        ),
+        "item-hashes",
+    )
+    found = keyed.select(*who, F.explode(_hashes(F.col("text"), words, False)).alias("h"))
+    met = found.join(asked.where(F.col("m") >= SHORT), "h").groupBy(*who, "item").agg(
+        F.count("*").alias("n"), F.first("m").alias("m")
     )
+    wanted = met.where(F.col("n") * 4 >= F.col("m")).select(*who)
+    few = asked.where(F.col("m") < SHORT)
+    if not few.isEmpty():
+        every = keyed.select(*who, F.explode(_hashes(F.col("text"), words, True)).alias("h"))
+        wanted = wanted.union(every.join(few.select("h").distinct(), "h", "left_semi").select(*who))
+    return staged(wanted.distinct(), "candidates")
 
 
 def matches(
@@ -112,6 +138,9 @@ def matches(
     the same words only. Items that share an id count as items of their own. Repeated documents
     are one match. Null texts are empty; null ids are kept. Item sketches are a written table:
     Spark sends them to all tasks if they are small and else shuffles both sides.
+
+    Shared shingles of candidates and items are counted as rows, with a partial count in each task;
+    no task gathers the documents of an item or the items of a document.
     """
     item_rows = items.select(F.col(item_col).alias("item_id"), text_of(item_text_col).alias("text")).distinct()
     item_set = staged(
@@ -123,27 +152,20 @@ def matches(
         ).where(F.size("item_shingles") > 0),
         "items",
     )
-    asked = staged(
-        item_set.select("item_id", "item_key", F.explode("hashes").alias("h")),
-        "item-hashes",
-    )
-    short = not item_set.where(F.size("hashes") < SHORT).isEmpty()
     t1, t2 = text_key(text_of(text_col))
     keyed = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), t1.alias("t1"), t2.alias("t2"))
-    found = keyed.select("id", "t1", "t2", F.explode(_hashes(F.col("text"), words, short)).alias("h"))
-    candidates = found.join(asked, "h").select("id", "t1", "t2", "item_id", "item_key").distinct()
-    candidates = staged(candidates, "candidates")
-    per_doc = candidates.groupBy("id", "t1", "t2").agg(F.collect_list(F.struct("item_id", "item_key")).alias("asked"))
-    per_doc = per_doc.select(F.col("id").alias("_id"), F.col("t1").alias("_1"), F.col("t2").alias("_2"), "asked")
+    wanted = _candidates(keyed, item_set, words).toDF("_id", "_1", "_2")
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("t1") == F.col("_1")) & (F.col("t2") == F.col("_2"))
-    texts = keyed.join(per_doc, same).select("id", "t1", "t2", "asked", shingles(F.col("text"), words).alias("own"))
-    pairs = texts.select("id", "t1", "t2", "own", F.inline("asked"))
-    right = item_set.select(F.col("item_id").alias("_item"), F.col("item_key").alias("_key"), "item_shingles")
-    both = pairs.join(right, F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("item_key") == F.col("_key")))
-    n_found = F.size(F.array_intersect("item_shingles", "own"))
-    counted = both.select("id", "t1", "t2", "item_id", F.size("item_shingles").alias("n_shingles"), n_found.alias("n_found"))
+    held = keyed.join(wanted, same, "left_semi").dropDuplicates(["id", "t1", "t2"])
+    own = held.select("id", "t1", "t2", F.explode(shingles(F.col("text"), words)).alias("shingle"))
+    asked = item_set.select(
+        "item_id", "item_key", F.size("item_shingles").alias("n_shingles"), F.explode("item_shingles").alias("shingle")
+    )
+    counted = own.join(asked, "shingle").groupBy("id", "t1", "t2", "item_id", "item_key", "n_shingles").agg(
+        F.count("*").cast("int").alias("n_found")
+    )
     return (
-        counted.withColumn("containment", F.col("n_found") / F.col("n_shingles"))
+        counted.select("id", "t1", "t2", "item_id", "n_shingles", "n_found", (F.col("n_found") / F.col("n_shingles")).alias("containment"))
         .where(F.col("containment") >= share)
         .distinct()
     )

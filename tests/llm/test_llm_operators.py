@@ -174,6 +174,32 @@ def test_matches_equal_plain(spark, docs, none):
     assert decontamination.matches(none, items).count() == decontamination.matches(docs, items.limit(0)).count() == 0
 
 
+def test_long_items_are_met_by_sketch(spark, monkeypatch):
+    draw = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(5000)]
+    items = [(i, " ".join(draw.choice(words, 14 + i))) for i in range(40)]
+    phrase = " ".join(items[0][1].split()[:6])
+    docs = [(i, " ".join([*draw.choice(words, 300), *items[i % 40][1].split(), *draw.choice(words, 300)])) for i in range(60)]
+    docs += [(100 + i, " ".join([*draw.choice(words, 50), phrase])) for i in range(40)]
+    docs += [(200, " ".join([*draw.choice(words, 20_000), *items[7][1].split()])), (201, " ".join(items[9][1].split()[:9]))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    held = spark.createDataFrame(items, "item_id long, text string")
+    asked = []
+    hashes = decontamination._hashes
+    monkeypatch.setattr(decontamination, "_hashes", lambda text, words, whole: asked.append(whole) or hashes(text, words, whole))
+
+    def shingles(text):
+        words = text.split()
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+    expected = {(d, i) for d, t in docs for i, x in items if len(shingles(x) & shingles(t)) >= 0.8 * len(shingles(x))}
+    assert {(r.id, r.item_id) for r in decontamination.matches(frame, held).collect()} == expected and len(expected) >= 61
+    assert asked == [True, False]  # items whole, documents by sketch alone
+    short = held.union(spark.createDataFrame([(77, "w1 w2"), (78, items[3][1])], held.schema))
+    more = {(r.id, r.item_id) for r in decontamination.matches(frame, short).collect()}
+    assert more == expected | {(d, 78) for d, i in expected if i == 3}
+
+
 def test_sketch_finds_short_items_in_long_texts():
     draw = np.random.default_rng(1)
     missed = 0
