@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedloom.session import staged
+
 #: Fixed value: the characters that separate words, [\x20\x09-\x0D].
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -43,3 +45,21 @@ def slices(texts: pd.Series, budget: int) -> Iterator[pd.Series]:
         held += size
     if start < len(texts):
         yield texts.iloc[start:]
+
+
+def prefix_sums(df: DataFrame, order: Sequence[str], value: str, name: str) -> DataFrame:
+    """Adds ``name``: the sum of ``value`` over all rows that come earlier in ``order``.
+
+    Rows are dealt to ranges of ``order`` and written; the sums of whole ranges, one row for each, are
+    added up apart. No task holds more than its range.
+    """
+    part, done = fresh(df, "range_part"), fresh(df, "range_start")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = staged(df.repartitionByRange(n, *order).withColumn(part, F.spark_partition_id()), "ranges")
+    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy(part).agg(F.sum(value).alias(done)).select(
+        part, F.coalesce(F.sum(done).over(earlier), F.lit(0)).alias(done)
+    )
+    inside = Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = F.coalesce(F.sum(value).over(inside), F.lit(0)) + F.col(done)
+    return ranged.join(F.broadcast(starts), part).withColumn(name, summed.cast("long")).drop(part, done)

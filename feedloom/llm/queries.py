@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm import (
+    chosenpath,
     decontamination,
     editprints,
     language,
     linededup,
+    merkle,
     mixing,
     ngrams,
     records,
     simhash,
     tokencounts,
     toxicity,
+    trie,
 )
 from feedloom.session import scratch_folder, staged
 
@@ -235,3 +238,139 @@ def op9_edit_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.hex_digits("fp").alias("fingerprint"), "component_id")
+
+
+def _sql_crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit: SQL has no such function."""
+    bit = f"(CASE WHEN i % 8 = 0 THEN xor(acc, ascii({text}[i // 8 + 1])) ELSE acc END)"
+    step = f"xor({bit} >> 1, 3988292384 * ({bit} & 1))"
+    return (
+        f"xor(list_reduce(list_prepend(4294967295::BIGINT, range(8 * length({text}))), "
+        f"lambda acc, i: {step}), 4294967295::BIGINT)"
+    )
+
+
+_WORDS_SQL = r"len(regexp_extract_all({}, '[^\x20\x09-\x0D]+'))"
+
+
+@query(
+    f"""
+    WITH own AS (
+      SELECT conv_id AS c, conv_id::VARCHAR AS name,
+             list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS turns
+      FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    drawn AS (SELECT c, turns, {_sql_crc32("name")} % 4 AS h FROM own),
+    built AS (
+      SELECT d.c, list_concat(coalesce(b.turns[1:d.h], []), d.turns[d.h + 1:]) AS path
+      FROM drawn d LEFT JOIN own b ON b.c = d.c - d.c % 20),
+    members AS (SELECT c, path, unnest(range(len(path) + 1)) AS depth FROM built),
+    nodes AS (
+      SELECT path[1:depth] AS node, depth, min(c) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE len(path) = depth), '')) AS ends_sha256
+      FROM members GROUP BY ALL),
+    parted AS (SELECT *, CASE WHEN depth > 0 THEN node[1:depth - 1] END AS above FROM nodes),
+    kids AS (SELECT above, count(*) AS n FROM parted WHERE depth > 0 GROUP BY above),
+    own_sums AS (
+      SELECT p.*, coalesce(k.n, 0) AS n_children,
+             CASE WHEN depth > 0 THEN (n_convs - 1) * {_WORDS_SQL.format("node[depth].text")} ELSE 0 END AS saved
+      FROM parted p LEFT JOIN kids k ON k.above = p.node),
+    spread AS (SELECT node[1:d] AS node, saved, (n_children = 0)::INT AS leaf FROM (SELECT *, unnest(range(depth + 1)) AS d FROM own_sums)),
+    sums AS (SELECT node, sum(saved)::BIGINT AS saved_tokens, sum(leaf)::BIGINT AS n_leaves FROM spread GROUP BY node)
+    SELECT o.conv_id, o.depth, u.conv_id AS parent_conv_id, o.n_convs, o.n_children, s.n_leaves, s.saved_tokens, o.ends_sha256
+    FROM own_sums o JOIN sums s ON s.node = o.node LEFT JOIN own_sums u ON u.node = o.above
+    """
+)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = trie.with_borrowed_heads(trie.conversations(table(spark, sf_dir, "conversations")))
+    return trie.prefix_trie(convs)
+
+
+def _sql_field(column: str) -> str:
+    return f"coalesce(octet_length(encode({column}::VARCHAR))::VARCHAR || ':' || {column}::VARCHAR, '-')"
+
+
+def _sql_tree(name: str, key: str, levels: int) -> str:
+    """CTEs name0..: (key, p, h, n, l, r), the nodes of each level with the digests beside them."""
+    run = f"PARTITION BY {key}, p // 16 ORDER BY p ROWS BETWEEN"
+    out = []
+    for i in range(levels):
+        rows = f"{name}_in" if i == 0 else f"(SELECT {key}, p // 16 AS p, sha256(string_agg(h, '' ORDER BY p)) AS h, any_value((n + 15) // 16) AS n FROM {name}{i - 1} WHERE n > 1 GROUP BY {key}, p // 16)"
+        out.append(
+            f"{name}{i} AS (SELECT {key}, p, h, n, coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, "
+            f"coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {rows})"
+        )
+    tops = " UNION ALL ".join(f"SELECT {key}, h AS top FROM {name}{i} WHERE n = 1" for i in range(levels))
+    return ", ".join([*out, f"{name}_top AS ({tops})"])
+
+
+def _sql_climb(rows: str, name: str, key: str, levels: int) -> str:
+    """The rows (key, p, folded, proof, ...) with folded and proof carried to the top of their tree."""
+    for i in range(levels):
+        rows = (
+            f"(SELECT x.* EXCLUDE (p, folded, proof), x.p // 16 AS p, CASE WHEN t.n > 1 THEN sha256(t.l || folded || t.r) ELSE folded END AS folded, "
+            f"proof || CASE WHEN t.n > 1 THEN t.l || t.r ELSE '' END AS proof FROM {rows} x "
+            f"LEFT JOIN {name}{i} t ON t.{key} = x.{key} AND t.p = x.p)"
+        )
+    return rows
+
+
+@query(
+    f"""
+    WITH rows AS (
+      SELECT *, coalesce('s' || source, '') AS grp,
+             {" || ".join(_sql_field(c) for c in ("doc_id", "source", "lang", "n_chars"))} AS head, doc_id::VARCHAR AS name FROM documents),
+    leaves AS (
+      SELECT doc_id, grp, sha256(head || {_sql_field("text")}) AS leaf,
+             sha256(head || {_sql_field("CASE WHEN " + _sql_crc32("name") + " % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END")}) AS found
+      FROM rows),
+    placed AS (
+      SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, count(*) OVER (PARTITION BY grp) AS n FROM leaves),
+    a_in AS (SELECT grp, p, leaf AS h, n FROM placed),
+    {_sql_tree("a", "grp", 6)},
+    subs AS (SELECT grp, top, row_number() OVER (ORDER BY encode(grp)) - 1 AS place, count(*) OVER () AS n FROM a_top),
+    b_in AS (SELECT 1 AS one, place AS p, top AS h, n FROM subs),
+    {_sql_tree("b", "one", 4)},
+    low AS (SELECT * FROM {_sql_climb("(SELECT *, found AS folded, '' AS proof FROM placed)", "a", "grp", 6)}),
+    middle AS (SELECT low.* EXCLUDE (p), 1 AS one, s.top AS subroot, s.place AS p FROM low JOIN subs s ON s.grp = low.grp),
+    high AS (SELECT * FROM {_sql_climb("middle", "b", "one", 4)})
+    SELECT doc_id, leaf, subroot, b_top.top AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = b_top.top AS verified
+    FROM high JOIN b_top ON b_top.one = high.one
+    """
+)
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where 5 divides the checksum of the id, the text is found with its A-Z lower-cased."""
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    found = merkle.manifest(
+        table(spark, sf_dir, "documents"),
+        ["doc_id", "source", "lang", "n_chars", "text"],
+        tampered={"text": F.translate("text", capitals, capitals.lower())},
+        suspect=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0,
+    )
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@query(
+    rf"""
+    WITH docs AS (
+      SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+    shingles AS (
+      SELECT DISTINCT doc_id, array_to_string(words[i:least(i + 3, len(words))], ' ') AS shingle
+      FROM (SELECT *, unnest(generate_series(1, greatest(len(words) - 3, 1))) AS i FROM docs WHERE len(words) > 0)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    shared AS (
+      SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m
+      FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS (
+      SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * m >= 80 * (x.n + y.n - m)),
+    either AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach AS (
+      WITH RECURSIVE walk AS (
+        SELECT doc_id AS a, doc_id AS b FROM documents
+        UNION SELECT w.a, e.b FROM walk w JOIN either e ON e.a = w.b)
+      SELECT a, min(b) AS component_id FROM walk GROUP BY a)
+    SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, r.component_id, d.doc_id = r.component_id AS kept
+    FROM docs d JOIN reach r ON r.a = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+    """
+)
+def op13_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosenpath.components(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")

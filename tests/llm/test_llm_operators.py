@@ -380,7 +380,7 @@ def test_toxicity_learns_and_scores(spark, docs, none):
 
 def test_query_names():
     numbers = {int(n[2:].split("_")[0]) for n in LLM_QUERIES if n.startswith("op")}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
     assert set(LLM_ORACLES) <= set(LLM_QUERIES)
     assert zlib.crc32(b"1") % 4 in range(4)
 
