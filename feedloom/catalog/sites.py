@@ -461,3 +461,44 @@ def site_all_rules(spark, sf_dir):
     # Research descriptions repeat the title and are not part of the SQL.
     shown = F.when(F.col("rule_id") != "research_cards", F.col("description"))
     return rows.select("feed_name", "link", "title", shown.alias("description"), stamp("published"))
+
+
+@query(f"""
+WITH o AS (
+  SELECT *, 'https://shop.example/order/' || o_orderkey - (o_orderkey % 10 = 9)::INT AS link FROM orders WHERE o_orderkey % 17 <> 0
+  QUALIFY row_number() OVER (PARTITION BY {SITE}, o_orderkey - (o_orderkey % 10 = 9)::INT ORDER BY o_orderkey) = 1),
+known AS (
+  SELECT {SITE} AS feed_name, link, upper(o_orderstatus) || ' ' || {TITLE} AS title,
+         CASE WHEN o_orderkey % 5 = 0 THEN 'urgent' ELSE 'other' END AS category,
+         CASE WHEN o_orderkey % 4 = 0 THEN 'Clerk of ' || o_orderkey ELSE upper(o_orderstatus) || ' ' || {TITLE} END AS description,
+         CASE WHEN o_orderkey % 3 = 0 THEN {sql_fallback('link')} ELSE {DAY} END AS published
+  FROM o)
+SELECT feed_name, link, title, category, description, {sql_stamp('published')} AS published FROM known""")
+def site_outside_rule(spark, sf_dir):
+    """A rule that the package does not know, as one row of a table beside those it knows."""
+    from feedloom.plans import rulebook
+
+    rule = (
+        "order_cards", "https://shop.example", "strip_slash", "query", "^/order/?$", 0, "first_valid", "non_blank", "other",
+        ["d/M/yyyy"], ["unescape"],
+        rulebook.program(
+            [{"items": "ul.orders li"}],
+            [
+                {"field": "link", "path": ["a[href]"], "attr": "href"},
+                {"field": "title", "path": ["b.gone"], "form": "tight"},
+                {"field": "title", "path": ["a", "b"], "form": "collapsed", "min_chars": 4},
+                {"field": "category", "attr": "data-mark", "pattern": "^1-", "value": "urgent"},
+                {"field": "date", "path": ["time"], "take": "every", "reject": "^0"},
+                {"field": "description", "path": ["p"], "take": "every", "reject": "(?i)^read more"},
+            ],
+        ),
+        None,
+    )
+    book = rulebook.builtin_rules(spark).unionByName(rulebook.rule_rows(spark, [rule]))
+    mark = F.when(_key() % 5 == 0, "1-URGENT").otherwise("5-LOW")
+    heading = F.when(_key() % 17 == 0, "abc").otherwise(_text(F.upper("o_orderstatus"), " \n ", _title()))
+    day = F.when(_key() % 3 == 0, "<time>some day</time>").otherwise(_text("<time>0/0/0000</time><time>", _written("d/M/yyyy"), "</time>"))
+    about = F.when(_key() % 4 == 0, _text("<p>Read more here</p><p>Clerk of ", _key_text(), "</p>")).otherwise("")
+    item = _text('<li data-mark="', mark, '"><a href="order/', _same_link(), '?ref=list"><b>', heading, "</b></a>", day, about, "</li>")
+    pages = _pages(spark, sf_dir, "order_cards", item, '<ul class="orders"><li><a href="/order/"><b>All orders</b></a></li>', "</ul>")
+    return _shown(plans.site_entries(pages, rulebook=book), "category", "description")

@@ -59,6 +59,16 @@ def _shape(pattern: str) -> str:
     return "(?i)^" + re.sub(r"M+|d+|y+", lambda m: _LETTERS[m.group()], pattern) + "$"
 
 
+def shape_of(pattern: Column) -> Column:
+    """``_shape`` for patterns that are data; a letter's stand-in holds no letter that comes after it here."""
+    out = pattern
+    for letters in ("yyyy", "dd", "d", "MMMM", "MMM", "MM", "M"):
+        out = F.regexp_replace(out, rf"(?<![{letters[0]}\\]){letters}(?!{letters[0]})", f"<{'yMd'.index(letters[0])}{len(letters)}>")
+    for letters, stands in _LETTERS.items():
+        out = F.replace(out, F.lit(f"<{'yMd'.index(letters[0])}{len(letters)}>"), F.lit(stands))
+    return F.concat(F.lit("(?i)^"), out, F.lit("$"))
+
+
 def parse_date(text: Column, patterns: Sequence[str]) -> Column:
     """First pattern that fits, as a UTC wall-clock time.
 

@@ -13,12 +13,14 @@ Selectors: tag, ``.class``, ``#id``, ``[attr]``, ``[attr="v"]``, ``[attr^="v"]``
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 from bisect import bisect_right
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from html.parser import HTMLParser
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -335,3 +337,111 @@ def tight_text(node: Column) -> Column:
 def spaced_text(node: Column) -> Column:
     """Each piece of text trimmed, then joined with one space."""
     return F.array_join(_pieces(node), " ")
+
+
+class _Read:
+    """One way to a field's text: where to look inside an item, what to take, and which texts count."""
+
+    def __init__(self, spec: Mapping):
+        self.field, self.section = spec["field"], spec.get("section")
+        self.path = [_compile(step) for step in spec.get("path") or ()]
+        self.take, self.near = spec.get("take") or "first", bool(spec.get("near"))
+        self.form, self.attr = spec.get("form") or "text", spec.get("attr")
+        self.least = 1 if spec.get("min_chars") is None else spec["min_chars"]
+        self.pattern = re.compile(spec["pattern"]) if spec.get("pattern") else None
+        self.reject = re.compile(spec["reject"]) if spec.get("reject") else None
+        self.value = spec.get("value")
+
+    def nodes(self, page: _Page, scope: int) -> list[int]:
+        inner = [scope]
+        for number, selector in enumerate(self.path):
+            first = number < len(self.path) - 1 or self.take == "first"
+            inner = _find(page, inner[0], selector, first) if inner else []
+        return inner[-1:] if self.take == "last" else inner
+
+    def texts(self, page: _Page, scope: int) -> list[str]:
+        out = []
+        for node in self.nodes(page, scope):
+            text = page.attrs[node].get(self.attr) if self.attr else _FORMS[self.form](page.strings_of(node))
+            if text is not None and self.pattern:
+                match = self.pattern.search(text)
+                text = match.group(match.re.groups and 1) if match else None
+            if text is None or len(text) < self.least or (self.reject and self.reject.search(text)):
+                continue
+            out.append(text if self.value is None else self.value)
+        return out
+
+
+_FORMS: dict[str, Callable[[list[str]], str]] = {
+    "text": lambda strings: "".join(strings).strip(),
+    "joined": "".join,
+    "tight": lambda strings: "".join(s for s in (x.strip() for x in strings) if s),
+    "spaced": lambda strings: " ".join(s for s in (x.strip() for x in strings) if s),
+    "collapsed": lambda strings: " ".join("".join(strings).split()),
+}
+READ_FIELDS = ("link", "title", "description", "category")
+
+
+class _Program:
+    """A rule's sections and reads, compiled once for all pages of a task that have the same rule text."""
+
+    def __init__(self, text: str):
+        spec = json.loads(text)
+        self.sections = [(_compile(s["items"]), s.get("first"), s.get("fallback")) for s in spec["sections"]]
+        reads = [_Read(r) for r in spec["reads"]]
+        # Reads of one field that look around go outwards together.
+        self.groups = [list(g) for _, g in groupby(reads, key=lambda r: (r.field, r.section, r.near))]
+
+    def rows(self, page: _Page) -> list[dict]:
+        found: list[dict] = []
+        for rank, (items, first, fallback) in enumerate(self.sections):
+            if not (fallback and found):
+                found += [self.row(page, rank, item) for item in _find(page, -1, items, bool(first))]
+        return found
+
+    def row(self, page: _Page, rank: int, item: int) -> dict:
+        row: dict = {"section": rank, "pos": item, "dates": []}
+        for group in self.groups:
+            field, section = group[0].field, group[0].section
+            if section not in (None, rank):
+                continue
+            scope = item
+            for _ in range(3 if group[0].near else 1):
+                for read in group:
+                    if field == "date":
+                        row["dates"] += read.texts(page, scope)
+                    elif row.get(field) is None and (texts := read.texts(page, scope)):
+                        row[field] = texts[0]
+                scope = page.parent[scope] if scope >= 0 else -1
+        return row
+
+
+def read_items(markup: Column, program: Column) -> Column:
+    """The items of each page under the rule in its own row, each with its fields' texts.
+
+    ``program`` is a rule as JSON: ``sections`` (items, first, fallback; see ``select_items``) and ``reads``, tried in
+    order for each field: field (link, title, description, category or date), section (its number; all if absent),
+    path (selectors, each inside the first match of the one before; none is the item itself), take (first,
+    last or every match), near (look in the item, its parent and grandparent), form (text, tight, spaced,
+    collapsed or joined) or attr, pattern (what it finds, or its first group, is the text), min_chars (1), reject (texts
+    that do not count), value (stands for any text that counts). The first text that counts is the field's; of dates all
+    are given. Pages or programs that are null have no items.
+    """
+    names = [("section", pa.int32()), ("pos", pa.int32()), *[(f, pa.string()) for f in READ_FIELDS], ("dates", pa.list_(pa.string()))]
+    shape = pa.list_(pa.struct(names))
+    fields = ", ".join(f"{f}: STRING" for f in READ_FIELDS)
+
+    @F.arrow_udf(f"ARRAY<STRUCT<section: INT, pos: INT, {fields}, dates: ARRAY<STRING>>>")
+    def walk(markups: pa.Array, programs: pa.Array) -> pa.Array:
+        ready: dict[str, _Program] = {}
+
+        def rows(text: str | None, rule: str | None) -> list[dict]:
+            if not text or not rule:
+                return []
+            if rule not in ready:
+                ready[rule] = _Program(rule)
+            return ready[rule].rows(_Page(text))
+
+        return pa.array([rows(t.as_py(), r.as_py()) for t, r in zip(markups, programs)], type=shape)
+
+    return walk(markup, program)

@@ -1,55 +1,27 @@
 """From listing pages of all sites to entries, in one pass over the pages.
 
-Each page is walked once under the rule of its site. What differs between rules is chosen
-per row by ``by_rule``, so the page table is not read once per site.
+Each page is walked once under the rule of its site. Rules are rows (``rulebook``) that travel with the
+pages, so the page table is not read once per site and a new site needs no code.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection, Mapping
-from functools import partial
+from collections.abc import Collection, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.functions import dates, markup, text, urls
-from feedloom.functions.markup import node_text, spaced_text, tight_text
+from feedloom.functions import dates, markup, text
 from feedloom.operators import extract
 from feedloom.operators.filters import non_blank, valid_entry
 from feedloom.operators.joins import join_dimension
 from feedloom.operators.merge import new_entries
 from feedloom.operators.pagination import pagination_frontier
-from feedloom.plans.rules import DATE_PATTERNS, DETAIL_LAYOUTS, LAYOUTS, POLICIES
+from feedloom.plans.rulebook import builtin_rules, first_of_patterns, json_rule, option, read_listing, with_rules
 from feedloom.plans.sites import BASE_URLS
 from feedloom.session import cut_lineage
 
 
-Choice = Column | Callable[[], Column]
-
-
-def by_rule(
-    choices: Mapping[str, Choice], otherwise: Column | None = None, rules: Collection[str] | None = None
-) -> Column:
-    """The expression of the row's own rule; NULL (or ``otherwise``) for the rest.
-
-    Only the choices of ``rules`` are built, if given.
-    """
-    chosen: Column | None = None
-    for rule, choice in choices.items():
-        if rules is not None and rule not in rules:
-            continue
-        condition = F.col("rule_id") == rule
-        value = choice if isinstance(choice, Column) else choice()
-        chosen = F.when(condition, value) if chosen is None else chosen.when(condition, value)
-    rest = otherwise if otherwise is not None else F.lit(None)
-    return rest if chosen is None else chosen.otherwise(rest)
-
-
-def rules_where(test: Callable) -> Column:
-    """True for rows whose rule has a policy that passes ``test``."""
-    return F.col("rule_id").isin([rule for rule, policy in POLICIES.items() if test(policy)])
-
-
 def route_pages(pages: DataFrame, registry: DataFrame) -> DataFrame:
     """Pages of enabled feeds, with the rule of their feed."""
     routes = registry.where(F.coalesce("enabled", F.lit(True))).select("feed_name", "rule_id")
@@ -67,170 +39,51 @@ def _settle(df: DataFrame) -> DataFrame:
 
 def _with_defaults(pages: DataFrame) -> DataFrame:
     """Page number 1, no collection and the rule's own base URL unless the table says more."""
-    defaults = {
-        "page_no": F.lit(1),
-        "collection_id": F.lit(""),
-        "base_url": by_rule({rule: F.lit(url) for rule, url in BASE_URLS.items()}),
-    }
+    base = F.create_map(*[F.lit(x) for pair in BASE_URLS.items() for x in pair])[F.col("rule_id")]
+    defaults = {**{c: F.lit(v) for c, v in _PLACE.items()}, "base_url": base}
     return pages.withColumns({c: v for c, v in defaults.items() if c not in pages.columns})
 
 
 PAGE = ["feed_name", "rule_id", "page_no", "collection_id"]
-CANDIDATE = [*PAGE, "section", "pos", "link", "title", "description", "category", "published", "usable", "valid"]
-
-
-def _nodes(name: str) -> Column:
-    return F.coalesce(F.col("fields")[name], F.array().cast(f"array<{markup.NODE}>"))
-
-
-def _texts(name: str, reading: Callable[[Column], Column]) -> Column:
-    return F.transform(_nodes(name), reading)
-
+CANDIDATE = [*PAGE, "section", "pos", "link", "title", "description", "category", "published", "usable", "valid", "dedupe"]
 
-def _first(name: str, reading: Callable[[Column], Column]) -> Column:
-    return reading(F.get(_nodes(name), F.lit(0)))
 
-
-def listing_candidates(pages: DataFrame, rules: Collection[str] | None = None) -> DataFrame:
+def listing_candidates(
+    pages: DataFrame, rules: Collection[str] | None = None, rulebook: DataFrame | None = None
+) -> DataFrame:
     """Every item of every listing page, resolved but neither filtered nor de-duplicated.
 
     ``usable`` is false for index pages and items without a link, ``valid`` tells whether
     the entry passes the checks of its rule. ``published`` is NULL where no date was read.
-    ``rules`` names the rules in use; pages of others are passed over.
+    ``rulebook`` holds the rules as rows (``rulebook.RULE``; by default those of the known sites);
+    ``rules`` names the rules in use: pages of others are passed over.
     """
-    rules = [r for r in LAYOUTS if rules is None or r in rules]
-    walked = _with_defaults(pages).select(
-        *PAGE,
-        "base_url",
-        F.inline(markup.select_items(F.col("html"), F.col("rule_id"), {r: LAYOUTS[r] for r in rules})),
-    )
-
-    def pick(choices: Mapping[str, Choice], otherwise: Column | None = None) -> Column:
-        return by_rule(choices, otherwise, rules)
-
-    anchors = ["news_cards", "research_cards", "note_links"]
-    item_href = F.col("item.attrs")["href"]
-    link_href = F.get(_nodes("link"), F.lit(0))["attrs"]["href"]
-    walked = walked.withColumn("href", pick({r: item_href for r in anchors}, link_href))
-
-    href, base, item = F.col("href"), F.col("base_url"), F.col("item")
-    full = {r: partial(urls.absolute_url, href, base, POLICIES[r].url_mode) for r in rules}
-    plain_link = pick({r: f for r, f in full.items() if r not in ("time_articles", "front_page")})
-    link = pick(
-        {
-            "time_articles": lambda: urls.canonical_url(full["time_articles"]()),
-            "front_page": lambda: urls.strip_slashes(full["front_page"]()),
-        },
-        plain_link,
-    )
-
-    def research_title() -> Column:
-        whole = text.collapse_space(node_text(item))
-        headings = _texts("title", lambda n: text.collapse_space(node_text(n)))
-        return F.coalesce(text.first_match(headings, 5), F.when(F.length(whole) >= 5, whole))
-
-    title = pick(
-        {
-            "news_cards": lambda: text.first_match(_texts("title", node_text)),
-            "research_cards": research_title,
-            "note_links": lambda: _first("title", node_text),
-            "dyn_items": lambda: F.coalesce(
-                text.null_if_blank(_first("title", tight_text)),
-                text.null_if_blank(F.get(_nodes("link"), F.lit(0))["attrs"]["data-cta-copy"]),
-                _first("other_title", tight_text),
-            ),
-            "dated_articles": lambda: _first("link", tight_text),
-            "legacy_links": lambda: _first("link", tight_text),
-            "time_articles": lambda: _first("title", tight_text),
-            "front_page": lambda: _first("link", tight_text),
-        }
-    )
+    book = _book(pages.sparkSession, rulebook, rules)
+    shown = pages.withColumns({c: F.lit(v) for c, v in _PLACE.items() if c not in pages.columns})
+    base = ["base_url"] if "base_url" in pages.columns else []
+    read = read_listing(with_rules(shown.select(*PAGE, *base, "html"), book), PAGE)
+    settled = _settle(read).withColumn("description", F.coalesce("description", "title"))
+    return _judge(settled).select(*CANDIDATE)
 
-    def any_date(rule: str) -> Column:
-        return dates.first_date(_texts("date", node_text), DATE_PATTERNS[rule])
 
-    def posted_date() -> Column:
-        posted = dates.strip_posted_on(_first("date", tight_text))
-        listed = dates.parse_date(dates.require_weekday(posted), DATE_PATTERNS["dated_articles"])
-        return F.coalesce(listed, dates.slug_date(href))
+_PLACE = {"page_no": 1, "collection_id": ""}
 
-    published = pick(
-        {
-            "news_cards": partial(any_date, "news_cards"),
-            "research_cards": partial(any_date, "research_cards"),
-            "dyn_items": lambda: dates.text_date(F.array_join(item["strings"], "")),
-            "dated_articles": posted_date,
-            "time_articles": lambda: dates.parse_date(
-                dates.strip_weekday(_first("date", tight_text), comma=True), DATE_PATTERNS["time_articles"]
-            ),
-            "front_page": lambda: dates.parse_date(
-                tight_text(F.try_element_at(_nodes("date"), F.lit(-1))), DATE_PATTERNS["front_page"]
-            ),
-        }
-    )
-
-    category = pick(
-        {
-            "news_cards": lambda: text.first_category(_texts("category", node_text), "News"),
-            "research_cards": lambda: text.url_category(href),
-            "dyn_items": lambda: F.coalesce(
-                text.null_if_blank(_first("category", tight_text)),
-                text.null_if_blank(item["attrs"]["data-category"]),
-            ),
-            "front_page": lambda: text.null_if_blank(_first("category", tight_text)),
-        }
-    )
-
-    description = pick(
-        {
-            "note_links": lambda: _first("description", node_text),
-            "dyn_items": lambda: text.null_if_blank(_first("description", tight_text)),
-            "dated_articles": lambda: text.first_paragraph(_texts("description", spaced_text), "equals"),
-            "time_articles": lambda: text.first_paragraph(_texts("description", spaced_text), "prefix"),
-        }
-    )
 
-    # A second source of one feed comes after the first.
-    section = F.when(F.col("rule_id") == "legacy_links", F.col("section") + 1).otherwise(F.col("section"))
-    resolved = walked.select(
-        *PAGE,
-        "href",
-        section.alias("section"),
-        "pos",
-        link.cast("string").alias("link"),
-        title.cast("string").alias("title"),
-        description.cast("string").alias("description"),
-        category.cast("string").alias("category"),
-        published.cast("timestamp_ntz").alias("published"),
-    )
-    settled = _settle(resolved).withColumn("description", F.coalesce("description", "title"))
-    return _judge(settled).select(*CANDIDATE)
+def _book(spark: SparkSession, rulebook: DataFrame | None, rules: Collection[str] | None) -> DataFrame:
+    book = builtin_rules(spark) if rulebook is None else rulebook
+    return book if rules is None else book.where(F.col("rule_id").isin(list(rules)))
 
 
 def _judge(resolved: DataFrame) -> DataFrame:
     """Add ``usable`` and ``valid``. Every rule that asks for a date also has a stand-in date."""
-    href, link = F.col("href"), F.col("link")
-    research_index = (href == "/research") | F.endswith(href, F.lit("/research/"))
-    unusable = by_rule(
-        {
-            "news_cards": urls.is_index_page(link, "news"),
-            "research_cards": research_index,
-            "dyn_items": F.contains(href, F.lit("/blog/category/")),
-        },
-        F.lit(False),
-    )
-    blank_allowed = F.col("rule_id").isin(["time_articles", "legacy_links", "front_page"])
+    listing = F.coalesce(F.rlike("href", F.col("listing")), F.lit(False))
     valid = (
-        F.when(rules_where(lambda p: p.validate in ("strict", "lax")), valid_entry(require_date=False))
-        .when(rules_where(lambda p: p.validate == "titled"), F.col("title").isNotNull())
+        F.when(F.col("validate").isin("strict", "lax"), valid_entry(require_date=False))
+        .when(F.col("validate") == "titled", F.col("title").isNotNull())
         .otherwise(non_blank())
     )
-    return resolved.withColumns(
-        {
-            "usable": F.coalesce(link.isNotNull() & ((href != "") | blank_allowed) & ~unusable, F.lit(False)),
-            "valid": valid,
-        }
-    )
+    usable = F.col("link").isNotNull() & ((F.col("href") != "") | option("blank_href")) & ~listing
+    return resolved.withColumns({"usable": F.coalesce(usable, F.lit(False)), "valid": valid})
 
 
 def choose_entries(candidates: DataFrame) -> DataFrame:
@@ -243,8 +96,8 @@ def choose_entries(candidates: DataFrame) -> DataFrame:
     * first seen   — the first row wins and is dropped afterwards if it is invalid;
     * first dated  — inside the first page a dated row wins, at the place of the first row.
     """
-    seen = rules_where(lambda p: p.dedupe == "first_seen")
-    undated_last = rules_where(lambda p: p.dedupe == "first_dated") & F.col("published").isNull()
+    seen = F.col("dedupe") == "first_seen"
+    undated_last = (F.col("dedupe") == "first_dated") & F.col("published").isNull()
     rows = candidates.where(F.col("usable") & (F.col("valid") | seen))
 
     place = F.struct("page_no", "section", "pos", "collection_id")
@@ -297,27 +150,26 @@ def crawl_candidates(candidates: DataFrame, pages: DataFrame, page_limit: int |
     return one_page.unionByName(later)
 
 
-def detail_fields(rows: DataFrame) -> DataFrame:
-    """Date or description from the column ``detail_html``, by the rule of each row."""
-    kinds = by_rule({r: F.lit(p.detail) for r, p in POLICIES.items() if p.detail})
-    walked = rows.withColumn("_items", markup.select_items(F.col("detail_html"), kinds, DETAIL_LAYOUTS))
-    first = F.get("_items", F.lit(0))
-    empty = F.array().cast(f"array<{markup.NODE}>")
-
-    read_date = F.get(first["fields"]["date"], F.lit(0))
-    inside = F.transform(F.coalesce(first["fields"]["description"], empty), spaced_text)
-    anywhere = F.transform("_items", lambda i: spaced_text(i["item"]))
-    paragraph = text.first_paragraph(F.when(first["section"] == 0, inside).otherwise(anywhere), None)
-    meta = first["item"]["attrs"]["content"]
-    described = F.when(kinds == "paragraphs", paragraph).when(kinds == "meta", meta)
-    return walked.withColumns(
+def with_details(entries: DataFrame, details: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """Entries (with ``detail`` and ``date_patterns`` of their rule) and what their own pages say: detail_date, detail_text.
+
+    Bodies meet the entries before they are read and are read where they meet; only dates and texts go on.
+    Of several pages of one link the first by ``order`` counts, as a whole; ties go by a hash of the body.
+    Bodies of links without an entry are not read.
+    """
+    bodies = details.select("feed_name", "link", F.col("html").alias("detail_html"), F.struct(*order, F.xxhash64("html")).alias("rank"))
+    asked = entries.join(bodies, ["feed_name", "link"], "left")
+    walked = asked.withColumn("items", markup.read_items(F.col("detail_html"), F.col("detail"))).drop("detail_html")
+    described = F.filter(F.transform("items", lambda i: i["description"]), lambda d: d.isNotNull())
+    read = walked.withColumns(
         {
-            "detail_date": F.when(
-                kinds == "date", dates.parse_date(node_text(read_date), DATE_PATTERNS["note_links"])
-            ),
-            "detail_text": text.collapse_space(text.unescape_html(described)),
+            "detail_date": first_of_patterns(F.get("items", F.lit(0))["dates"], F.col("date_patterns")),
+            "detail_text": text.collapse_space(text.unescape_html(F.get(described, F.lit(0)))),
         }
-    ).drop("_items", "detail_html")
+    )
+    kept = [c for c in entries.columns if c not in ("feed_name", "link")] + ["detail_date", "detail_text"]
+    one = read.groupBy("feed_name", "link").agg(F.min_by(F.struct(*kept), F.struct(F.col("rank").isNull(), "rank")).alias("e"))
+    return one.select("feed_name", "link", "e.*")
 
 
 def site_entries(
@@ -328,6 +180,7 @@ def site_entries(
     crawl: bool = True,
     rules: Collection[str] | None = None,
     page_limit: int | None = None,
+    rulebook: DataFrame | None = None,
 ) -> DataFrame:
     """Fresh entries of all sites.
 
@@ -337,6 +190,7 @@ def site_entries(
     ``stored``   known entries: their links are left out before the detail pages are read
     ``crawl``    all pages up to the frontier, or (False) page 1 only
     ``rules``    the rules in use, if known; fewer rules make a smaller plan
+    ``rulebook``  rules as rows; by default those of the known sites (see ``plans.rulebook``)
     ``page_limit``  the last page a crawl reads; None reads all of them up to the frontier
     """
     if not crawl and "page_no" in pages.columns:
@@ -344,7 +198,7 @@ def site_entries(
     embedded = pages.where("rule_id = 'embedded_json'")
     walked = pages.where("rule_id <> 'embedded_json'")
 
-    candidates = listing_candidates(walked, rules)
+    candidates = listing_candidates(walked, rules, rulebook)
     if crawl and "page_no" in pages.columns:
         # The crawl looks at the candidates several times; the pages are walked only once.
         candidates = crawl_candidates(cut_lineage(candidates), walked, page_limit)
@@ -354,34 +208,33 @@ def site_entries(
     if stored is not None:
         fresh = new_entries(fresh, stored, unique=True)
 
+    book = _book(pages.sparkSession, rulebook, None)
+    if rulebook is None:
+        book = book.unionByName(json_rule(pages.sparkSession))
+    policies = book.select("rule_id", "options", *(["date_patterns", "detail"] if details is not None else []))
+    fresh = join_dimension(fresh, policies, ["rule_id"], "left", spread_by=["link"])
     if details is not None:
-        first = details.groupBy("feed_name", "link").agg(F.min("html").alias("detail_html"))
-        fresh = detail_fields(fresh.join(first, ["feed_name", "link"], "left"))
-        fresh = fresh.withColumns(
+        fresh = with_details(fresh, details).withColumns(
             {
                 "published": F.coalesce("detail_date", "published"),
                 "description": F.coalesce(text.null_if_blank(F.col("detail_text")), "description"),
             }
-        ).drop("detail_date", "detail_text")
-
-    never_dated = F.col("rule_id") == "dyn_items"
-    published = F.when(never_dated, F.col("published")).otherwise(
+        )
+    published = F.when(option("undated"), F.col("published")).otherwise(
         F.coalesce("published", dates.fallback_date(F.col("link")))
     )
-    escaped = rules_where(lambda p: p.unescape)
-    squeezed = F.col("rule_id").isin(["dated_articles", "time_articles"])
     clean_title = text.unescape_html(F.col("title"))
     clean_description = text.unescape_html(F.col("description"))
     fresh = fresh.select(
         "feed_name",
         "rule_id",
         "link",
-        F.when(F.col("rule_id") == "front_page", text.strip(clean_title))
-        .when(escaped, clean_title)
+        F.when(option("strip_title"), text.strip(clean_title))
+        .when(option("unescape"), clean_title)
         .otherwise(F.col("title"))
         .alias("title"),
-        F.when(squeezed, text.collapse_space(clean_description))
-        .when(escaped, clean_description)
+        F.when(option("squeeze"), text.collapse_space(clean_description))
+        .when(option("unescape"), clean_description)
         .otherwise(F.col("description"))
         .alias("description"),
         "category",
@@ -409,6 +262,7 @@ def listing_bodies(bodies: DataFrame) -> DataFrame:
         "published",
         F.lit(True).alias("usable"),
         non_blank().alias("valid"),
+        F.lit("first_valid").alias("dedupe"),
     )
 
 

@@ -50,7 +50,7 @@ def test_hot_link_shrinks_before_the_shuffle(skewed):
 def test_candidates_are_combined_before_the_shuffle(spark):
     pages = spark.createDataFrame([("f", "time_articles", "<p>")], "feed_name STRING, rule_id STRING, html STRING")
     text = plan(choose_entries(listing_candidates(pages, ["time_articles"])))
-    assert text.count("Exchange") == 1 and "partial_min_by" in text.split("Exchange")[-1]
+    assert text.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in text and "partial_min_by" in text.split("Exchange hashpartitioning")[-1]
 
 
 def test_large_feed_is_numbered_in_slices(spark, skewed):

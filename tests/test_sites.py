@@ -181,3 +181,61 @@ def test_collections_of_one_site(spark):
     assert [r["title"] for r in found.orderBy("title").collect()] == ["a", "b", "c", "e"]
     first_page = site_entries(pages, crawl=False, rules=["dyn_items"])
     assert [r["title"] for r in first_page.orderBy("seq").collect()] == ["a", "b"]
+
+
+def test_rules_of_a_table_need_no_code(spark):
+    from feedloom.plans import rulebook
+
+    program = rulebook.program(
+        [{"items": "div.x"}, {"items": "p", "fallback": True}],
+        [
+            {"field": "link", "path": ["a"], "attr": "href"},
+            {"field": "link", "section": 1, "attr": "id"},
+            {"field": "title", "path": ["b"], "min_chars": 3},
+            {"field": "title", "form": "collapsed", "pattern": "named (\\w+)"},
+            {"field": "date", "path": ["i"], "near": True},
+        ],
+    )
+    row = ("mine", "https://m.example", "prefix", None, "^/all", 0, "first_dated", "non_blank", None, ["d.M.yyyy", "MMMM yyyy"], ["undated"], program, None)
+    book = spark.createDataFrame([row, ("broken", *row[1:-2], None, None)], rulebook.RULE)
+    html = (
+        "<i>1.2.2020</i><div class=x><a href=/1>x</a><b>ab</b> named  \n one</div><section><i>9.11.2021</i>"
+        "<div class=x><a href=/2></a><b>abc</b></div></section><div class=x><a href=/all></a><b>all of it</b></div>"
+    )
+    pages = spark.createDataFrame(
+        [("f", "mine", html), ("g", "mine", "<p id=/p>named two <i>May 2020</i></p>"), ("h", "broken", html), ("k", "unknown", html), ("m", "mine", None)],
+        "feed_name string, rule_id string, html string",
+    )
+    got = site_entries(pages, rulebook=book).collect()
+    assert sorted((r.feed_name, r.link, r.title, str(r.published)) for r in got) == [
+        ("f", "https://m.example/1", "one", "2020-02-01 00:00:00"),
+        ("f", "https://m.example/2", "abc", "2021-11-09 00:00:00"),
+        ("g", "https://m.example/p", "two", "2020-05-01 00:00:00"),
+    ]
+
+
+def test_shapes_of_patterns_that_are_data(spark):
+    from feedloom.functions import dates
+    from feedloom.plans.rules import DATE_PATTERNS
+
+    patterns = sorted({p for known in DATE_PATTERNS.values() for p in known} | {"dd.MM.yyyy", "yyyy/M/d"})
+    frame = spark.createDataFrame([(p,) for p in patterns], "p string")
+    assert {r.p: r.s for r in frame.select("p", dates.shape_of(F.col("p")).alias("s")).collect()} == {p: dates._shape(p) for p in patterns}
+
+
+def test_details_count_as_whole_rows(spark):
+    from feedloom.plans.entries import with_details
+
+    fields = "feed_name string, link string, rule_id string, options array<string>, date_patterns array<string>, detail string"
+    from feedloom.plans import rulebook
+
+    detail = rulebook.program([{"items": "div"}], [{"field": "date", "path": ["i"]}, {"field": "description", "path": ["p"]}])
+    entries = spark.createDataFrame([("f", x, "r", [], ["yyyy-M-d"], detail) for x in "ab"], fields)
+    bodies = [("f", "a", 2, "<div><i>2020-1-1</i><p>second</p></div>"), ("f", "a", 1, "<div><p>first</p></div>"), ("f", "c", 1, "<div></div>")]
+    details = spark.createDataFrame(bodies, "feed_name string, link string, version int, html string")
+    found = with_details(entries, details, ["version"])
+    got = sorted((r.link, r.detail_date, r.detail_text) for r in found.collect())
+    assert got == [("a", None, "first"), ("b", None, None)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    walked = plan[: plan.index("ArrowEvalPython")]
+    assert "detail_html" not in "".join(line for line in walked.splitlines() if "Exchange" in line)
