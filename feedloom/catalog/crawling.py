@@ -2,9 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from feedloom.catalog.base import query, spread, sql_stamp, stamp, table
+from feedloom.catalog.base import query, scratch, spread, sql_stamp, stamp, table
 from feedloom.operators import pagination
 from feedloom.plans.entries import listing_candidates, site_entries
+from feedloom.sources import store
+from feedloom.streaming.refresh import stream_crawl
 
 # Twenty events make a page, sixty-five page numbers a site. Links repeat, so crawls run dry.
 # Two kinds of page show no links, one page number in some sites is missing. Crawls end at the
@@ -146,3 +148,29 @@ def listing_items(spark, sf_dir):
     return rows.groupBy("feed_name").agg(
         F.count(F.lit(1)).alias("n_items"), F.countDistinct("page_no").alias("n_pages")
     )
+
+
+FRONTIER_ALL = FRONTIER.replace(" OR page_no > 50", "")
+
+
+@query(f"WITH {FRONTIER_ALL} SELECT feed_name, link, page_no, pos FROM collected")
+def crawl_all_pages(spark, sf_dir):
+    """The frontier without a last page."""
+    listed = _listed(spark, sf_dir)
+    rows = pagination.pagination_frontier(listed.where(_has_links()), listed)
+    return rows.select("feed_name", "link", "page_no", "pos")
+
+
+@query(f"WITH {FRONTIER_ALL} SELECT feed_name, link, 1::BIGINT AS n FROM collected")
+def stream_crawl_store(spark, sf_dir):
+    """Raw pages scrambled over files and batches: the store ends with what one crawl of all pages finds."""
+    root = scratch(spark, "crawl-stream")
+    pages = _crawl_html(spark, sf_dir).repartition(9, F.xxhash64("feed_name", "page_no"))
+    pages.write.parquet(f"{root}/pages")
+    stream_crawl(
+        spark, f"{root}/pages", pages.schema, f"{root}/store", f"{root}/frontier", f"{root}/checkpoint",
+        "2024-06-01 00:00:00", rules=["dated_articles"], max_files=3,
+    ).awaitTermination()
+    stored = store.read_entry_batches(spark, f"{root}/store")
+    prefix = F.regexp_replace("link", "^https://jamiehurst.co.uk", "")
+    return stored.groupBy("feed_name", prefix.alias("link")).agg(F.count(F.lit(1)).alias("n"))

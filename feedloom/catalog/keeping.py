@@ -185,6 +185,42 @@ def enrich_details(spark, sf_dir):
     return joined.select("feed_name", "link", "description", stamp("published"))
 
 
+@query(f"""
+SELECT 'o' || o_custkey % 7 AS feed_name, 'https://site.example/o/' || o_orderkey AS link,
+       CASE WHEN o_orderkey % 3 = 0 THEN 'Order ' || o_orderkey ELSE o_orderpriority END AS description,
+       {sql_stamp("CASE WHEN o_orderkey % 2 = 0 THEN TIMESTAMP '2023-01-01' ELSE o_orderdate END")} AS published
+FROM orders""")
+def enrich_details_versions(spark, sf_dir):
+    """Two detail rows for each link: the first version counts, and where it lacks a value the listing's own stays."""
+    orders = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    named = orders.select(
+        F.concat(F.lit("o"), (F.col("o_custkey") % 7).cast("string")).alias("feed_name"),
+        F.concat(F.lit("https://site.example/o/"), key.cast("string")).alias("link"),
+        "o_orderkey",
+        "o_orderpriority",
+        "o_orderdate",
+    )
+    listing = named.select(
+        "feed_name",
+        "link",
+        F.concat(F.lit("Order "), key.cast("string")).alias("description"),
+        F.lit("2023-01-01").cast("timestamp_ntz").alias("published"),
+    )
+    first = named.select(
+        "feed_name",
+        "link",
+        F.lit(1).alias("version"),
+        F.when(key % 3 != 0, F.col("o_orderpriority")).alias("description"),
+        F.when(key % 2 != 0, F.col("o_orderdate").cast("timestamp_ntz")).alias("published"),
+    )
+    second = named.select(
+        "feed_name", "link", F.lit(2), F.lit("A later version"), F.lit("1999-01-01").cast("timestamp_ntz")
+    )
+    joined = merge.enrich_details(listing, first.union(second), ["description", "published"], order=["version"])
+    return joined.select("feed_name", "link", "description", stamp("published"))
+
+
 @query(f"""
 WITH {PAGE_ENTRIES}
 SELECT feed_name, link, title, {sql_stamp("published")} AS published,

@@ -71,17 +71,22 @@ def merge_stats(merged: DataFrame) -> DataFrame:
 
 
 def enrich_details(
-    listing: DataFrame, details: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEY
+    listing: DataFrame,
+    details: DataFrame,
+    columns: Sequence[str],
+    keys: Sequence[str] = KEY,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Fill columns of listing rows from detail rows; what the detail lacks stays as it was.
 
-    The listing is de-duplicated before (one row per key), so no key can be hot. One detail
-    row per key is expected; the smallest values are taken if there are more.
+    The listing is de-duplicated before (one row per key), so no key can be hot. Of several detail
+    rows of one key the first by ``order`` counts as a whole, values of two rows are never mixed; ties go by a hash of
+    the values.
     """
-    detail = details.groupBy(*keys).agg(*[F.min(c).alias(f"_{c}") for c in columns])
-    joined = listing.join(detail, list(keys), "left")
-    filled = {c: F.coalesce(F.col(f"_{c}"), F.col(c)) for c in columns}
-    return joined.withColumns(filled).drop(*[f"_{c}" for c in columns])
+    whole = F.struct(*columns)
+    first = details.groupBy(*keys).agg(F.min_by(whole, F.struct(*order, F.xxhash64(*columns))).alias("_detail"))
+    joined = listing.join(first, list(keys), "left")
+    return joined.withColumns({c: F.coalesce(F.col("_detail")[c], F.col(c)) for c in columns}).drop("_detail")
 
 
 def refresh_entries(

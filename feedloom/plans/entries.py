@@ -204,13 +204,27 @@ def site_entries(
         candidates = crawl_candidates(cut_lineage(candidates), walked, page_limit)
     if bodies is not None:
         candidates = candidates.unionByName(listing_bodies(bodies))
+    fresh = resolve_entries(candidates, details, stored, rulebook)
+    if rules is not None and "embedded_json" not in rules:
+        return fresh
+    return fresh.unionByName(embedded_entries(embedded, stored))
+
+
+def resolve_entries(
+    candidates: DataFrame,
+    details: DataFrame | None = None,
+    stored: DataFrame | None = None,
+    rulebook: DataFrame | None = None,
+) -> DataFrame:
+    """Entries from candidates: de-duplicated, without those that are stored, with details, dates and clean texts."""
     fresh = choose_entries(candidates)
     if stored is not None:
         fresh = new_entries(fresh, stored, unique=True)
 
-    book = _book(pages.sparkSession, rulebook, None)
+    spark = candidates.sparkSession
+    book = _book(spark, rulebook, None)
     if rulebook is None:
-        book = book.unionByName(json_rule(pages.sparkSession))
+        book = book.unionByName(json_rule(spark))
     policies = book.select("rule_id", "options", *(["date_patterns", "detail"] if details is not None else []))
     fresh = join_dimension(fresh, policies, ["rule_id"], "left", spread_by=["link"])
     if details is not None:
@@ -225,7 +239,7 @@ def site_entries(
     )
     clean_title = text.unescape_html(F.col("title"))
     clean_description = text.unescape_html(F.col("description"))
-    fresh = fresh.select(
+    return fresh.select(
         "feed_name",
         "rule_id",
         "link",
@@ -241,9 +255,6 @@ def site_entries(
         published.alias("published"),
         "seq",
     )
-    if rules is not None and "embedded_json" not in rules:
-        return fresh
-    return fresh.unionByName(embedded_entries(embedded, stored))
 
 
 def listing_bodies(bodies: DataFrame) -> DataFrame:
