@@ -32,6 +32,11 @@ def text_key(text: Column) -> tuple[Column, Column]:
     return F.xxhash64(text), F.xxhash64(text, F.lit("second"))
 
 
+def bounded(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """A narrow written table, marked for broadcast if it has at most ``rows`` rows; else as it is, for a shuffled join."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def slices(texts: pd.Series, budget: int) -> Iterator[pd.Series]:
     """Cut a batch of texts so that each piece holds about ``budget`` characters.
 
