@@ -1,17 +1,19 @@
 """Near-duplicates by a chosen-path similarity join over MinHash values.
 
-Documents are sets of word shingles; equal sets are one. Each tree starts from one MinHash
-coordinate: sets with the same value share a node. A node with more than ``SMALL`` sets chooses two more
-coordinates by itself and deals its sets to children by their values, and so on; a pair of similarity s
+Documents are sets of word shingles; equal sets are one. Sets that link differ little in size, so
+each is dealt to its size class and to the next one. Each tree starts from one MinHash coordinate: sets of a class with
+the same value share a node. A node with more than ``SMALL`` sets chooses one or two more coordinates by itself
+(1.5 on average) and deals its sets to children by their values, and so on; a pair of similarity s
 agrees in a chosen coordinate with probability s, so similar sets stay together on some path while
-others part. Small nodes are compared exhaustively. Trees are independent; their number
+those below two thirds die out. Small nodes are compared exhaustively. Trees are independent; their number
 follows from the recall that is asked for.
 
 Before a large node branches, its sets are compared with a few of its own (pivots). Links join classes, and
 comparisons leave out pairs of one class. A node all of one class is done; where only a few sets are outside the
-node's main class, these are compared with all others; the rest branches, up to ``LEVELS`` times, after which
-the sets outside the main class are compared with all others however many they are. So a crowd of near
-copies, which no coordinate would part, costs a few comparisons for each member and not one for each pair.
+node's main class, or where branching hardly made the node smaller, the sets outside are compared with all
+others; the rest branches, up to ``LEVELS`` times. Crowded nodes of one main class are compared together, once
+and not in every tree. So a crowd of near copies, which no coordinate would part, costs a few comparisons
+for each member of its main class and not one for each pair.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import text_key, text_of
+from feedloom.llm.common import bounded, text_key, text_of
 from feedloom.llm.components import connected
 from feedloom.llm.decontamination import shingle_hashes
 from feedloom.session import staged
@@ -35,14 +37,18 @@ PERCENT = 80
 COORDINATES = 128
 SMALL = 32
 PIVOTS = 4
-BRANCHES = 2
 LEVELS = 4
-#: The least chance that a pair at the threshold survives one tree, all levels: the root value, then branches.
-SURVIVES = 0.75
+#: A node that keeps so much of its parent is a crowd: its sets are alike.
+CROWD = 0.6
+#: The least chance that a pair at the threshold survives one tree, all levels: 0.8 at the root, then branches:
+#: q <- (x + x * x) / 2 with x = 0.2 + 0.8 * q, four times from 0, gives 0.272 for the loss below it.
+SURVIVES = 0.58
 RECALL = 0.9999
 #: MinHash agreement under which a pair is not looked at: over four standard deviations below the threshold.
 AGREE = 0.65
 REMEMBERED = 256
+#: Bytes of texts that may be sent to all tasks.
+SENT = 16_000_000
 
 _draw = np.random.default_rng(20260101)
 _FLIP = _draw.integers(0, 1 << 32, COORDINATES, dtype=np.uint32)
@@ -63,9 +69,10 @@ def minhash(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketches(text: Column, words: int = WORDS) -> Column:
-    """(n, k1, k2, mins) of a text: number of distinct shingles, 128 bits for the set, MinHash values."""
+    """(n, k1, k2, mins, bits) of a text: number of distinct shingles, 128 bits for the set, MinHash values and
+    the lowest byte of each."""
 
-    @F.pandas_udf("n long, k1 long, k2 long, mins array<int>")
+    @F.pandas_udf("n long, k1 long, k2 long, mins array<int>, bits binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         import xxhash
 
@@ -75,16 +82,19 @@ def sketches(text: Column, words: int = WORDS) -> Column:
                 own = shingle_hashes(text, words)
                 k = xxhash.xxh3_128_intdigest(own.tobytes())
                 k1, k2 = np.array([k >> 64, k & (1 << 64) - 1], dtype=np.uint64).view(np.int64).tolist()
-                rows.append((len(own), k1, k2, minhash(own).view(np.int32) if len(own) else None))
-            yield pd.DataFrame(rows, columns=["n", "k1", "k2", "mins"])
+                low = minhash(own) if len(own) else None
+                rows.append((len(own), k1, k2, *((low.view(np.int32), low.astype(np.uint8).tobytes()) if len(own) else (None, None))))
+            yield pd.DataFrame(rows, columns=["n", "k1", "k2", "mins", "bits"])
 
     return run(text)
 
 
 def _agreement(a: Column, b: Column) -> Column:
+    """Share of equal coordinates; one byte of each, so unequal ones seem equal once in 256 times."""
+
     @F.arrow_udf("double")
     def run(x: pa.Array, y: pa.Array) -> pa.Array:
-        left, right = (v.flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDINATES) for v in (x, y))
+        left, right = (np.frombuffer(b"".join(v.to_pylist()), dtype=np.uint8).reshape(-1, COORDINATES) for v in (x, y))
         return pa.array((left == right).mean(axis=1))
 
     return run(a, b)
@@ -127,22 +137,26 @@ class _Sets:
         self.rows = staged(made.select("id", "t1", "t2", "s.*"), "shingle-sets")
         # One text stands for each set; the sketch goes with it.
         one = self.rows.where("n > 0").groupBy("k1", "k2", "n").agg(
-            F.min(F.struct("t1", "t2")).alias("t"), F.first("mins").alias("mins")
+            F.min(F.struct("t1", "t2")).alias("t"), F.first(F.struct("mins", "bits")).alias("m")
         )
-        self.sets = staged(one.select(F.monotonically_increasing_id().alias("set"), "k1", "k2", "n", "t.*", "mins"), "distinct-sets")
+        self.sets = staged(one.select(F.monotonically_increasing_id().alias("set"), "k1", "k2", "n", "t.*", "m.*"), "distinct-sets")
         key1, key2 = text_key(F.col("text"))
         whole = docs.select(text_of(text_col).alias("text"))
         self.texts = whole.select(key1.alias("t1"), key2.alias("t2"), "text")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) that link: sizes, then MinHash agreement, then the whole sets decide."""
-        side = lambda x: self.sets.select(F.col("set").alias(x), F.col("n").alias(f"n_{x}"), F.col("mins").alias(f"m_{x}"))
+        side = lambda x: self.sets.select(F.col("set").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"m_{x}"))
         met = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
         met = met.where(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
         near = staged(met.where(_agreement(F.col("m_a"), F.col("m_b")) >= AGREE).select("a", "b"), "near-sets")
         asked = near.select(F.explode(F.array("a", "b")).alias("set")).distinct()
         keys = staged(self.sets.select("set", "t1", "t2").join(asked, "set"), "asked-sets")
-        texts = staged(self.texts.join(keys, ["t1", "t2"]).dropDuplicates(["set"]).select("set", "text"), "asked-texts")
+        # Texts are shuffled only where their keys are too many to send to all tasks.
+        texts = staged(self.texts.join(bounded(keys), ["t1", "t2"]).dropDuplicates(["set"]).select("set", "text"), "asked-texts")
+        held = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        if held <= SENT:  # few texts of many pairs go to all tasks; else pairs and texts are shuffled
+            texts = F.broadcast(texts)
         both = near.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
         linked = _linked(F.col("a"), F.col("b"), F.col("text_a"), F.col("text_b"), self.words, self.percent)
         return staged(both.where(linked).select("a", "b"), "set-links")
@@ -154,49 +168,59 @@ def trees_for(recall: float) -> int:
 
 
 def _children(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """Each set in ``BRANCHES`` children of its node, by the values of coordinates that the node chooses."""
-    chosen = [F.pmod(F.xxhash64("node", F.lit(j)), F.lit(COORDINATES)).cast("int") for j in range(BRANCHES)]
-    keys = F.array(*[F.xxhash64("node", F.lit(j), c, F.get("mins", c)) for j, c in enumerate(chosen)])
-    return rows.join(sets.select("set", "mins"), "set").select("set", F.explode(keys).alias("node"))
+    """Each set in one or two children of its node, by the values of coordinates that the node chooses."""
+    chosen = [F.pmod(F.xxhash64("node", F.lit(j)), F.lit(COORDINATES)).cast("int") for j in range(2)]
+    one, two = (F.xxhash64("node", F.lit(j), c, F.get("mins", c)) for j, c in enumerate(chosen))
+    keys = F.when(F.xxhash64("node", F.lit("two")) % 2 == 0, F.array(one)).otherwise(F.array(one, two))
+    return rows.join(sets.select("set", "mins"), "set").select("set", F.col("size").alias("above"), F.explode(keys).alias("node"))
+
+
+def _roots(sets: DataFrame, trees: int, percent: int) -> DataFrame:
+    # Sizes of linked sets lie within 100 / percent of each other: at most one class apart.
+    size_class = F.floor(F.ln("n") / (math.log(100 / percent) + 0.01))
+    own = [F.xxhash64(F.lit(t), size_class + up, F.get("mins", F.lit(t))) for t in range(trees) for up in (0, 1)]
+    return sets.select("set", F.lit(None).cast("long").alias("above"), F.explode(F.array(*own)).alias("node"))
 
 
 def classes(found: _Sets, recall: float = RECALL) -> DataFrame:
     """(set, root): every distinct set with the smallest one that it reaches over links."""
     sets = found.sets
-    roots = [F.xxhash64(F.lit(t), F.get("mins", F.lit(t))) for t in range(trees_for(recall))]
-    rows = staged(sets.select("set", F.explode(F.array(*roots)).alias("node")), "path-nodes")
+    rows = staged(_roots(sets, trees_for(recall), found.percent), "path-nodes")
     label = sets.select("set", F.col("set").alias("root"))
-    links, pairs = None, None
+    pairs = crowds = None
     for level in range(LEVELS + 1):
-        # Smallest hashes choose the pivots; each task keeps its own smallest before the shuffle.
-        pivot = [F.min_by("set", F.xxhash64("set", "node", F.lit(j))).alias(f"p{j}") for j in range(PIVOTS)]
-        sized = staged(rows.groupBy("node").agg(F.count("*").alias("size"), *pivot).where("size > 1"), "path-sizes")
+        # Smallest hashes choose the pivots, so that nodes with the same sets have the same pivots; each
+        # task keeps its own smallest before the shuffle.
+        pivot = [F.min_by("set", F.xxhash64("set", F.lit(j))).alias(f"p{j}") for j in range(PIVOTS)]
+        sized = rows.groupBy("node").agg(F.count("*").alias("size"), F.first("above").alias("above"), *pivot)
+        sized = staged(sized.where("size > 1"), "path-sizes")
         small = rows.join(sized.where(F.col("size") <= SMALL).select("node"), "node").select("node", "set")
         few = _pairs(small.toDF("node", "a").join(small.toDF("node", "b"), "node").where("a < b"))
         pairs = few if pairs is None else pairs.union(few)
-        large = rows.join(sized.where(F.col("size") > SMALL), "node")
-        large = staged(large.select("node", "set", F.array_distinct(F.array(*[f"p{j}" for j in range(PIVOTS)])).alias("pivots")), "path-large")
+        large = rows.drop("above").join(sized.where(F.col("size") > SMALL), "node")
+        pivots = F.array_distinct(F.array(*[f"p{j}" for j in range(PIVOTS)])).alias("pivots")
+        large = staged(large.select("node", "set", "size", "above", pivots), "path-large")
         if large.isEmpty():
             break
         star = _pairs(large.select(F.col("set").alias("a"), F.explode("pivots").alias("b")).where("a <> b"))
-        met = found.links(_apart(star, label))
-        links = met if links is None else links.union(met)
-        label = _labels(sets, links)
-        member = large.select("node", "set").join(label, "set")
-        of_class = member.groupBy("node", "root").agg(F.count("*").alias("n"))
-        split = of_class.groupBy("node").agg(F.max_by("root", F.struct("n", "root")).alias("main"), (F.sum("n") - F.max("n")).alias("others"))
-        split = staged(split.where("others > 0"), "path-split")
-        last = level == LEVELS
-        compare = split if last else split.where(F.col("others") <= SMALL)
-        other = member.join(compare, "node").where("root <> main").select("node", F.col("set").alias("a"))
-        rest = other.join(large.select("node", F.col("set").alias("b")), "node").where("a <> b")
-        pairs = pairs.union(_pairs(rest))
-        if last:
-            break
-        branching = split.where(F.col("others") > SMALL).select("node")
-        rows = staged(_children(large.select("node", "set").join(branching, "node"), sets), "path-nodes")
-    met = found.links(pairs if links is None else _apart(pairs, label))
-    return _labels(sets, met if links is None else links.union(met))
+        label = _merged(label, found.links(_apart(star, label)))
+        member = large.select("node", "set", "size", "above").join(label, "set")
+        of_class = member.groupBy("node", "size", "above", "root").agg(F.count("*").alias("n"))
+        split = of_class.groupBy("node", "size", "above").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("n"))
+        split = staged(split.where("n < size"), "path-split")
+        shrunk = F.col("size") < CROWD * F.coalesce("above", 2 * F.col("size"))
+        branching = shrunk & (F.col("size") - F.col("n") > SMALL) & F.lit(level < LEVELS)
+        # Nodes that one class fills for the most part are compared together with others of that class.
+        crowd = F.when(2 * F.col("n") >= F.col("size"), F.xxhash64(F.lit("main"), "main")).otherwise(F.xxhash64("node"))
+        compare = split.where(~branching).select("node", crowd.alias("crowd"), "main")
+        more = member.select("node", "set").join(compare, "node").select("crowd", "main", "set").distinct()
+        crowds = more if crowds is None else crowds.union(more)
+        rows = staged(_children(large.select("node", "set", "size").join(split.where(branching).select("node"), "node"), sets), "path-nodes")
+    if crowds is not None:
+        now = staged(crowds.distinct().join(label, "set").join(label.toDF("main", "low"), "main"), "path-crowds")
+        outside = now.where("root <> low").select("crowd", F.col("set").alias("a"))
+        pairs = pairs.union(_pairs(outside.join(now.select("crowd", F.col("set").alias("b")), "crowd").where("a <> b")))
+    return _merged(label, found.links(_apart(pairs, label)))
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -210,10 +234,14 @@ def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
     return known.where("root_a <> root_b").select("a", "b")
 
 
-def _labels(sets: DataFrame, links: DataFrame) -> DataFrame:
-    roots = connected(links)
-    joined = sets.select("set").join(roots, sets["set"] == roots["node"], "left")
-    return staged(joined.select("set", F.coalesce("root", "set").alias("root")), "set-classes")
+def _merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """Classes (set, root) after new links between sets; the links of classes alone are followed."""
+    if links.isEmpty():
+        return label
+    between = links.join(label.toDF("a", "root_a"), "a").join(label.toDF("b", "root_b"), "b")
+    roots = connected(between.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).where("a <> b"))
+    joined = label.join(roots.toDF("node", "low"), F.col("root") == F.col("node"), "left")
+    return staged(joined.select("set", F.coalesce("low", "root").alias("root")), "set-classes")
 
 
 def components(
