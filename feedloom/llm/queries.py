@@ -90,37 +90,42 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
-@query(
-    rf"""
+_BACKOFF_SQL = rf"""
     WITH docs AS (
       SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
     tokens AS (
-      SELECT doc_id, unnest(words) AS word, unnest(list_prepend(NULL, words[1:len(words) - 1])) AS prev
+      SELECT doc_id, unnest(words) AS w, unnest(list_prepend(NULL, words[1:len(words) - 1])) AS p,
+             unnest(list_prepend(NULL, list_prepend(NULL, words)[1:len(words) - 1])) AS q
       FROM docs WHERE len(words) > 0),
-    ones AS (SELECT word, count(*) AS c FROM tokens GROUP BY word),
-    twos AS (SELECT prev, word, count(*) AS c2 FROM tokens WHERE prev IS NOT NULL GROUP BY prev, word HAVING count(*) >= {ngrams.CUTOFF}),
+    ones AS (SELECT w, count(*) AS c FROM tokens GROUP BY w),
+    twos AS (SELECT p, w, count(*) AS c FROM tokens WHERE p IS NOT NULL GROUP BY p, w),
+    threes AS (SELECT q, p, w, count(*) AS c FROM tokens WHERE q IS NOT NULL GROUP BY q, p, w),
     scored AS (
       SELECT t.doc_id,
-             CASE WHEN w.c2 IS NOT NULL THEN ln(w.c2 / p.c)
-                  WHEN t.prev IS NULL THEN ln(o.c / (SELECT sum(c) FROM ones)::DOUBLE)
-                  ELSE ln(o.c / (SELECT sum(c) FROM ones)::DOUBLE) + ln({ngrams.BACKOFF}::DOUBLE) END AS log
-      FROM tokens t JOIN ones o ON t.word = o.word
-      LEFT JOIN ones p ON t.prev = p.word LEFT JOIN twos w ON t.prev = w.prev AND t.word = w.word)
+             CASE WHEN c3.c IS NOT NULL THEN ln(c3.c / before.c)
+                  WHEN c2.c IS NOT NULL THEN ln(c2.c / alone.c) + CASE WHEN t.q IS NOT NULL THEN ln({ngrams.BACKOFF}::DOUBLE) ELSE 0 END
+                  ELSE ln(c1.c / (SELECT sum(c) FROM ones)::DOUBLE)
+                       + ((t.p IS NOT NULL)::INT + (t.q IS NOT NULL)::INT) * ln({ngrams.BACKOFF}::DOUBLE) END AS log
+      FROM tokens t JOIN ones c1 ON t.w = c1.w LEFT JOIN ones alone ON t.p = alone.w
+      LEFT JOIN twos c2 ON t.p = c2.p AND t.w = c2.w LEFT JOIN twos before ON t.q = before.p AND t.p = before.w
+      LEFT JOIN threes c3 ON t.q = c3.q AND t.p = c3.p AND t.w = c3.w)
     SELECT d.doc_id, coalesce(len(d.words), 0)::BIGINT AS n_words, round(avg(s.log), 6) AS log_score
     FROM docs d LEFT JOIN scored s ON d.doc_id = s.doc_id GROUP BY d.doc_id, d.words
     """
-)
+
+
+@query(_BACKOFF_SQL)
 def op3_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every n-gram up to order 3 counts; a word backs off only where the count is 0."""
     scored = ngrams.scores(table(spark, sf_dir, "documents"))
     return scored.select(F.col("id").alias("doc_id"), "n_words", F.round("log_score", 6).alias("log_score"))
 
 
-@query()
+@query(_BACKOFF_SQL)
 def op3_trigram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every n-gram up to order 3 counts; a word backs off only where the count is 0."""
-    scored = ngrams.scores(table(spark, sf_dir, "documents"), cutoff=1, order=3)
-    return scored.select(F.col("id").alias("doc_id"), "n_words", F.round("log_score", 6).alias("log_score"))
+    """The same scores under the name they had before."""
+    return op3_backoff_scores(spark, sf_dir)
 
 
 @query()
