@@ -13,14 +13,21 @@ from collections.abc import Iterable
 
 import numpy as np
 
-#: A space that is not alone between two visible characters.
-UNSURE = re.compile(r"\s | \s|^ | \Z")
 CUT = re.compile(r"(?<=\S) (?=\S)")
+#: White space other than single spaces and line ends between two visible characters.
+PAIRS = ("  ", " \n", "\n ", "\n\n")
+OTHER_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 
 
 def pieces(text: str) -> list[str]:
-    """The text cut at its safe spaces; joined by one space each, the pieces are the text again."""
-    return CUT.split(text) if UNSURE.search(text) else text.split(" ")
+    """The text cut at its safe spaces and line ends.
+
+    All pieces but the first had a space before them, or start with their line end. Texts with other or
+    doubled white space are cut at spaces alone.
+    """
+    if any(x in text for x in PAIRS) or any(x in text for x in OTHER_SPACES) or text[:1].isspace() or text[-1:].isspace():
+        return CUT.split(text)
+    return text.replace("\n", " \n").split(" ")
 
 
 #: Below this, every version of Unicode has the same letters.
@@ -32,6 +39,9 @@ TAIL = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~"
 def units(word: str) -> list[str]:
     """A piece with the space before it, cut further: at single line ends and after its letters."""
     found = []
+    if word[:1] == "\n" and "\n" not in word[1:] and word[1:2].strip():  # a line end and what follows it
+        head = word.rstrip(TAIL)
+        return [head, word[len(head) :]] if head != word and head[-1].isalpha() else [word]
     for at, line in enumerate(word.split("\n")):
         if at and not (line and not line[0].isspace() and not word.isspace() and found[-1][-1] not in " \n"):
             return [" " + word]
@@ -47,12 +57,12 @@ def units(word: str) -> list[str]:
 class PieceEncoder:
     """Ids of texts as little-endian unsigned 32-bit numbers.
 
-    Remembers at most about ``keep`` words of at most ``longest`` characters; when there are more,
-    those of the last batch stay. Special strings inside a text are treated as the library's
+    Remembers words of at most ``longest`` characters in two generations: when the younger holds more than
+    ``keep``, it becomes the older one, and what is not asked for again goes with the next change. Special strings inside a text are treated as the library's
     default does; none are added.
     """
 
-    def __init__(self, path: str, keep: int = 800_000, longest: int = 40) -> None:
+    def __init__(self, path: str, keep: int = 250_000, longest: int = 40) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
@@ -63,7 +73,8 @@ class PieceEncoder:
         self._letters.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.vocabulary = self._library.get_vocab_size()
         self._keep, self._longest = keep, longest
-        self._words: dict[str, bytes] = {}  # ids of a word with a space before it
+        self._words: dict[str, bytes] = {}  # ids of a piece with the space or line end before it
+        self._old: dict[str, bytes] = {}
         marks = [re.escape(t.content) for t in self._library.get_added_tokens_decoder().values()]
         self._mark = re.compile("|".join(marks) or "(?!)")
 
@@ -73,34 +84,43 @@ class PieceEncoder:
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
     def _learn(self, new: set[str]) -> dict[str, bytes]:
-        """The ids of words that are not remembered; short ones are from now on."""
-        words, marked = self._words, self._mark.search
-        cut = {w: [" " + w] if marked(w) else units(w) for w in new}
-        ids = {}
-        for unit in {u for parts in cut.values() for u in parts}:
-            ids[unit] = words.get(unit[1:]) if unit[0] == " " else None
+        """The ids of pieces that are not remembered; the units of short ones are from now on."""
+        words, old = self._words, self._old
+        # One search over all pieces; none of them holds the character between them.
+        mark = self._mark.search if self._mark.search("\0".join(new)) else None
+        cut = {w: [w if w[0] == "\n" else " " + w] if mark and mark(w) else units(w) for w in new}
+        ids: dict[str, bytes | None] = {}
+        for parts in cut.values():
+            for unit in parts:
+                if unit not in ids:
+                    key = unit[1:] if unit[0] == " " else unit
+                    ids[unit] = (words.get(key) or old.get(key)) if unit[0] in " \n" else None
         todo = [unit for unit, x in ids.items() if x is None]
         plain = [u for u in todo if u[0] == " " and u[1:].isalpha() and max(u) < OLD_LETTERS]
         ids.update(zip(plain, self._encode(plain, letters=True), strict=True))
         rest = list(set(todo).difference(plain))
         ids.update(zip(rest, self._encode(rest), strict=True))
-        for unit in todo:
-            if unit[0] == " " and len(unit) <= self._longest:
+        for unit in plain:
+            if len(unit) <= self._longest:
                 words[unit[1:]] = ids[unit]
-        return {w: b"".join([ids[u] for u in parts]) for w, parts in cut.items()}
+        return {w: ids[parts[0]] if len(parts) == 1 else b"".join([ids[u] for u in parts]) for w, parts in cut.items()}
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         cut = [pieces(text) for text in texts]
-        seen = set().union(*[words[1:] for words in cut])
-        learnt = self._learn(seen.difference(self._words))
-        words = self._words
-        long = {w: x for w, x in learnt.items() if len(w) > self._longest}
-        for w, x in learnt.items():
-            words[w] = x
+        seen = set()
+        for parts in cut:
+            seen.update(parts[1:])
+        words, old = self._words, self._old
+        new = seen.difference(words)
+        for w in new.intersection(old) if old else ():
+            words[w] = old[w]
+        learnt = self._learn(new.difference(words))
+        words.update(learnt)
         heads = self._encode([parts[0] for parts in cut])
         ids = [head + b"".join(map(words.__getitem__, p[1:])) for head, p in zip(heads, cut, strict=True)]
-        for w in long:
-            del words[w]
+        for w in learnt:
+            if len(w) > self._longest:
+                del words[w]
         if len(words) > self._keep:
-            self._words = {w: words[w] for w in seen if w in words}
+            self._words, self._old = {}, words
         return ids
