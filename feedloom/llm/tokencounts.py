@@ -18,7 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import slices, text_of
-from feedloom.llm.tokens import pieces, units
+from feedloom.llm.tokens import space_pieces, units
 
 #: Fixed value: how byte-level BPE cuts a text into pre-tokens.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -144,7 +144,7 @@ class TokenCounter:
         return counts.tolist()
 
     def count(self, texts: list[str]) -> list[int]:
-        cut = [pieces(text) for text in texts]
+        cut = [space_pieces(text) for text in texts]
         words = self._words
         seen = set().union(*[parts[1:] for parts in cut])
         new = seen.difference(words)

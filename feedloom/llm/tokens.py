@@ -14,6 +14,15 @@ from collections.abc import Iterable
 import numpy as np
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
+#: A space that is not alone between two visible characters.
+UNSURE = re.compile(r"\s | \s|^ | \Z")
+
+
+def space_pieces(text: str) -> list[str]:
+    """The text cut at its safe spaces; joined by one space each, the pieces are the text again."""
+    return CUT.split(text) if UNSURE.search(text) else text.split(" ")
+
+
 #: White space other than single spaces and line ends between two visible characters.
 PAIRS = ("  ", " \n", "\n ", "\n\n")
 OTHER_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
