@@ -165,7 +165,7 @@ def json_rule(spark: SparkSession) -> DataFrame:
 def with_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """Pages with the row of their rule; a page's own ``base_url`` wins. Pages of unknown rules go."""
     own = pages.withColumnRenamed("base_url", "own_base") if "base_url" in pages.columns else pages
-    spread = [c for c in ("url", "page_no", "feed_name") if c in own.columns][:1]
+    spread = [c for c in ("url", "feed_name", "page_no") if c in own.columns]
     joined = join_dimension(own, rules, ["rule_id"], spread_by=spread)
     if "base_url" in pages.columns:
         joined = joined.withColumn("base_url", F.coalesce("own_base", "base_url")).drop("own_base")
