@@ -13,7 +13,7 @@ from feedloom.catalog.base import (
 )
 from feedloom.operators import dedupe, merge
 from feedloom.operators.filters import non_blank
-from feedloom.operators.ordering import feed_order, sort_entries
+from feedloom.operators.ordering import feed_order, sort_entries, sort_positions
 from feedloom.sources import store
 from feedloom.streaming.refresh import stream_refresh
 
@@ -249,9 +249,10 @@ def feed_order_in_windows(spark, sf_dir):
 
 @query(FEED_ORDER_SQL)
 def feed_order_in_slices(spark, sf_dir):
-    """The same through the range sort that large feeds take."""
+    """The same, with the sort order numbered by itself instead of read backwards."""
     entries = cards(spark, sf_dir).withColumn("seq", F.col("pos"))
-    return _positions(feed_order(entries, window_rows=0))
+    both = sort_positions(feed_order(entries))
+    return both.select("feed_name", "pos", "link", stamp("published"), "feed_pos", "sort_pos")
 
 
 def _positions(ordered):
@@ -269,6 +270,18 @@ def sorted_store(spark, sf_dir):
     return ordered.select("feed_name", "link", "title", stamp("published"))
 
 
+@query(f"""
+WITH {HALVES}
+SELECT feed_name, link, title, {sql_stamp('published')} AS published,
+       row_number() OVER (PARTITION BY feed_name ORDER BY published NULLS LAST, seq, link) AS sort_pos
+FROM merged""")
+def sorted_positions(spark, sf_dir):
+    """The order of the merged store, as a column."""
+    fresh, stored = halves(spark, sf_dir)
+    ordered = sort_positions(merge.merge_entries(fresh, stored))
+    return ordered.select("feed_name", "link", "title", stamp("published"), "sort_pos")
+
+
 @query(f"""
 WITH {PAGE_ENTRIES}
 SELECT feed_name, link, title, {sql_stamp("published")} AS published, seq,

@@ -40,7 +40,10 @@ items AS (
          '    </item>' || chr(10) AS item_xml
   FROM ordered),
 bodies AS (
-  SELECT feed_name, part, string_agg(item_xml, '' ORDER BY feed_pos) AS body FROM items GROUP BY feed_name, part)
+  SELECT feed_name, part, string_agg(item_xml, '' ORDER BY feed_pos) AS body,
+         max(part) OVER (PARTITION BY feed_name) AS last_part,
+         'https://feeds.example.org/feed_' || feed_name AS stem
+  FROM items GROUP BY feed_name, part)
 """
 
 RENDER_SQL = rf"""
@@ -52,7 +55,7 @@ SELECT feed_name, CAST(part AS INTEGER) AS part,
   '    <title>Site ' || feed_name || '</title>' || chr(10) ||
   '    <link>https://' || feed_name || '/</link>' || chr(10) ||
   '    <description>Latest from ' || feed_name || '</description>' || chr(10) ||
-  '    <atom:link href="https://feeds.example.org/feed_' || feed_name || CASE WHEN part > 0 THEN '.' || part ELSE '' END || '.xml" rel="self"/>' || chr(10) ||
+  '    <atom:link href="' || stem || CASE WHEN part > 0 THEN '/' || part ELSE '' END || '.xml" rel="self"/>' || chr(10) ||
   '    <docs>http://www.rssboard.org/rss-specification</docs>' || chr(10) ||
   '    <generator>feedloom</generator>' || chr(10) ||
   CASE WHEN feed_name LIKE 'www.%' THEN
@@ -63,6 +66,9 @@ SELECT feed_name, CAST(part AS INTEGER) AS part,
   '    </image>' || chr(10) ELSE '' END ||
   '    <language>en</language>' || chr(10) ||
   '    <lastBuildDate>Sat, 22 Aug 2026 18:09:33 +0000</lastBuildDate>' || chr(10) ||
+  CASE WHEN part > 0 THEN '    <atom:link href="' || stem || CASE WHEN part > 1 THEN '/' || (part - 1) ELSE '' END || '.xml" rel="previous"/>' || chr(10) ELSE '' END ||
+  CASE WHEN part < last_part THEN '    <atom:link href="' || stem || '/' || (part + 1) || '.xml" rel="next"/>' || chr(10) ELSE '' END ||
+  CASE WHEN part > 0 THEN '    <opensearch:startIndex xmlns:opensearch="http://a9.com/-/spec/opensearch/1.1/">' || (3 * part + 1) || '</opensearch:startIndex>' || chr(10) ELSE '' END ||
   body || '  </channel>' || chr(10) || '</rss>' AS rss_xml
 FROM bodies"""
 
@@ -104,7 +110,7 @@ def read_feeds(spark, sf_dir):
     """Feed files written out, scanned and parsed: the items must come back as they were."""
     path = scratch(spark, "feeds")
     feeds.write_feeds(_documents(spark, sf_dir), path)
-    items = feeds.feed_items(feeds.read_feeds(spark, path), items_per_document=3)
+    items = feeds.feed_items(feeds.read_feeds(spark, path))
     return items.select("feed_name", "feed_pos", "title", "link", "description", "guid", stamp("published"))
 
 
@@ -116,7 +122,7 @@ def feed_links(spark, sf_dir):
     cut = F.startswith("feed_name", F.lit("m."))
     xml = F.when(cut, F.substring_index("rss_xml", "</channel>", 1)).otherwise(F.col("rss_xml"))
     parsed = feeds.parse_feeds(documents.select("feed_name", xml.alias("xml")))
-    return feeds.feed_links(feeds.feed_items(parsed, items_per_document=3))
+    return feeds.feed_links(feeds.feed_items(parsed))
 
 
 AUDIT = """
@@ -362,3 +368,12 @@ def run_summary(spark, sf_dir):
 @query(f"WITH {REGISTERED} SELECT status, registry_name FROM outcomes")
 def run_listing(spark, sf_dir):
     return registry.run_listing(_outcomes(spark, sf_dir))
+
+
+@query(f"""
+WITH {REGISTERED}
+SELECT status, registry_name, row_number() OVER (PARTITION BY status ORDER BY registry_name, feed_name) AS list_pos
+FROM outcomes""")
+def run_listing_positions(spark, sf_dir):
+    """The order of the listing, as a column."""
+    return registry.listing_positions(_outcomes(spark, sf_dir))

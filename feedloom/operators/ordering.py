@@ -7,51 +7,45 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.session import cut_lineage
+from feedloom.session import staged
 
-# Largest group that one task numbers by itself.
-WINDOW_ROWS = 1_000_000
 
+def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+    """``row_number()`` per group (or over all rows, without one) that needs no group in one task.
 
-def number_rows(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str, window_rows: int = WINDOW_ROWS
-) -> DataFrame:
-    """``row_number()`` per group that does not need a whole group in one task.
-
-    The largest group is measured first (a narrow count with map-side partial sums). Up to
-    ``window_rows`` the plain window does it. Beyond, the rows are sorted by range over all
-    tasks, written to the shared checkpoint folder once, and numbered as "position in my
-    slice" plus "rows of my group in earlier slices"; a hot group spreads over as many
-    slices as it needs. ``order`` must break every tie.
-
-    ``df`` is read more than once, so pass a stored table rather than a costly plan.
+    One way for every size: rows are sorted by range over all tasks and written once to the shared
+    checkpoint folder, by a job of its own. A row's number is its place in its slice plus the rows that its group has
+    in earlier slices. A hot group spreads over as many slices as it needs; only one count for each
+    slice of a group meets in a window. ``order`` must break every tie.
     """
-    largest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-    if largest <= window_rows:
-        numbered = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-        return df.withColumn(name, numbered.cast("bigint"))
-
-    slices = (
-        df.orderBy(*group, *order)
-        .withColumn("_at", F.monotonically_increasing_id())
-        .withColumn("_slice", F.shiftright("_at", 33))
-    )
-    slices = cut_lineage(slices)
-    sizes = slices.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_start"))
-    before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *group, "_slice", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_start") + 1).alias("_shift")
-    )
-    shifted = slices.join(offsets, [*group, "_slice"])
-    return shifted.withColumn(name, F.col("_at") + F.col("_shift")).drop("_at", "_slice", "_shift")
+    longest = max(map(len, df.columns))
+    at, part, n, shift = (x.ljust(longest + 1, "_") for x in ("at", "slice", "n", "shift"))  # names that no column has
+    ranged = df.orderBy(*group, *order).withColumns({at: F.monotonically_increasing_id(), part: F.spark_partition_id()})
+    rows = staged(ranged, "numbered")
+    sizes = rows.groupBy(*group, part).agg(F.count(F.lit(1)).alias(n), F.min(at).alias(shift))
+    before = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.coalesce(F.sum(n).over(before), F.lit(0))
+    offsets = sizes.select(*[F.col(c).alias(f"{c}{shift}") for c in group], F.col(part).alias(n), (earlier - F.col(shift) + 1).alias(shift))
+    same = [F.col(c).eqNullSafe(F.col(f"{c}{shift}")) for c in group]
+    placed = rows.join(offsets, [*same, F.col(part) == F.col(n)])
+    return placed.select(*df.columns, (F.col(at) + F.col(shift)).cast("bigint").alias(name))
 
 
 def sort_entries(entries: DataFrame) -> DataFrame:
     """Oldest first, undated last; equal dates in order of arrival."""
-    return entries.orderBy("feed_name", F.col("published").asc_nulls_last(), "seq", "link")
+    return entries.orderBy("feed_name", *_oldest_first())
+
+
+def sort_positions(entries: DataFrame) -> DataFrame:
+    """The order of ``sort_entries`` as data: ``sort_pos`` counts the entries of each feed from 1."""
+    return number_rows(entries, ["feed_name"], _oldest_first(), "sort_pos")
+
+
+def _oldest_first() -> list[Column]:
+    return [F.col("published").asc_nulls_last(), F.col("seq").asc(), F.col("link").asc()]
 
 
-def feed_order(entries: DataFrame, undated: str = "first", window_rows: int = WINDOW_ROWS) -> DataFrame:
+def feed_order(entries: DataFrame, undated: str = "first") -> DataFrame:
     """Position in the document: the exact reverse of ``sort_entries``.
 
     Newest first, undated entries on top, equal dates latest arrival first.
@@ -60,4 +54,4 @@ def feed_order(entries: DataFrame, undated: str = "first", window_rows: int = WI
     date = F.col("published")
     by_date = date.desc_nulls_first() if undated == "first" else date.desc_nulls_last()
     order = [by_date, F.col("seq").desc(), F.col("link").desc()]
-    return number_rows(entries, ["feed_name"], order, "feed_pos", window_rows)
+    return number_rows(entries, ["feed_name"], order, "feed_pos")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.operators.ordering import number_rows
+
 # Ways of fetching a page.
 REQUESTS = "requests"
 SELENIUM = "selenium"
@@ -76,3 +78,10 @@ def run_summary(outcomes: DataFrame) -> DataFrame:
 def run_listing(outcomes: DataFrame) -> DataFrame:
     """The names behind the summary, sorted: rows, not one list per outcome."""
     return outcomes.select("status", "registry_name").orderBy("status", "registry_name")
+
+
+def listing_positions(outcomes: DataFrame) -> DataFrame:
+    """The order of ``run_listing`` as data: ``list_pos`` counts the names of each outcome from 1."""
+    names = outcomes.select("status", "registry_name", "feed_name")
+    order = [F.col("registry_name").asc(), F.col("feed_name").asc()]
+    return number_rows(names, ["status"], order, "list_pos").drop("feed_name")

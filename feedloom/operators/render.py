@@ -26,6 +26,7 @@ OPENING = (
 )
 CLOSING = "  </channel>\n</rss>"
 DOCS = "http://www.rssboard.org/rss-specification"
+OPENSEARCH = "http://a9.com/-/spec/opensearch/1.1/"
 
 
 def _element(name: str, value: Column, indent: int, attributes: str = "") -> Column:
@@ -89,6 +90,21 @@ def channel_xml(feed_url: Column, built: Column) -> Column:
     )
 
 
+def document_address(feed_base_url: str, part: Column) -> Column:
+    """Where a part of a feed stands: ``feed_<name>.xml``, further parts in a folder of that name.
+
+    A feed name holds no slash, so no feed's first document can have the address of another one's part.
+    """
+    stem = F.concat(F.lit(feed_base_url.rstrip("/") + "/feed_"), F.col("feed_name"))
+    further = F.concat(stem, F.lit("/"), part.cast("string"), F.lit(".xml"))
+    return F.when(part > 0, further).otherwise(F.concat(stem, F.lit(".xml")))
+
+
+def _page_link(relation: str, address: Column) -> Column:
+    line = F.concat(F.lit('    <atom:link href="'), escape_xml(address), F.lit(f'" rel="{relation}"/>\n'))
+    return F.coalesce(line, F.lit(""))
+
+
 def render_feeds(
     items: DataFrame,
     channels: DataFrame,
@@ -96,23 +112,41 @@ def render_feeds(
     feed_base_url: str,
     items_per_document: int = ITEMS_PER_DOCUMENT,
 ) -> DataFrame:
-    """One document per feed: feed_name, part, rss_xml.
+    """One document per feed and part: feed_name, part, rss_xml.
 
     Items are gathered per feed *and* part, never more than ``items_per_document`` at once,
-    so no feed has to fit into one task. Nearly every feed has part 0 only.
+    so no feed has to fit into one task. Nearly every feed has part 0 only. Parts are pages of one paged feed:
+    each links to the next and the previous one, so that a reader of the first reaches every item, and says
+    at which position its items start. Positions of a feed count from 1 without gaps; a notice may stand at 0.
     """
-    part = F.floor((F.col("feed_pos") - 1) / items_per_document)
+    at = F.col("feed_pos")
     # A notice in front of the first item has position 0 and belongs to part 0.
-    part = F.greatest(part, F.lit(0)).cast("int")
-    lines = items.select("feed_name", part.alias("part"), "feed_pos", item_xml().alias("item_xml"))
-    ordered = F.array_sort(F.collect_list(F.struct("feed_pos", "item_xml")))
+    part = F.greatest(F.floor((at - 1) / items_per_document), F.lit(0)).cast("int")
+    lines = items.select("feed_name", part.alias("_part"), "feed_pos", item_xml().alias("item_xml"))
+    # The first item of a part tells the part before it that there is a next one.
+    own = F.struct(F.col("_part").alias("part"), F.lit(False).alias("next"))
+    told = F.struct((F.col("_part") - 1).alias("part"), F.lit(True).alias("next"))
+    opens = (F.col("_part") > 0) & ((at - 1) % items_per_document == 0)
+    lines = lines.select("feed_name", "feed_pos", "item_xml", F.inline(F.when(opens, F.array(own, told)).otherwise(F.array(own))))
+    held = F.when(~F.col("next"), F.struct("feed_pos", "item_xml"))
     bodies = lines.groupBy("feed_name", "part").agg(
-        F.array_join(F.transform(ordered, lambda i: i["item_xml"]), "").alias("body")
+        F.array_join(F.transform(F.array_sort(F.collect_list(held)), lambda i: i["item_xml"]), "").alias("body"),
+        F.bool_or("next").alias("_next"),
     )
     # A feed without a channel row still gets its document, under its own name.
     rows = join_dimension(bodies, channels.drop("author"), ["feed_name"], "left", spread_by=["part"])
     named = rows.withColumn("title", F.coalesce("title", "feed_name"))
-    number = F.when(F.col("part") > 0, F.concat(F.lit("."), F.col("part").cast("string"))).otherwise(F.lit(""))
-    feed_url = F.concat(F.lit(feed_base_url.rstrip("/") + "/feed_"), F.col("feed_name"), number, F.lit(".xml"))
-    document = F.concat(channel_xml(feed_url, as_of(built_at)), "body", F.lit(CLOSING))
+    part = F.col("part")
+    start = F.concat(
+        F.lit(f'    <opensearch:startIndex xmlns:opensearch="{OPENSEARCH}">'),
+        (part.cast("bigint") * items_per_document + 1).cast("string"),
+        F.lit("</opensearch:startIndex>\n"),
+    )
+    pages = F.concat(
+        _page_link("previous", F.when(part > 0, document_address(feed_base_url, part - 1))),
+        _page_link("next", F.when(F.col("_next"), document_address(feed_base_url, part + 1))),
+        F.when(part > 0, start).otherwise(F.lit("")),
+    )
+    head = channel_xml(document_address(feed_base_url, part), as_of(built_at))
+    document = F.concat(head, pages, "body", F.lit(CLOSING))
     return named.select("feed_name", "part", document.alias("rss_xml"))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.dates import parse_rfc822
 from feedloom.functions.text import strip
-from feedloom.operators.render import ITEMS_PER_DOCUMENT
 from feedloom.schema import FEED_DOCUMENT
 
 
@@ -41,19 +40,23 @@ def feed_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 
 def parse_feeds(documents: DataFrame) -> DataFrame:
-    """Documents (feed_name, xml) parsed: channel, ``broken`` and the number of the part."""
+    """Documents (feed_name, xml) parsed: channel, ``broken`` and ``first``, the position its items start at.
+
+    A further part of a feed says so in its channel; every other document starts at 1.
+    """
     options = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": "_corrupt_record",
         "ignoreSurroundingSpaces": "false",
     }
-    own_address = F.regexp_extract("xml", r'<atom:link href="[^"]*\.(\d+)\.xml" rel="self"/>', 1)
-    part = F.coalesce(F.nullif(own_address, F.lit("")).cast("int"), F.lit(0))
+    channel = F.substring_index("xml", "<item>", 1)
+    start = F.regexp_extract(channel, r"<opensearch:startIndex\b[^>]*>\s*(\d{1,18})\s*<", 1)
+    first = F.coalesce(F.nullif(start, F.lit("")).cast("bigint"), F.lit(1).cast("bigint"))
     parsed = documents.select(
-        "feed_name", part.alias("part"), F.from_xml("xml", FEED_DOCUMENT, options).alias("_d")
+        "feed_name", first.alias("first"), F.from_xml("xml", FEED_DOCUMENT, options).alias("_d")
     )
     return parsed.select(
-        "feed_name", "part", "_d.channel", F.col("_d._corrupt_record").isNotNull().alias("broken")
+        "feed_name", "first", "_d.channel", F.col("_d._corrupt_record").isNotNull().alias("broken")
     )
 
 
@@ -69,10 +72,10 @@ def feed_states(parsed: DataFrame, expected: DataFrame | None = None) -> DataFra
     return wanted.join(states, "feed_name", "full").withColumn("broken", F.coalesce("broken", F.lit(True)))
 
 
-def feed_items(parsed: DataFrame, items_per_document: int = ITEMS_PER_DOCUMENT) -> DataFrame:
+def feed_items(parsed: DataFrame) -> DataFrame:
     """The items of readable documents in document order, dates parsed (forgivingly)."""
-    rows = parsed.select("feed_name", "part", F.posexplode("channel.item").alias("pos", "_i"))
-    position = F.col("part").cast("bigint") * items_per_document + F.col("pos") + 1
+    rows = parsed.select("feed_name", "first", F.posexplode("channel.item").alias("pos", "_i"))
+    position = F.col("first") + F.col("pos")
     return rows.select(
         "feed_name",
         position.alias("feed_pos"),

@@ -1,6 +1,7 @@
 """Feed documents on disk: broken, empty, untouched and split ones; notices and retirement."""
 
 import os
+import re
 from datetime import datetime
 
 import pytest
@@ -61,11 +62,31 @@ def test_split_documents_come_back_whole(spark, tmp_path):
     feeds.write_feeds(documents(spark, df, items_per_document=10), path)
     parsed = feeds.read_feeds(spark, path)
     assert parsed.count() == 3 and not parsed.where("broken").count()
-    back = feeds.feed_items(parsed, items_per_document=10)
+    back = feeds.feed_items(parsed)
     wanted = feed_order(df).select("feed_name", "feed_pos", "title", "link", "category", "published")
     assert back.select(wanted.columns).exceptAll(wanted).isEmpty() and back.count() == 25
 
 
+def test_parts_are_linked_pages(spark):
+    def links(xml):
+        return re.findall(r'<atom:link href="([^"]*)" rel="(\w+)"/>', xml)
+
+    both = entries(spark, "blog", 25).unionByName(entries(spark, "blog.2", 20))
+    made = documents(spark, both, items_per_document=10)
+    found = {(r["feed_name"], r["part"]): links(r["rss_xml"]) for r in made.collect()}
+    base = "https://feeds.example.org/feed_blog"
+    assert found == {
+        ("blog", 0): [(f"{base}.xml", "self"), (f"{base}/1.xml", "next")],
+        ("blog", 1): [(f"{base}/1.xml", "self"), (f"{base}.xml", "previous"), (f"{base}/2.xml", "next")],
+        ("blog", 2): [(f"{base}/2.xml", "self"), (f"{base}/1.xml", "previous")],
+        ("blog.2", 0): [(f"{base}.2.xml", "self"), (f"{base}.2/1.xml", "next")],
+        ("blog.2", 1): [(f"{base}.2/1.xml", "self"), (f"{base}.2.xml", "previous")],
+    }
+    back = feeds.feed_items(feeds.parse_feeds(made.withColumnRenamed("rss_xml", "xml")))
+    wanted = feed_order(both).select("feed_name", "feed_pos", "link")
+    assert back.select(wanted.columns).exceptAll(wanted).isEmpty() and back.count() == 45
+
+
 def test_feeds_without_documents_are_not_touched(spark, tmp_path):
     path = str(tmp_path / "feeds")
     feeds.write_feeds(documents(spark, entries(spark, "one", 3).unionByName(entries(spark, "two", 30)), items_per_document=10), path)

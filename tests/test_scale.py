@@ -60,7 +60,7 @@ def test_large_feed_is_numbered_in_slices(spark, skewed):
     # So few rows would be gathered into one slice.
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        sliced = number_rows(skewed, ["feed_name"], order, "n", window_rows=1000)
+        sliced = number_rows(skewed, ["feed_name"], order, "n")
         assert "Window [row_number()" not in plan(sliced)
         assert sliced.select(columns).exceptAll(plain.select(columns)).isEmpty()
         assert sliced.count() == N
@@ -70,6 +70,15 @@ def test_large_feed_is_numbered_in_slices(spark, skewed):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_numbering_without_a_group_with_nulls_and_taken_names(spark):
+    rows = spark.range(100).select(F.col("id").alias("at_"), F.when(F.col("id") > 9, "x").alias("slice_"))
+    whole = number_rows(rows, [], [F.col("at_").desc()], "n").collect()
+    assert all(r["n"] == 100 - r["at_"] for r in whole) and len(whole) == 100
+    grouped = number_rows(rows, ["slice_"], [F.col("at_").asc()], "n").collect()
+    assert sorted(r["n"] for r in grouped if r["slice_"] is None) == list(range(1, 11)) and len(grouped) == 100
+    assert number_rows(rows.limit(0), ["slice_"], [F.col("at_").asc()], "n").isEmpty()
+
+
 def test_undated_last(skewed):
     ends = feed_order(skewed, undated="last").groupBy("feed_name").agg(
         F.max("feed_pos").alias("n"), F.max(F.when(F.col("published").isNotNull(), F.col("feed_pos"))).alias("dated")
@@ -79,7 +88,7 @@ def test_undated_last(skewed):
 
 
 def test_documents_hold_a_bounded_number_of_items(spark, skewed):
-    items = feed_items(feed_order(skewed, window_rows=1000))
+    items = feed_items(feed_order(skewed))
     documents = render_feeds(items, site_channels(spark), "2026-01-01 00:00:00", "https://f", items_per_document=500)
     counts = documents.select("feed_name", "part", (F.size(F.split("rss_xml", "<item>")) - 1).alias("n"))
     total, most, parts = counts.agg(F.sum("n"), F.max("n"), F.count("n")).first()
