@@ -39,6 +39,28 @@ def extract_links(spark, sf_dir):
     return links.select("page_id", F.col("pos").cast("bigint").alias("pos"), "href", "link")
 
 
+# What a plain search for anchors gets wrong: comments, scripts, three ways to quote, tags inside of values.
+@query("""
+WITH k AS (SELECT c_custkey AS page_id, c_custkey::VARCHAR AS k, c_custkey % 3 AS kind FROM customer)
+SELECT page_id, 0::BIGINT AS pos, '/d' || k || '?x=1&y=2' AS href FROM k
+UNION ALL SELECT page_id, 1, '/q' || k || '/e' FROM k
+UNION ALL SELECT page_id, 2, '/u' || k FROM k
+UNION ALL SELECT page_id, 3, CASE kind WHEN 0 THEN '/caf' || chr(233) || '/' ELSE '/cafe/' END || k FROM k WHERE kind < 2""")
+def scan_links(spark, sf_dir):
+    key = F.col("c_custkey").cast("string")
+    kind = F.col("c_custkey") % 3
+    accent = F.when(kind == 0, "caf&eacute;").when(kind == 1, "cafe")
+    last = F.concat(F.lit("""<a title='<a href="/no">' href="/"""), accent, F.lit("/"), key, F.lit('">l</a>'))
+    html = F.concat(
+        F.lit('<!-- <a href="/c">no</a> --><a title="a > b" href="/d'), key, F.lit('?x=1&amp;y=2">d</a>'),
+        F.lit("""<script>var s = '<a href="/s">';</script><A HREF='/q"""), key, F.lit("&#47;e'>q</A>"),
+        F.lit('<a name="x">no</a><abbr href="/no">a</abbr><a data-href="/no"\nhref=/u'), key, F.lit(">u</a>"),
+        F.coalesce(last, F.lit('<style>a::after { content: "<a href=/no>" }')),
+    )
+    pages = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("page_id"), html.alias("html"))
+    return extract.extract_links(pages).select("page_id", F.col("pos").cast("bigint").alias("pos"), "href")
+
+
 @query(rf"""
 WITH a AS (
   SELECT page_id, 'anchor' AS selector,

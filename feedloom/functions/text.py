@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import re
 import sys
 from collections.abc import Callable
 
@@ -85,6 +86,26 @@ def unescape_html(text: Column) -> Column:
     return F.arrow_udf(_unescape_batch, "string")(text)
 
 
+ENTITY = re.compile(r"&(?:#\d+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);")
+
+
+def _unescape_arrays(batch: pa.Array) -> pa.Array:
+    def decoded(values):
+        return None if values is None else [ENTITY.sub(lambda m: html.unescape(m[0]), v) for v in values]
+
+    return pa.array([decoded(v) for v in batch.to_pylist()], type=pa.list_(pa.string()))
+
+
+def unescape_attributes(values: Column) -> Column:
+    """Attribute values of one page with every entity decoded that ends in a semicolon.
+
+    Only arrays with an entity beyond the everyday ones reach Python.
+    """
+    unusual = F.exists(values, lambda v: F.rlike(v, F.lit("&(?!(?:lt|gt|quot|#39|apos|nbsp|copy|middot|amp);)[#A-Za-z0-9]+;")))
+    full = F.arrow_udf(_unescape_arrays, "array<string>")(F.when(unusual, values))
+    return F.coalesce(full, F.transform(values, unescape_common))
+
+
 def unescape_backslash(text: Column) -> Column:
     r"""Drop one backslash and keep the character after it: ``\"`` gives ``"``."""
     return F.regexp_replace(text, r"\\([^\n])", "$1")

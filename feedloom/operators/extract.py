@@ -15,8 +15,8 @@ from feedloom.functions.text import (
     null_if_blank,
     slug_title,
     strip,
+    unescape_attributes,
     unescape_backslash,
-    unescape_common,
     unescape_html,
 )
 from feedloom.functions.urls import absolute_url
@@ -33,10 +33,37 @@ ARTICLE_START = '\\"publishedOn\\":'
 PAGING_ID = r"\?([a-f0-9]+)_page=\d+"
 
 
+# One step of the scan: a comment, a script or style with its content, an anchor's attributes (the group), or
+# another tag. Quoted values may hold any character, so nothing inside them opens a tag.
+_ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+SCAN = (
+    r"(?is)<!--.*?(?:-->|\z)"
+    rf"|<(?:script|style)\b{_ATTRIBUTES}>.*?(?:</(?:script|style)\s*>|\z)"
+    rf"|<a(?=[\s/])({_ATTRIBUTES})>"
+    rf"|</?[a-z]{_ATTRIBUTES}>"
+)
+ATTRIBUTE = r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?"""
+
+
+def _href(attributes: Column) -> Column:
+    """The value of the first ``href`` of a tag, without its quotes; NULL if there is none."""
+    names = F.regexp_extract_all(attributes, F.lit(ATTRIBUTE), F.lit(1))
+    values = F.regexp_extract_all(attributes, F.lit(ATTRIBUTE), F.lit(2))
+    at = F.array_position(F.transform(names, F.lower), F.lit("href")).cast("int")
+    value = F.get(values, at - 1)
+    quoted = F.rlike(value, F.lit("""^["']"""))
+    return F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
+
+
 def extract_links(pages: DataFrame, contains: str = "", base: str | Column | None = None, mode: str = "prefix"):
-    """Anchor hrefs holding ``contains``, with their position on the page (all in the JVM)."""
-    raw = F.regexp_extract_all("html", F.lit(r'(?i)<a\s(?:[^>]*?\s)?href="([^"]*)"'), F.lit(1))
-    hrefs = F.transform(raw, unescape_common)
+    """Anchor hrefs holding ``contains``, with their position on the page.
+
+    A page is scanned once in the JVM. Links in comments, scripts, styles and attribute values do not count.
+    Values stand in double, single or no quotes; their entities are decoded, and only pages with unusual
+    entities take a step in Python for it.
+    """
+    anchors = F.filter(F.regexp_extract_all("html", F.lit(SCAN), F.lit(1)), lambda a: a != "")
+    hrefs = unescape_attributes(F.filter(F.transform(anchors, _href), lambda h: h != ""))
     wanted = F.filter(hrefs, lambda h: (h != "") & F.contains(h, F.lit(contains)))
     rest = [c for c in pages.columns if c != "html"]
     links = pages.select(*rest, F.posexplode(wanted).alias("pos", "href"))
