@@ -12,7 +12,7 @@ Before a large node branches, its sets are compared with a few of its own (pivot
 comparisons leave out pairs of one class. A node all of one class is done; where only a few sets are outside the
 node's main class, or where branching hardly made the node smaller, the sets outside are compared with all
 others; the rest branches, up to ``LEVELS`` times. Crowded nodes of one main class are compared together, once
-and not in every tree. So a crowd of near copies, which no coordinate would part, costs a few comparisons
+and not in every tree, tile by tile of their matrix. So a crowd of near copies, which no coordinate would part, costs a few comparisons
 for each member of its main class and not one for each pair.
 """
 
@@ -46,7 +46,10 @@ SURVIVES = 0.58
 RECALL = 0.9999
 #: MinHash agreement under which a pair is not looked at: over four standard deviations below the threshold.
 AGREE = 0.65
-REMEMBERED = 256
+#: Hashes of shingles that a task remembers (8 bytes each).
+REMEMBERED = 4_000_000
+#: Sets of a side of a tile, the unit in which a crowd is compared.
+TILE = 512
 #: Bytes of texts that may be sent to all tasks.
 SENT = 16_000_000
 
@@ -106,12 +109,17 @@ def _linked(a: Column, b: Column, text_a: Column, text_b: Column, words: int, pe
     @F.pandas_udf("boolean")
     def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         known: dict[int, np.ndarray] = {}
+        held = 0
 
         def shingles(number: int, text: str) -> np.ndarray:
+            nonlocal held
             if number not in known:
-                if len(known) >= REMEMBERED:
+                own = shingle_hashes(text, words)
+                if held + len(own) > REMEMBERED:
                     known.clear()
-                known[number] = shingle_hashes(text, words)
+                    held = 0
+                known[number] = own
+                held += len(own)
             return known[number]
 
         for batch in batches:
@@ -125,6 +133,47 @@ def _linked(a: Column, b: Column, text_a: Column, text_b: Column, words: int, pe
     return run(a, b, text_a, text_b)
 
 
+def _near_in_tile(percent: int):
+    """The pairs of one tile, outside sets against others, of two classes, that sizes and agreement allow."""
+
+    def run(tile: pd.DataFrame) -> pd.DataFrame:
+        outside = tile["outside"].to_numpy(dtype=bool)
+        numbers, roots, sizes = (tile[c].to_numpy(dtype=np.int64) for c in ("set", "root", "n"))
+        mins = np.frombuffer(b"".join(tile["bits"]), dtype=np.uint8).reshape(-1, COORDINATES)
+        right = np.flatnonzero(~outside)
+        right_mins, right_sizes, right_roots = mins[right], sizes[right], roots[right]
+        a, b = [], []
+        for at in np.flatnonzero(outside):
+            fits = 100 * np.minimum(right_sizes, sizes[at]) >= percent * np.maximum(right_sizes, sizes[at])
+            fits &= (right_roots != roots[at]) & ((right_mins == mins[at]).mean(axis=1) >= AGREE)
+            found = numbers[right[fits]]
+            a.append(np.minimum(found, numbers[at]))
+            b.append(np.maximum(found, numbers[at]))
+        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)} if a else {"a": [], "b": []}, dtype="int64")
+
+    return run
+
+
+def _crowd_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Near pairs (a, b) of crowds, rows (crowd, set, root, low): sets outside of the main class ``low`` with all others.
+
+    A crowd is a matrix of tiles of ``TILE`` x ``TILE`` sets or so. A set is copied once for each tile of its row or
+    column with its 128 bytes, and only near pairs leave a tile, so no crowd has to fit into a task and no pair of it is
+    shuffled before it is looked at.
+    """
+    outside = F.col("root") != F.col("low")
+    sizes = members.groupBy("crowd").agg(F.count("*").alias("all"), F.count_if(outside).alias("out"))
+    blocks = lambda c: F.ceil(F.col(c) / TILE)
+    rows = members.join(sizes.where("out > 0"), "crowd").join(sets.select("set", "n", "bits"), "set")
+    block = lambda c: F.pmod(F.xxhash64("set"), blocks(c))
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), blocks(c) - 1))
+    what = ["set", "root", "n", "bits"]
+    lines = rows.where(outside).select("crowd", block("out").alias("line"), every("all").alias("col"), F.lit(True).alias("outside"), *what)
+    others = rows.select("crowd", every("out").alias("line"), block("all").alias("col"), F.lit(False).alias("outside"), *what)
+    tiles = lines.unionByName(others).groupBy("crowd", "line", "col")
+    return tiles.applyInPandas(_near_in_tile(percent), "a long, b long").distinct()
+
+
 class _Sets:
     """The distinct sets of a table, and exact comparison of pairs of them."""
 
@@ -144,12 +193,16 @@ class _Sets:
         whole = docs.select(text_of(text_col).alias("text"))
         self.texts = whole.select(key1.alias("t1"), key2.alias("t2"), "text")
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (a, b) that link: sizes, then MinHash agreement, then the whole sets decide."""
+    def links(self, pairs: DataFrame, near: DataFrame | None = None) -> DataFrame:
+        """Those of the pairs (a, b) that link: sizes, then MinHash agreement, then the whole sets decide.
+
+        ``near`` are pairs that sizes and agreement have passed already.
+        """
         side = lambda x: self.sets.select(F.col("set").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"m_{x}"))
         met = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
         met = met.where(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
-        near = staged(met.where(_agreement(F.col("m_a"), F.col("m_b")) >= AGREE).select("a", "b"), "near-sets")
+        met = met.where(_agreement(F.col("m_a"), F.col("m_b")) >= AGREE).select("a", "b")
+        near = staged(met if near is None else met.union(near).distinct(), "near-sets")
         asked = near.select(F.explode(F.array("a", "b")).alias("set")).distinct()
         keys = staged(self.sets.select("set", "t1", "t2").join(asked, "set"), "asked-sets")
         # Texts are shuffled only where their keys are too many to send to all tasks.
@@ -216,11 +269,11 @@ def classes(found: _Sets, recall: float = RECALL) -> DataFrame:
         more = member.select("node", "set").join(compare, "node").select("crowd", "main", "set").distinct()
         crowds = more if crowds is None else crowds.union(more)
         rows = staged(_children(large.select("node", "set", "size").join(split.where(branching).select("node"), "node"), sets), "path-nodes")
+    crowded = None
     if crowds is not None:
         now = staged(crowds.distinct().join(label, "set").join(label.toDF("main", "low"), "main"), "path-crowds")
-        outside = now.where("root <> low").select("crowd", F.col("set").alias("a"))
-        pairs = pairs.union(_pairs(outside.join(now.select("crowd", F.col("set").alias("b")), "crowd").where("a <> b")))
-    return _merged(label, found.links(_apart(pairs, label)))
+        crowded = _crowd_pairs(now, sets, found.percent)
+    return _merged(label, found.links(_apart(pairs, label), crowded))
 
 
 def _pairs(rows: DataFrame) -> DataFrame:

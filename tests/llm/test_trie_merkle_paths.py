@@ -252,3 +252,25 @@ def test_trees_meet_pairs_at_the_threshold():
         missed += not (a == b)[: chosenpath.trees_for(chosenpath.RECALL)].any()
         low += (a == b).mean() < chosenpath.AGREE
     assert missed == 0 and low == 0
+
+
+def test_tiles_of_a_crowd_give_all_near_pairs_of_two_classes(spark, monkeypatch):
+    monkeypatch.setattr(chosenpath, "TILE", 16)
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 256, chosenpath.COORDINATES, dtype=np.uint8)
+    sets, members = [], []
+    for i in range(120):
+        mins = np.where(rng.random(chosenpath.COORDINATES) < 0.15, rng.integers(0, 256, chosenpath.COORDINATES), base)
+        sets.append((i, 80 + i % 30, bytearray(mins.astype(np.uint8).tobytes())))
+        members.append((i % 2, i, i if i % 3 else 0, 0))  # every third set is of the main class
+    made = spark.createDataFrame(sets, "set long, n long, bits binary")
+    crowd = spark.createDataFrame(members, "crowd long, set long, root long, low long")
+    got = {tuple(r) for r in chosenpath._crowd_pairs(crowd, made, 80).collect()}
+    wanted = set()
+    for (c, i, root, _), (d, j, other, _) in ((x, y) for x in members for y in members if x[1] < y[1]):
+        (_, n, x), (_, m, y) = sets[i], sets[j]
+        alike = np.mean(np.frombuffer(bytes(x), np.uint8) == np.frombuffer(bytes(y), np.uint8)) >= chosenpath.AGREE
+        if c == d and root != other and alike and 100 * min(n, m) >= 80 * max(n, m):
+            wanted.add((i, j))
+    assert got == wanted and wanted
+    assert chosenpath._crowd_pairs(crowd.limit(0), made, 80).isEmpty()
