@@ -1,8 +1,8 @@
 """Line de-duplication over levelled sorted runs of line hashes, in DataFrame functions only.
 
-What has been seen is kept as runs: tables of line hashes, bucketed and sorted by hash. A batch of
+What has been seen is kept as runs: tables of line hashes, bucketed and sorted by hash, one file a bucket. A batch of
 documents reduces its lines to distinct hashes, anti-joins them with each run by merging (a run is
-read in order and never shuffled), and adds what is new as a run of its own on level 0. When a
+read in its order, neither shuffled nor sorted), and adds what is new as a run of its own on level 0. When a
 level holds ``FANOUT`` runs they are compacted to one run on the next level, so that the number of
 runs grows with the logarithm of the number of batches.
 """
@@ -10,6 +10,8 @@ runs grows with the logarithm of the number of batches.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +37,21 @@ def key_hash(key: Column) -> tuple[Column, Column]:
     return F.xxhash64(key), F.xxhash64(F.lit("line"), key)
 
 
+#: Lets a bucketed scan state the order of its files, so that a join that merges needs no sort of them.
+ORDERED = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+
+
+@contextmanager
+def runs_in_order(spark: SparkSession) -> Iterator[None]:
+    """Plans that are made in this block read a run in the order in which it was written."""
+    before = spark.conf.get(ORDERED)
+    spark.conf.set(ORDERED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(ORDERED, before)
+
+
 class LineRuns:
     """The runs of one corpus, as bucketed tables of the session's warehouse.
 
@@ -57,17 +74,26 @@ class LineRuns:
     def path(self, name: str) -> str:
         return f"{self._folder}/{name}"
 
+    def unknown(self, lines: DataFrame) -> DataFrame:
+        """Distinct hashes of a batch that no run holds, with their smallest owner.
+
+        The batch is sorted once; each run is merged with it as it lies.
+        """
+        found = lines.groupBy("k1", "k2").agg(F.min("owner").alias("owner"))
+        for level in self.levels:
+            for run in level:
+                known = self._spark.table(run).select("k1", "k2").hint("merge")
+                found = found.join(known, ["k1", "k2"], "left_anti")
+        return found
+
     def absorb(self, lines: DataFrame) -> DataFrame:
         """Take in the hashes of a batch, rows (k1, k2, owner); returns the run of those that are new.
 
         The batch must be later than all before it: a line known from earlier batches is not new,
         whoever holds it. Within the batch the smallest owner counts.
         """
-        found = lines.groupBy("k1", "k2").agg(F.min("owner").alias("owner"))
-        for level in self.levels:
-            for run in level:
-                found = found.join(self._spark.table(run).select("k1", "k2"), ["k1", "k2"], "left_anti")
-        name = self._write(found)
+        with runs_in_order(self._spark):
+            name = self._write(self.unknown(lines))
         self._add(name, 0)
         return self._spark.read.schema("k1 long, k2 long, owner long").parquet(self.path(name))
 
@@ -108,7 +134,7 @@ def drop_repeated_lines(
 
     A text is split at \\n; null and empty texts are one empty line. Keys (``line_key``) of at least
     ``shortest`` code points that several documents hold lose all their lines except those in the
-    document of the smallest id. Documents are taken in ``batches`` ranges of their ids, so an
+    document of the smallest id. Ids are whole numbers or null. Documents are taken in ``batches`` ranges of their ids, so an
     earlier batch always holds the smaller ids. Rows of one id are one document: they keep and
     lose the same lines; a null id is a document of its own after all others. An empty table gives an empty one.
 
@@ -119,6 +145,7 @@ def drop_repeated_lines(
     spark = docs.sparkSession
     folder = scratch_folder(spark, "line-runs")
     lines_col, drop_col, key1, key2, ident = (fresh(docs, n) for n in ("lines", "dropped", "text_key", "text_size", "ident"))
+    of_owner, of_key, of_size = (fresh(docs, n) for n in ("of_owner", "of_key", "of_size"))
     owner = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
     text = text_of(text_col)
     ids = docs.select(owner.alias("owner")).where(F.col("owner") != LAST)
@@ -140,17 +167,19 @@ def drop_repeated_lines(
     lines = spark.read.schema(lines.schema).parquet(f"{folder}/lines")
     runs = LineRuns(spark, folder, fanout)
     dropped = None
-    for number in range(len(bounds) + 1):
-        part = lines.where(F.col("batch") == number).drop("batch")
-        new = runs.absorb(part)
-        lost = part.join(new, ["k1", "k2", "owner"], "left_anti").select("owner", "t", "s", "pos")
-        lost.write.mode("append").parquet(f"{folder}/lost")
-        dropped = spark.read.schema(lost.schema).parquet(f"{folder}/lost")
-    runs.close()
+    try:
+        for number in range(len(bounds) + 1):
+            part = lines.where(F.col("batch") == number).drop("batch")
+            new = runs.absorb(part)
+            lost = part.join(new, ["k1", "k2", "owner"], "left_anti").select("owner", "t", "s", "pos")
+            lost.write.mode("append").parquet(f"{folder}/lost")
+            dropped = spark.read.schema(lost.schema).parquet(f"{folder}/lost")
+    finally:
+        runs.close()
     per_text = dropped.groupBy("owner", "t", "s").agg(F.array_sort(F.collect_set("pos")).alias(drop_col))
-    per_text = staged(per_text.select(F.col("owner").alias("_o"), F.col("t").alias("_t"), F.col("s").alias("_s"), drop_col), "dropped-lines")
+    per_text = staged(per_text.select(F.col("owner").alias(of_owner), F.col("t").alias(of_key), F.col("s").alias(of_size), drop_col), "dropped-lines")
     whole = docs.withColumns({ident: owner, key1: F.xxhash64(text), key2: F.octet_length(text)})
-    same = (F.col(ident) == F.col("_o")) & (F.col(key1) == F.col("_t")) & (F.col(key2) == F.col("_s"))
+    same = (F.col(ident) == F.col(of_owner)) & (F.col(key1) == F.col(of_key)) & (F.col(key2) == F.col(of_size))
     joined = whole.join(per_text, same, "left")
     parts = joined.withColumns({lines_col: F.split(text, "\n"), drop_col: F.coalesce(F.col(drop_col), F.array().cast("array<int>"))})
     # What stays lies between two dropped lines: one slice each, so long texts take linear time.

@@ -73,7 +73,7 @@ def mix(
 
     Within a source, rows are ordered by size class, slice of the id and size, so that the sample
     holds every size in its share and taken sizes come near the target. A row's place is the sum
-    of the rows in earlier (class, slice) groups plus its place in its own group: no task holds a
+    of the rows in earlier (class, slice, size) groups plus its place in its own group: no task holds a
     whole source, however large. Null ids, texts (size 0) and sources are kept as values; repeated rows are rows
     of their own; an empty table gives an empty one. Reruns give the same copies, except that
     equal rows may trade places.
@@ -88,27 +88,33 @@ def mix(
         F.coalesce(source_col, F.lit("")).alias("source"),
         size_class.alias("class"),
         F.coalesce(F.abs(F.col(id_col) % slices), F.lit(0)).cast("int").alias("slice"),
+        # Ids may have a stride, be null or repeat; each size of a slice is a group of its own.
+        F.col(size).alias("size"),
     )
     sized = sized.withColumn(key, group)
-    counts = sized.groupBy(F.col(key).alias("_g")).agg(F.count("*").alias("rows"), F.sum(size).alias("size"))
-    counts = staged(counts, "mix-groups").withColumn("source", F.when(~F.col("_g.no_source"), F.col("_g.source")))
-    earlier = Window.partitionBy("source").orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.withColumn("_n", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
-    targets = source_targets(counts.select("source", "size"), weights, most).select(
-        F.col("source").alias("_s"), F.col("source_size").alias("_z"), F.col("target").alias("_t")
+    counts = sized.groupBy(F.col(key).alias("rows_of")).agg(F.count("*").alias("rows"), F.sum(size).alias("size"))
+    counts = staged(counts, "mix-groups").withColumn("source", F.when(~F.col("rows_of.no_source"), F.col("rows_of.source")))
+    earlier = Window.partitionBy("source").orderBy("rows_of").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("start", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
+    targets = source_targets(counts.select("source", "size"), weights, most).withColumnRenamed("source", "source_of")
+    plan = starts.join(targets, F.col("source").eqNullSafe(F.col("source_of")))
+    # Helper columns have names that the table does not have; the plan's size and target come out under these.
+    rows_of, start, total, target, at, copies = (
+        fresh(sized, n) for n in ("rows_of", "start_of_group", "source_size", "target", "place", "copies")
+    )
+    plan = plan.select(
+        F.col("rows_of").alias(rows_of), F.col("start").alias(start), F.col("source_size").alias(total), F.col("target").alias(target)
     )
-    plan = starts.join(targets, F.col("source").eqNullSafe(F.col("_s"))).select("_g", "_n", "_z", "_t")
     # The join and the window use one key, so rows are shuffled once.
-    planned = sized.join(plan, F.col(key) == F.col("_g"))
-    own = Window.partitionBy(key).orderBy(size, F.col(id_col).isNull(), id_col, F.xxhash64(text_col))
-    at = F.col("_n") + F.row_number().over(own)
-    rate = F.when(F.col("_z") > 0, F.col("_t") / F.col("_z")).otherwise(F.lit(0.0))
+    planned = sized.join(plan, F.col(key) == F.col(rows_of))
+    own = Window.partitionBy(key).orderBy(F.col(id_col).isNull(), id_col, F.xxhash64(text_col))
+    # A target is a quotient of doubles, so its rate is held below the limit again.
+    rate = F.when(F.col(total) > 0, F.least(F.col(target) / F.col(total), F.lit(float(most)))).otherwise(F.lit(0.0))
     u = offset(source_col)
-    crossed = F.floor(F.col("_at") * rate + u) - F.floor((F.col("_at") - 1) * rate + u)
-    names = [fresh(sized, n) for n in ("source_size", "target", "copies")]
-    return planned.withColumn("_at", at).select(
-        *docs.columns, size, F.col("_z").alias(names[0]), F.col("_t").alias(names[1]), crossed.cast("int").alias(names[2])
-    )
+    crossed = F.floor(F.col(at) * rate + u) - F.floor((F.col(at) - 1) * rate + u)
+    placed = planned.withColumn(at, F.col(start) + F.row_number().over(own))
+    # Rounding of a long sum must not give a copy more than the limit either.
+    return placed.select(*docs.columns, size, total, target, F.least(crossed, F.lit(most)).cast("int").alias(copies))
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:

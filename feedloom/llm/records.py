@@ -125,10 +125,10 @@ def write_records(
     twice writes two files, and the manifest names the one that counted.
     """
     key = F.col(id_col).cast("long")
-    # Range partitions in id order; a row is only an id and a text on its way.
+    # Range partitions in id order; a row is only an id and a text on its way. The hash splits rows of one id.
     ordered = (
         docs.select(key.alias("id"), text_of(text_col).alias("text"))
-        .repartitionByRange("id")
+        .repartitionByRange("id", F.xxhash64("text"))
         .sortWithinPartitions("id", F.xxhash64("text"))
     )
     end = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()

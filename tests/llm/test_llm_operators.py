@@ -70,6 +70,53 @@ def test_line_dedup_equals_plain(docs, none):
     assert linededup.drop_repeated_lines(none).count() == 0
 
 
+def named_badly(docs):
+    """Further columns with names that helpers might use."""
+    names = ["_o", "_t", "_s", "_g", "_n", "_z", "_at", "of_owner", "rows_of", "start", "target", "place", "owner", "kept_text", "copies"]
+    return docs.withColumns({name: F.lit(name) for name in names})
+
+
+def test_clashing_names_change_nothing(docs):
+    plain = linededup.drop_repeated_lines(docs)
+    odd = linededup.drop_repeated_lines(named_badly(docs))
+    assert odd.columns[: len(named_badly(docs).columns)] == named_badly(docs).columns
+    want = sorted((r.doc_id, r.kept_text, r.n_lines, r.n_dropped) for r in plain.fillna(-1, ["doc_id"]).collect())
+    assert sorted((r[0], *r[-3:]) for r in odd.fillna(-1, ["doc_id"]).collect()) == want
+    taken, odd = mixing.mix(docs), mixing.mix(named_badly(docs))
+    assert all(r["owner"] == "owner" and r["target"] == "target" for r in odd.collect())
+    assert sorted(map(str, (tuple(r[-4:]) for r in odd.collect()))) == sorted(map(str, (tuple(r[-4:]) for r in taken.collect())))
+
+
+def test_runs_are_merged_as_they_lie(spark, docs):
+    runs = linededup.LineRuns(spark, scratch_folder(spark, "test-runs"), fanout=9)
+    k1, k2 = linededup.key_hash(linededup.line_key(F.col("text")))
+    rows = docs.where("text IS NOT NULL").select(k1.alias("k1"), k2.alias("k2"), F.col("doc_id").alias("owner"))
+    runs.absorb(rows)
+    runs.absorb(rows)
+    with linededup.runs_in_order(spark):
+        plan = runs.unknown(rows)._jdf.queryExecution().executedPlan().toString()
+    runs.close()
+    # One exchange and one sort of the batch; both runs are read bucket by bucket in their order.
+    assert plan.count("SortMergeJoin") == 2
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+
+
+def test_rows_without_id_spread_over_files(spark):
+    rows = spark.range(4000).selectExpr("CASE WHEN id % 2 = 0 THEN id END AS doc_id", "concat('text ', id) AS text")
+    folder = scratch_folder(spark, "test-records")
+    joined_up = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(joined_up)
+    spark.conf.set(joined_up, "false")  # these rows would fit into one task
+    try:
+        manifest = records.write_records(rows, folder, tokenizer_path())
+    finally:
+        spark.conf.set(joined_up, before)
+    assert manifest.agg(F.max("records")).first()[0] < 1000
+    back = records.read_records(spark, folder).orderBy("start").collect()
+    known = [r.id for r in back if r.id is not None]
+    assert len(back) == 4000 and known == sorted(known) and all(r.id is None for r in back[:2000])
+
+
 def test_runs_are_compacted(spark, docs):
     runs = linededup.LineRuns(spark, scratch_folder(spark, "test-runs"), fanout=2)
     seen = set()
