@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from feedloom.operators.dedupe import KEY, first_by
 from feedloom.operators.joins import join_dimension
+from feedloom.operators.ordering import number_rows
+from feedloom.session import staged
 
 
 def new_entries(
@@ -40,16 +42,21 @@ def first_copies(fresh: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
 
 
 def added_entries(
-    fresh: DataFrame, stored: DataFrame, keys: Sequence[str] = KEY, few: bool = False
+    fresh: DataFrame, stored: DataFrame, keys: Sequence[str] = KEY, few: bool = False, dense: bool = False
 ) -> DataFrame:
     """The rows a merge adds: first copy of each unknown link, numbered after the stored ones.
 
     ``seq`` continues behind the largest stored ``seq`` (one scalar), so that for equal
-    dates stored entries stay ahead of new ones.
+    dates stored entries stay ahead of new ones. ``dense`` counts the added rows in their order instead of
+    adding their own ``seq``, which may have large gaps: then the numbers of a store that is merged
+    into again and again grow with its rows only. It runs a job when it is called.
     """
-    last = stored.agg(F.max("seq")).scalar()
+    last = F.coalesce(stored.agg(F.max("seq")).scalar(), F.lit(-1).cast("bigint"))
     added = new_entries(first_copies(fresh, keys), stored, keys, unique=True, few=few)
-    return added.withColumn("seq", F.col("seq") + F.coalesce(last, F.lit(-1).cast("bigint")) + F.lit(1))
+    if not dense:
+        return added.withColumn("seq", F.col("seq") + last + F.lit(1))
+    numbered = number_rows(added, [], [F.col("seq"), *map(F.col, keys)], "_place")
+    return numbered.withColumn("seq", F.col("_place") + last).drop("_place")
 
 
 def merge_entries(fresh: DataFrame, stored: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
@@ -96,18 +103,28 @@ def refresh_entries(
 
     A feed is replaced by its fresh entries when ``full`` holds for it or the store has
     nothing of it; otherwise the two are merged. ``full`` may be a condition on
-    ``feed_name``. A feed without fresh entries keeps what it has, in either mode.
+    ``feed_name``. A feed without fresh entries keeps what it has, in either mode. ``fresh`` is worked out
+    once, by a job that runs when this is called.
     """
-    always, full = full, full if isinstance(full, Column) else F.lit(full)
-    known_feeds = stored.select("feed_name").distinct().withColumn("_known", F.lit(True))
-    split = join_dimension(fresh, known_feeds, ["feed_name"], "left", spread_by=["link"]).withColumn(
-        "_replace", full | F.col("_known").isNull()
+    some, full = full is not False, full if isinstance(full, Column) else F.lit(full)
+    # Fresh entries come from a walk over pages: they are worked out once and written, each with a number of its own.
+    fresh = staged(fresh.withColumn("_each", F.monotonically_increasing_id()), "fresh-entries")
+    feeds = stored.select("feed_name", F.lit(True).alias("_known")).union(fresh.select("feed_name", F.lit(False)))
+    seen = feeds.groupBy("feed_name").agg(F.bool_or("_known").alias("_known"), (~F.bool_and("_known")).alias("_fresh"))
+    modes = seen.select("feed_name", (F.col("_fresh") & (full | ~F.col("_known"))).alias("_replace"))
+    kept = stored
+    if some:
+        kept = join_dimension(stored, modes, ["feed_name"], "left", spread_by=["link"])
+        kept = kept.where(~F.coalesce("_replace", F.lit(False))).drop("_replace")
+    flagged = join_dimension(fresh, modes, ["feed_name"], spread_by=["link"])
+    # One way for both modes: nothing is kept of a replaced feed, so its rows meet no known key, and their own numbers
+    # hold its copies apart. Both steps use one partitioning.
+    own = [*keys, "_each"]
+    flagged = flagged.withColumn("_each", F.when(F.col("_replace"), F.col("_each")).otherwise(F.lit(-1).cast("bigint")))
+    known = kept.select(*keys).distinct().withColumn("_each", F.lit(-1).cast("bigint"))
+    added = first_copies(flagged, own).join(known, own, "left_anti")
+    behind = F.coalesce(kept.agg(F.max("seq")).scalar(), F.lit(-1).cast("bigint")) + F.lit(1)
+    added = added.withColumn("seq", F.col("seq") + F.when(F.col("_replace"), F.lit(0)).otherwise(behind)).drop("_each", "_replace")
+    return kept.withColumn("is_new", F.lit(False)).unionByName(
+        added.withColumn("is_new", F.lit(True)), allowMissingColumns=True
     )
-    replacing = split.where("_replace").drop("_known", "_replace").withColumn("is_new", F.lit(True))
-    merging = split.where(~F.col("_replace")).drop("_known", "_replace")
-    surviving = stored
-    if always is not False:
-        fresh_feeds = fresh.select("feed_name").distinct().withColumn("_fresh", F.lit(True))
-        flagged = join_dimension(stored, fresh_feeds, ["feed_name"], "left", spread_by=["link"])
-        surviving = flagged.where(~(full & F.col("_fresh").isNotNull())).drop("_fresh")
-    return merge_entries(merging, surviving, keys).unionByName(replacing, allowMissingColumns=True)

@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from feedloom.operators.merge import added_entries, first_copies
 from feedloom.plans import entries as plans
-from feedloom.sources.store import append_entry_batch, read_entry_batches
+from feedloom.sources.store import append_entry_batch, compact_entry_batches, feed_bucket, read_entry_batches
 
 
 def refresh_batch(
@@ -27,12 +27,17 @@ def refresh_batch(
     """Merge one batch of fresh entries into the store.
 
     The batch is small next to the store and is looked at twice, so it is kept for the time
-    of the merge; a lost executor only means working it out again.
+    of the merge; a lost executor only means working it out again. Of the store only the buckets of the
+    batch's feeds are read. New entries are numbered without gaps behind those of these buckets.
     """
+    spark = fresh.sparkSession
     batch = first_copies(fresh).persist()
     try:
-        stored = read_entry_batches(fresh.sparkSession, store_path, source, before=batch_id)
-        append_entry_batch(added_entries(batch, stored, few=True), store_path, source, batch_id, updated_at)
+        buckets = [r.bucket for r in batch.select(feed_bucket().alias("bucket")).distinct().collect()]  # BUCKETS at most
+        stored = read_entry_batches(spark, store_path, source, before=batch_id, buckets=buckets)
+        added = added_entries(batch, stored, few=True, dense=True)
+        append_entry_batch(added, store_path, source, batch_id, updated_at)
+        compact_entry_batches(spark, store_path, source, batch_id)
     finally:
         batch.unpersist()
 
@@ -66,8 +71,6 @@ def stream_refresh(
     )
 
 
-#: Feeds share so many folders of the frontier; a batch reads those of its own feeds.
-BUCKETS = 64
 _PAGES = "feed_name STRING, rule_id STRING, page_no INT, collection_id STRING"
 _CANDIDATES = (
     f"{_PAGES}, section INT, pos INT, link STRING, title STRING, description STRING, category STRING, "
@@ -76,8 +79,7 @@ _CANDIDATES = (
 
 
 def _keep(rows: DataFrame, folder: str, batch_id: int) -> None:
-    bucket = F.pmod(F.xxhash64("feed_name"), F.lit(BUCKETS)).cast("int")
-    out = rows.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket")
+    out = rows.withColumn("bucket", feed_bucket()).write.mode("overwrite").partitionBy("bucket")
     out.parquet(f"{folder}/batch_id={int(batch_id)}")
 
 

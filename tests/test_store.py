@@ -15,7 +15,7 @@ from feedloom.operators.pagination import pagination_frontier
 from feedloom.plans.entries import site_entries
 from feedloom.sources import store
 from feedloom.sources.pages import decode_pages, page_files
-from feedloom.streaming.refresh import stream_refresh
+from feedloom.streaming.refresh import refresh_batch, stream_refresh
 
 ENTRY = "feed_name STRING, link STRING, title STRING, description STRING, category STRING, published TIMESTAMP_NTZ, seq BIGINT"
 FEW = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -122,6 +122,66 @@ def test_store_write_replaces_only_the_feeds_it_has(spark, tmp_path):
     assert shown(store.read_entry_store(spark, path)) == [("007", "x", "1"), ("a", "y", "2"), ("b:c/d", "x", "1")]
 
 
+def test_runs_are_compacted_and_pruned(spark, tmp_path):
+    path, when = str(tmp_path / "store"), "2026-01-01 00:00:00"
+
+    def feed(n):
+        return frame(spark, [(f"feed{n % 3}", f"x{n}", f"t{n}")])
+
+    def runs():
+        return [run[1:] for run in store._visible(store._runs(spark, path))]
+
+    for n in range(9):
+        store.append_entry_batch(feed(n), path, "s", n, when)
+        store.compact_entry_batches(spark, path, "s", n, fanout=2)
+    everything = sorted((f"feed{n % 3}", f"x{n}", f"t{n}") for n in range(9))
+    assert runs() == [(0, 7), (8, 8)]
+    assert shown(store.read_entry_batches(spark, path)) == everything
+    # A batch that is repeated: alone it replaces its run, in a compacted run it is there already.
+    store.append_entry_batch(feed(8), path, "s", 8, when)
+    store.append_entry_batch(feed(7), path, "s", 7, when)
+    store.compact_entry_batches(spark, path, "s", 7, fanout=2)
+    assert shown(store.read_entry_batches(spark, path)) == everything
+    assert shown(store.read_entry_batches(spark, path, "s", before=8)) == [e for e in everything if e[1] != "x8"]
+    # A run that was not written to its end does not count.
+    (tmp_path / "store/source=s/first=8/last=9/bucket=1").mkdir(parents=True)
+    assert runs() == [(0, 7), (8, 8)]
+    store.drop_compacted_runs(spark, path, "s")
+    assert shown(store.read_entry_batches(spark, path)) == everything
+    bucket = spark.createDataFrame([("feed1",)], "feed_name STRING").select(store.feed_bucket()).first()[0]
+    pruned = store.read_entry_batches(spark, path, buckets=[bucket])
+    assert shown(pruned.where("feed_name = 'feed1'")) == [e for e in everything if e[0] == "feed1"]
+    files = {f.split("bucket=")[1].split("/")[0] for f in pruned.inputFiles()}
+    assert "PartitionFilters: [" in pruned._jdf.queryExecution().executedPlan().toString()
+    assert str(bucket) in files and "bucket#" in pruned._jdf.queryExecution().executedPlan().toString()
+    assert store.read_entry_batches(spark, path, buckets=[]).isEmpty()
+
+
+def test_merged_again_and_again_numbers_stay_dense(spark, tmp_path):
+    path = str(tmp_path / "store")
+    far = 1 << 61  # added up, four of these overflow
+    for n in range(5):
+        rows = [("f", f"l{n}{i}", "t", None, None, None, far + i) for i in (1, 0)]
+        refresh_batch(spark.createDataFrame(rows, ENTRY), n, path, "s", "2026-01-01 00:00:00")
+    got = [(r.link, r.seq) for r in store.read_entry_batches(spark, path).orderBy("seq").collect()]
+    assert got == [(f"l{n}{i}", 2 * n + i) for n in range(5) for i in (0, 1)]
+
+
+def test_refresh_works_out_fresh_entries_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def walked(title):
+        seen.add(1)
+        return title
+
+    fresh = frame(spark, [("a", "x", "new"), ("a", "y", "new"), ("b", "x", "new"), ("d", "x", "new")])
+    stored = frame(spark, [("a", "x", "old"), ("b", "x", "old")])
+    refreshed = refresh_entries(fresh.withColumn("title", walked("title")), stored, F.col("feed_name") == "b")
+    assert shown(refreshed) == [("a", "x", "old"), ("a", "y", "new"), ("b", "x", "new"), ("d", "x", "new")]
+    assert seen.value == 4
+
+
 def test_forced_utf8(spark, tmp_path):
     (tmp_path / "a.html").write_bytes("<p>café —</p>".encode())
     (tmp_path / "b.html").write_bytes(b"<p>\xff</p>")
