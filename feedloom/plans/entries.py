@@ -17,7 +17,7 @@ from feedloom.operators.filters import non_blank, valid_entry
 from feedloom.operators.joins import join_dimension
 from feedloom.operators.merge import new_entries
 from feedloom.operators.pagination import pagination_frontier
-from feedloom.plans.rulebook import builtin_rules, first_of_patterns, json_rule, option, read_listing, with_rules
+from feedloom.plans.rulebook import builtin_rules, first_of_patterns, json_rule, option, read_listing, with_rules, with_shapes
 from feedloom.plans.sites import BASE_URLS
 from feedloom.session import cut_lineage
 
@@ -150,20 +150,26 @@ def crawl_candidates(candidates: DataFrame, pages: DataFrame, page_limit: int |
     return one_page.unionByName(later)
 
 
-def with_details(entries: DataFrame, details: DataFrame, order: Sequence[str] = ()) -> DataFrame:
-    """Entries (with ``detail`` and ``date_patterns`` of their rule) and what their own pages say: detail_date, detail_text.
+def with_details(
+    entries: DataFrame, details: DataFrame, order: Sequence[str] = (), rules: DataFrame | None = None
+) -> DataFrame:
+    """Entries and what their own pages say: detail_date, detail_text.
 
-    Bodies meet the entries before they are read and are read where they meet; only dates and texts go on.
+    ``rules`` holds ``detail`` and ``date_patterns`` by rule; without it they are columns of the entries. Bodies meet the entries before they are read and are read where they meet; only dates and texts go on.
     Of several pages of one link the first by ``order`` counts, as a whole; ties go by a hash of the body.
     Bodies of links without an entry are not read.
     """
     bodies = details.select("feed_name", "link", F.col("html").alias("detail_html"), F.struct(*order, F.xxhash64("html")).alias("rank"))
     asked = entries.join(bodies, ["feed_name", "link"], "left")
+    if rules is None:
+        asked = with_shapes(asked)
+    else:  # after the shuffle, which the programs need not go through
+        asked = join_dimension(asked, with_shapes(rules), ["rule_id"], "left", spread_by=["link"])
     walked = asked.withColumn("items", markup.read_items(F.col("detail_html"), F.col("detail"))).drop("detail_html")
     described = F.filter(F.transform("items", lambda i: i["description"]), lambda d: d.isNotNull())
     read = walked.withColumns(
         {
-            "detail_date": first_of_patterns(F.get("items", F.lit(0))["dates"], F.col("date_patterns")),
+            "detail_date": first_of_patterns(F.get("items", F.lit(0))["dates"], F.col("date_forms"), F.col("date_shape")),
             "detail_text": text.collapse_space(text.unescape_html(F.get(described, F.lit(0)))),
         }
     )
@@ -225,15 +231,15 @@ def resolve_entries(
     book = _book(spark, rulebook, None)
     if rulebook is None:
         book = book.unionByName(json_rule(spark))
-    policies = book.select("rule_id", "options", *(["date_patterns", "detail"] if details is not None else []))
-    fresh = join_dimension(fresh, policies, ["rule_id"], "left", spread_by=["link"])
     if details is not None:
-        fresh = with_details(fresh, details).withColumns(
+        readings = book.select("rule_id", "date_patterns", "detail")
+        fresh = with_details(fresh, details, rules=readings).withColumns(
             {
                 "published": F.coalesce("detail_date", "published"),
                 "description": F.coalesce(text.null_if_blank(F.col("detail_text")), "description"),
             }
         )
+    fresh = join_dimension(fresh, book.select("rule_id", "options"), ["rule_id"], "left", spread_by=["link"])
     published = F.when(option("undated"), F.col("published")).otherwise(
         F.coalesce("published", dates.fallback_date(F.col("link")))
     )

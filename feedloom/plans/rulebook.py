@@ -24,7 +24,7 @@ RULE = (
     "rule_id STRING, base_url STRING, url_mode STRING, tidy STRING, listing STRING, place INT, dedupe STRING, "
     "validate STRING, default_category STRING, date_patterns ARRAY<STRING>, options ARRAY<STRING>, program STRING, detail STRING"
 )
-POLICY = ["dedupe", "validate", "options", "date_patterns", "detail"]
+POLICY = ["dedupe", "validate"]
 URL_MODES = ("prefix", "strip_slash", "rooted_or_bare", "prefix_rooted", "https_or_rooted")
 
 
@@ -163,10 +163,10 @@ def json_rule(spark: SparkSession) -> DataFrame:
 
 
 def with_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """Pages with the row of their rule; a page's own ``base_url`` wins. Pages of unknown rules go."""
+    """Pages with the row of their rule and the shapes of its dates; a page's own ``base_url`` wins. Pages of unknown rules go."""
     own = pages.withColumnRenamed("base_url", "own_base") if "base_url" in pages.columns else pages
     spread = [c for c in ("url", "feed_name", "page_no") if c in own.columns]
-    joined = join_dimension(own, rules, ["rule_id"], spread_by=spread)
+    joined = join_dimension(own, with_shapes(rules), ["rule_id"], spread_by=spread)
     if "base_url" in pages.columns:
         joined = joined.withColumn("base_url", F.coalesce("own_base", "base_url")).drop("own_base")
     return joined
@@ -184,28 +184,39 @@ def option(name: str) -> Column:
     return F.coalesce(F.array_contains("options", name), F.lit(False))
 
 
-def first_of_patterns(texts: Column, patterns: Column) -> Column:
-    """The first text that one of the row's own date patterns fits, as a UTC wall-clock time."""
+def with_shapes(rules: DataFrame) -> DataFrame:
+    """Rules with ``date_forms``, their date patterns, each with its shape, worked out once per rule."""
+    shaped = F.transform("date_patterns", lambda p: F.struct(p.alias("pattern"), dates.shape_of(p).alias("shape")))
+    anything = F.concat(F.lit("(?i)"), F.array_join(F.transform(shaped, lambda d: F.concat(F.lit("(?:"), d["shape"], F.lit(")"))), "|"))
+    return rules.withColumns({"date_forms": shaped, "date_shape": F.when(F.size(shaped) > 0, anything)})
+
+
+def first_of_patterns(texts: Column, forms: Column, shape: Column) -> Column:
+    """The first text that one of the row's own date patterns fits, as a UTC wall-clock time.
+
+    ``forms`` and ``shape`` are those of ``with_shapes``. Most texts are no dates: one look at ``shape`` passes over
+    them. Nothing is tried after the first date.
+    """
+    none = F.lit(None).cast("timestamp")
 
     def tried(clean: Column) -> Column:
-        stamps = F.transform(
-            patterns,
-            lambda p: F.when(F.rlike(clean, dates.shape_of(p)), F.call_function("try_to_timestamp", clean, p)),
-        )
-        return F.get(F.filter(stamps, lambda s: s.isNotNull()), F.lit(0))
+        fits = lambda form: F.when(F.rlike(clean, form["shape"]), F.call_function("try_to_timestamp", clean, form["pattern"]))
+        return F.when(F.rlike(clean, shape), F.aggregate(forms, none, lambda found, form: F.coalesce(found, fits(form))))
 
-    found = F.transform(texts, lambda t: text.bind(text.collapse_space(t), tried))
-    return F.get(F.filter(found, lambda s: s.isNotNull()), F.lit(0)).cast("timestamp_ntz")
+    found = F.aggregate(texts, none, lambda found, t: F.coalesce(found, text.bind(text.collapse_space(t), tried)))
+    return found.cast("timestamp_ntz")
 
 
 def read_listing(pages: DataFrame, keep: list[str]) -> DataFrame:
     """The items of pages that carry their rule: ``keep``, href, section, pos, link, title, description, category, published."""
-    kept = [*keep, *[c for c in ("base_url", "url_mode", "tidy", "listing", "place", "default_category", *POLICY) if c not in keep]]
+    used = ("base_url", "url_mode", "tidy", "listing", "place", "default_category", "options", "date_forms", "date_shape", *POLICY)
+    kept = [*keep, *[c for c in used if c not in keep]]
     walked = pages.select(*kept, F.inline(markup.read_items(F.col("html"), F.col("program"))))
     walked = walked.withColumnRenamed("link", "href")
     return walked.select(
         *keep,
         *POLICY,
+        "options",
         "listing",
         "href",
         (F.col("section") + F.coalesce("place", F.lit(0))).alias("section"),
@@ -214,5 +225,5 @@ def read_listing(pages: DataFrame, keep: list[str]) -> DataFrame:
         "title",
         "description",
         F.coalesce("category", "default_category").alias("category"),
-        first_of_patterns(F.col("dates"), F.col("date_patterns")).alias("published"),
+        first_of_patterns(F.col("dates"), F.col("date_forms"), F.col("date_shape")).alias("published"),
     )
