@@ -12,7 +12,7 @@ from feedloom.functions.text import collapse_space, unescape_common
 from feedloom.functions.urls import canonical_url, host
 from feedloom.operators.dedupe import first_valid
 from feedloom.operators.filters import non_blank
-from feedloom.session import scratch_folder
+from feedloom.session import dealt, scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,12 +41,8 @@ def stamp(published: Column | str, name: str = "published") -> Column:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Group-ready partitions, as many as the cluster can use.
-
-    Pages built from table rows are small in bytes but costly to walk, and AQE would gather
-    them into a few partitions by size. A fixed number stays as it is.
-    """
-    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, *keys)
+    """Group-ready partitions, as many as the cluster can use."""
+    return dealt(df, *keys)
 
 
 def scratch(spark: SparkSession, purpose: str) -> str:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.session import dealt
+
 SALTS = 16
 
 
@@ -17,6 +19,7 @@ def join_dimension(
     how: str = "inner",
     spread_by: Sequence[str] | None = None,
     salts: int = SALTS,
+    costly: bool = False,
 ) -> DataFrame:
     """Join facts to a dimension without forcing a broadcast.
 
@@ -24,11 +27,14 @@ def join_dimension(
     other columns by default) and the dimension is copied once per sub-key, so a hot key
     never lands in one task. No hint is given: Spark broadcasts the dimension by itself when
     its known (or, under AQE, its measured) size is below the threshold, and shuffles both
-    sides otherwise. ``how`` is inner, left, left_semi or left_anti.
+    sides otherwise. ``how`` is inner, left, left_semi or left_anti. ``costly`` facts are dealt over all cores
+    (see ``session.dealt``), which a shuffled join has to do anyway.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
     spread_by = list(spread_by or [c for c in facts.columns if c not in on] or on)
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
+    if costly:
+        salted = dealt(salted, *on, "_salt")
     copies = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

@@ -13,19 +13,20 @@ from pyspark.sql import functions as F
 
 from feedloom.functions import dates, markup, text
 from feedloom.operators import extract
+from feedloom.operators.dedupe import first_by
 from feedloom.operators.filters import non_blank, valid_entry
 from feedloom.operators.joins import join_dimension
 from feedloom.operators.merge import new_entries
 from feedloom.operators.pagination import pagination_frontier
 from feedloom.plans.rulebook import builtin_rules, first_of_patterns, json_rule, option, read_listing, with_rules, with_shapes
 from feedloom.plans.sites import BASE_URLS
-from feedloom.session import cut_lineage
+from feedloom.session import cut_lineage, dealt
 
 
 def route_pages(pages: DataFrame, registry: DataFrame) -> DataFrame:
     """Pages of enabled feeds, with the rule of their feed."""
     routes = registry.where(F.coalesce("enabled", F.lit(True))).select("feed_name", "rule_id")
-    return join_dimension(pages, routes, ["feed_name"], spread_by=["url"])
+    return join_dimension(pages, routes, ["feed_name"], spread_by=["url"], costly=True)
 
 
 def _settle(df: DataFrame) -> DataFrame:
@@ -155,12 +156,14 @@ def with_details(
 ) -> DataFrame:
     """Entries and what their own pages say: detail_date, detail_text.
 
-    ``rules`` holds ``detail`` and ``date_patterns`` by rule; without it they are columns of the entries. Bodies meet the entries before they are read and are read where they meet; only dates and texts go on.
+    ``rules`` holds ``detail`` and ``date_patterns`` by rule; without it they are columns of the entries.
+    Bodies meet the entries before they are read and are read where they meet; only dates and texts go on.
     Of several pages of one link the first by ``order`` counts, as a whole; ties go by a hash of the body.
-    Bodies of links without an entry are not read.
+    Bodies of links without an entry are not read, nor are those that do not count.
     """
     bodies = details.select("feed_name", "link", F.col("html").alias("detail_html"), F.struct(*order, F.xxhash64("html")).alias("rank"))
-    asked = entries.join(bodies, ["feed_name", "link"], "left")
+    key = ["feed_name", "link"]
+    asked = first_by(dealt(entries, *key).join(dealt(bodies, *key), key, "left"), ["rank"])
     if rules is None:
         asked = with_shapes(asked)
     else:  # after the shuffle, which the programs need not go through
@@ -173,9 +176,7 @@ def with_details(
             "detail_text": text.collapse_space(text.unescape_html(F.get(described, F.lit(0)))),
         }
     )
-    kept = [c for c in entries.columns if c not in ("feed_name", "link")] + ["detail_date", "detail_text"]
-    one = read.groupBy("feed_name", "link").agg(F.min_by(F.struct(*kept), F.struct(F.col("rank").isNull(), "rank")).alias("e"))
-    return one.select("feed_name", "link", "e.*")
+    return read.select(*key, *[c for c in entries.columns if c not in key], "detail_date", "detail_text")
 
 
 def site_entries(

@@ -37,6 +37,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows in as many partitions as keep all cores busy to the end: a fixed number, which stays as it is.
+
+    Pages are small in bytes but costly to walk. Files, and AQE, which gathers shuffled rows by size, would leave
+    some of the cores without work.
+    """
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name on the shared storage; its content goes when the application ends."""
     folder = f"{checkpoint_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
