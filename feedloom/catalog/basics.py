@@ -57,7 +57,8 @@ def scan_links(spark, sf_dir):
         F.lit('<a name="x">no</a><abbr href="/no">a</abbr><a data-href="/no"\nhref=/u'), key, F.lit(">u</a>"),
         F.coalesce(last, F.lit('<style>a::after { content: "<a href=/no>" }')),
     )
-    pages = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("page_id"), html.alias("html"))
+    customers = spread(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey")
+    pages = customers.select(F.col("c_custkey").alias("page_id"), html.alias("html"))
     return extract.extract_links(pages).select("page_id", F.col("pos").cast("bigint").alias("pos"), "href")
 
 

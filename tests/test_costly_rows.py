@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from feedloom.catalog import QUERIES
 from feedloom.plans import entries as plans
 
 
@@ -22,3 +23,7 @@ def test_detail_pages_are_chosen_before_they_are_read(spark):
     text = plan(plans.with_details(entries, bodies, ["v"]))
     assert text.count("REPARTITION_BY_NUM") == 2 and "Exchange" not in text.split("ArrowEvalPython")[0]
     assert text.rindex("ArrowEvalPython") < text.index("Window")
+
+
+def test_pages_made_of_rows_are_dealt(spark):
+    assert "REPARTITION_BY_NUM" in plan(QUERIES["scan_links"](spark, "/root/testdata/sf0.001"))
