@@ -341,7 +341,7 @@ SELECT doc_id, md5({sql_unescape("escaped")}) AS common_hash,
        md5({sql_unescape(sql_unescape("escaped"))}) AS twice_hash
 FROM d""")
 def unescape_entities(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select(
         "doc_id", F.replace("text", F.lit(" "), F.lit(" &amp;lt; ")).alias("escaped")
     )
     once = text.unescape_html(F.col("escaped"))

@@ -58,27 +58,44 @@ def escape_xml(text: Column) -> Column:
     return F.replace(F.replace(amp, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
 
+# The everyday entities; ``&amp;`` goes last, so that nothing is decoded twice.
+EVERYDAY = [
+    ("&lt;", "<"),
+    ("&gt;", ">"),
+    ("&quot;", '"'),
+    ("&#39;", "'"),
+    ("&apos;", "'"),
+    ("&nbsp;", "\xa0"),
+    ("&copy;", "\xa9"),
+    ("&middot;", "\xb7"),
+    ("&amp;", "&"),
+]
+
+
 def unescape_common(text: Column) -> Column:
     """Decode the everyday entities without leaving the JVM; ``&amp;`` goes last."""
-    for entity, plain in [
-        ("&lt;", "<"),
-        ("&gt;", ">"),
-        ("&quot;", '"'),
-        ("&#39;", "'"),
-        ("&apos;", "'"),
-        ("&nbsp;", "\xa0"),
-        ("&copy;", "\xa9"),
-        ("&middot;", "\xb7"),
-        ("&amp;", "&"),
-    ]:
+    for entity, plain in EVERYDAY:
         text = F.replace(text, F.lit(entity), F.lit(plain))
     return text
 
 
+def _decoded(text: str) -> str:
+    """``html.unescape``, faster where every ``&`` begins an everyday entity."""
+    left = text.count("&")
+    held = []
+    for entity, plain in reversed(EVERYDAY):
+        if left and (found := text.count(entity)):
+            held.append((entity, plain))
+            left -= found
+    if left:
+        return html.unescape(text)
+    for entity, plain in reversed(held):
+        text = text.replace(entity, plain)
+    return text
+
+
 def _unescape_batch(batch: pa.Array) -> pa.Array:
-    return pa.array(
-        [html.unescape(v) if v and "&" in v else v for v in batch.to_pylist()], type=pa.string()
-    )
+    return pa.array([_decoded(v) if v and "&" in v else v for v in batch.to_pylist()], type=pa.string())
 
 
 def unescape_html(text: Column) -> Column:
