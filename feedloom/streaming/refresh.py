@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 
 from feedloom.operators.merge import added_entries, first_copies
 from feedloom.plans import entries as plans
+from feedloom.session import dealt
 from feedloom.sources.store import append_entry_batch, compact_entry_batches, feed_bucket, read_entry_batches
 
 
@@ -79,8 +80,9 @@ _CANDIDATES = (
 
 
 def _keep(rows: DataFrame, folder: str, batch_id: int) -> None:
-    out = rows.withColumn("bucket", feed_bucket()).write.mode("overwrite").partitionBy("bucket")
-    out.parquet(f"{folder}/batch_id={int(batch_id)}")
+    # The rebalance makes few files of a bucket, however many tasks have rows of it.
+    out = rows.withColumn("bucket", feed_bucket()).hint("rebalance", "bucket").write.mode("overwrite")
+    out.partitionBy("bucket").parquet(f"{folder}/batch_id={int(batch_id)}")
 
 
 def _known(spark: SparkSession, folder: str, schema: str, batch_id: int, feeds: DataFrame, buckets: list[int]) -> DataFrame:
@@ -110,7 +112,8 @@ def crawl_batch(
         if column not in listed.columns:
             listed = listed.withColumn(column, F.lit(value))
     listed = listed.withColumn("page_no", F.col("page_no").cast("int"))
-    _keep(plans.listing_candidates(listed, rules, rulebook), f"{frontier_path}/items", batch_id)
+    walked = dealt(listed, "feed_name", "page_no", "collection_id")  # a batch may be a few large files
+    _keep(plans.listing_candidates(walked, rules, rulebook), f"{frontier_path}/items", batch_id)
     _keep(listed.select(*plans.PAGE), f"{frontier_path}/pages", batch_id)
     mine = spark.read.schema(f"{_PAGES}, bucket INT").parquet(f"{frontier_path}/pages/batch_id={int(batch_id)}")
     feeds = mine.select("feed_name").distinct()

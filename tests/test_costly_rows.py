@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from feedloom.catalog import QUERIES
 from feedloom.plans import entries as plans
+from feedloom.streaming.refresh import crawl_batch
 
 
 def plan(df):
@@ -27,3 +28,16 @@ def test_detail_pages_are_chosen_before_they_are_read(spark):
 
 def test_pages_made_of_rows_are_dealt(spark):
     assert "REPARTITION_BY_NUM" in plan(QUERIES["scan_links"](spark, "/root/testdata/sf0.001"))
+
+
+def test_frontier_has_few_files_of_a_bucket(spark, tmp_path):
+    pages = spark.range(64).select(
+        F.lit("f").alias("feed_name"),
+        F.lit("dated_articles").alias("rule_id"),
+        (F.col("id") + 1).cast("int").alias("page_no"),
+        F.concat(F.lit('<div id="content"><article><h1><a href="/'), "id", F.lit('">t</a></h1></article></div>')).alias("html"),
+    )
+    found = crawl_batch(pages.repartition(8), 0, str(tmp_path), rules=["dated_articles"])
+    assert found.count() == 64
+    for kept in ("items", "pages"):
+        assert len(list(tmp_path.glob(f"{kept}/batch_id=0/bucket=*/*.parquet"))) == 1
