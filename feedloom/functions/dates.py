@@ -56,6 +56,7 @@ _LETTERS = {
 
 
 def _shape(pattern: str) -> str:
+    """A regular expression for the texts that can fit a date pattern."""
     return "(?i)^" + re.sub(r"M+|d+|y+", lambda m: _LETTERS[m.group()], pattern) + "$"
 
 

@@ -18,7 +18,7 @@ from feedloom.operators.filters import non_blank, valid_entry
 from feedloom.operators.joins import join_dimension
 from feedloom.operators.merge import new_entries
 from feedloom.operators.pagination import pagination_frontier
-from feedloom.plans.rulebook import builtin_rules, first_of_patterns, json_rule, option, read_listing, with_rules, with_shapes
+from feedloom.plans.rulebook import builtin_rules, first_of_patterns, is_listing, json_rule, option, read_listing, with_rules, with_shapes
 from feedloom.plans.sites import BASE_URLS
 from feedloom.session import cut_lineage, dealt
 
@@ -77,7 +77,7 @@ def _book(spark: SparkSession, rulebook: DataFrame | None, rules: Collection[str
 
 def _judge(resolved: DataFrame) -> DataFrame:
     """Add ``usable`` and ``valid``. Every rule that asks for a date also has a stand-in date."""
-    listing = F.coalesce(F.rlike("href", F.col("listing")), F.lit(False))
+    listing = is_listing(F.col("href"), F.col("listing"))
     valid = (
         F.when(F.col("validate").isin("strict", "lax"), valid_entry(require_date=False))
         .when(F.col("validate") == "titled", F.col("title").isNotNull())

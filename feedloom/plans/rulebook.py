@@ -8,6 +8,7 @@ sites in the same form.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Collection
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -184,24 +185,53 @@ def option(name: str) -> Column:
     return F.coalesce(F.array_contains("options", name), F.lit(False))
 
 
+#: Patterns and listing hrefs of the known sites. As constants, Spark reads each of them once and not for every text.
+_KNOWN_DATES = sorted({p for patterns in DATE_PATTERNS.values() for p in patterns} | {"yyyy-MM-dd"})
+
+
+def _by_constant(value: Column, known: Collection[str], result: Callable[[Column], Column]) -> Column:
+    """``result(value)``, where a value that is one of ``known`` is a constant to ``result``."""
+    (first, *others) = known
+    chosen = F.when(value == first, result(F.lit(first)))
+    for constant in others:
+        chosen = chosen.when(value == constant, result(F.lit(constant)))
+    return chosen.otherwise(result(value))
+
+
+def is_listing(href: Column, listing: Column) -> Column:
+    """Whether an href is that of a listing page under the row's own rule."""
+    return F.coalesce(_by_constant(listing, _LISTINGS.values(), lambda pattern: F.rlike(href, pattern)), F.lit(False))
+
+
 def with_shapes(rules: DataFrame) -> DataFrame:
-    """Rules with ``date_forms``, their date patterns, each with its shape, worked out once per rule."""
+    """Rules with ``date_forms``, their date patterns, each with its shape, worked out once per rule.
+
+    ``date_shape`` is what all of these fit, where some are not those of known sites.
+    """
     shaped = F.transform("date_patterns", lambda p: F.struct(p.alias("pattern"), dates.shape_of(p).alias("shape")))
     anything = F.concat(F.lit("(?i)"), F.array_join(F.transform(shaped, lambda d: F.concat(F.lit("(?:"), d["shape"], F.lit(")"))), "|"))
-    return rules.withColumns({"date_forms": shaped, "date_shape": F.when(F.size(shaped) > 0, anything)})
+    unknown = F.exists("date_patterns", lambda p: ~p.isin(_KNOWN_DATES))
+    return rules.withColumns({"date_forms": shaped, "date_shape": F.when(unknown, anything)})
 
 
 def first_of_patterns(texts: Column, forms: Column, shape: Column) -> Column:
     """The first text that one of the row's own date patterns fits, as a UTC wall-clock time.
 
-    ``forms`` and ``shape`` are those of ``with_shapes``. Most texts are no dates: one look at ``shape`` passes over
-    them. Nothing is tried after the first date.
+    ``forms`` and ``shape`` are those of ``with_shapes``. Most texts are no dates: one look at ``shape``, or at each known
+    pattern's shape, passes over them. Nothing is tried after the first date.
     """
     none = F.lit(None).cast("timestamp")
 
     def tried(clean: Column) -> Column:
-        fits = lambda form: F.when(F.rlike(clean, form["shape"]), F.call_function("try_to_timestamp", clean, form["pattern"]))
-        return F.when(F.rlike(clean, shape), F.aggregate(forms, none, lambda found, form: F.coalesce(found, fits(form))))
+        read = lambda fits, pattern: F.when(F.rlike(clean, fits), F.call_function("try_to_timestamp", clean, pattern))
+
+        def fits(form: Column) -> Column:
+            known = F.when(F.lit(False), none)
+            for pattern in _KNOWN_DATES:
+                known = known.when(form["pattern"] == pattern, read(F.lit(dates._shape(pattern)), F.lit(pattern)))
+            return known.otherwise(read(form["shape"], form["pattern"]))
+
+        return F.when(shape.isNull() | F.rlike(clean, shape), F.aggregate(forms, none, lambda found, form: F.coalesce(found, fits(form))))
 
     found = F.aggregate(texts, none, lambda found, t: F.coalesce(found, text.bind(text.collapse_space(t), tried)))
     return found.cast("timestamp_ntz")
