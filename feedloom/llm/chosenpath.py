@@ -255,7 +255,9 @@ def classes(found: _Sets, recall: float = RECALL) -> DataFrame:
         large = staged(large.select("node", "set", "size", "above", pivots), "path-large")
         if large.isEmpty():
             break
-        star = _pairs(large.select(F.col("set").alias("a"), F.explode("pivots").alias("b")).where("a <> b"))
+        # Nodes of a crowd have many pivots in common: a set meets each of them once, not once for each of its nodes.
+        met = large.groupBy("set").agg(F.array_distinct(F.flatten(F.collect_set("pivots"))).alias("pivots"))
+        star = _pairs(met.select(F.col("set").alias("a"), F.explode("pivots").alias("b")).where("a <> b"))
         label = _merged(label, found.links(_apart(star, label)))
         member = large.select("node", "set", "size", "above").join(label, "set")
         of_class = member.groupBy("node", "size", "above", "root").agg(F.count("*").alias("n"))

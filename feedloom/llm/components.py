@@ -22,27 +22,34 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("a", F.col("low").alias("b")))
 
 
+def unsettled(links: DataFrame) -> int:
+    """Number of nodes that keep distinct links (a, b), b < a, from being stars: two smaller neighbours, or one below a
+    smaller and above a larger node. Stars are components, and their centres the smallest nodes."""
+    one, none = F.lit(1), F.lit(0)
+    ends = links.select(F.col("a").alias("node"), one.alias("up"), none.alias("down")).union(links.select("b", none, one))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR (up = 1 AND down = 1)").count()
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the undirected links (a, b); root is its component's smallest node.
 
     Loops and repeated links do no harm; an empty table gives an empty one. Each round writes the
-    links to the shared folder, so a lost executor costs at most one round. The number of rounds
-    grows with the logarithm of the longest chain. No step gathers a component: smallest
+    links to the shared folder, so a lost executor costs at most one round; the last is the one that leaves
+    stars alone. The number of rounds grows with the logarithm of the longest chain. No step gathers a component: smallest
     neighbours are aggregated before the shuffle, and joins on a node with many links can be split.
     """
     spark = edges.sparkSession
     folder = scratch_folder(spark, "components")
     links = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    state, turn = None, 0
+    turn = 0
     while True:
         links.write.parquet(f"{folder}/{turn}")
         links = spark.read.schema("a long, b long").parquet(f"{folder}/{turn}")
-        count = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if turn > 1:
-            drop_folder(spark, f"{folder}/{turn - 2}")
-        if tuple(count) == state or not count[0]:
+        if turn:
+            drop_folder(spark, f"{folder}/{turn - 1}")
+        if not unsettled(links):
             break
-        state, turn = tuple(count), turn + 1
+        turn += 1
         links = _small_star(_large_star(links).distinct()).distinct()
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         links.select("b", "b").distinct()
