@@ -8,12 +8,13 @@ agrees in a chosen coordinate with probability s, so similar sets stay together
 those below two thirds die out. Small nodes are compared exhaustively. Trees are independent; their number
 follows from the recall that is asked for.
 
-Before a large node branches, its sets are compared with a few of its own (pivots). Links join classes, and
-comparisons leave out pairs of one class. A node all of one class is done; where only a few sets are outside the
-node's main class, or where branching hardly made the node smaller, the sets outside are compared with all
-others; the rest branches, up to ``LEVELS`` times. Crowded nodes of one main class are compared together, once
-and not in every tree, tile by tile of their matrix. So a crowd of near copies, which no coordinate would part, costs a few comparisons
-for each member of its main class and not one for each pair.
+A large node branches up to ``LEVELS`` times, unless branching hardly made it smaller than its parent: its sets are
+alike, a crowd, which no coordinate would part. Crowds of several trees with the same first set are one. The sets of a
+crowd are compared with a few of its own (pivots). Links join classes, and comparisons leave out pairs of
+one class. A crowd all of one class is done; in others the sets outside the main class are compared with all others, crowds of one main
+class together, tile by tile of their matrix. A tile decides on whole sets and gives only which of its
+classes are joined, at most one row for each. So a crowd of near copies costs a few comparisons for each member of its main class, and
+one just under the threshold, whose pairs must all be looked at, never makes a row of a pair.
 """
 
 from __future__ import annotations
@@ -48,8 +49,9 @@ RECALL = 0.9999
 AGREE = 0.65
 #: Hashes of shingles that a task remembers (8 bytes each).
 REMEMBERED = 4_000_000
-#: Sets of a side of a tile, the unit in which a crowd is compared.
+#: Sets of a side of a tile, the unit in which a crowd is compared, and shingles of them (8 bytes each).
 TILE = 512
+WEIGHT = 1_000_000
 #: Bytes of texts that may be sent to all tasks.
 SENT = 16_000_000
 
@@ -133,20 +135,38 @@ def _linked(a: Column, b: Column, text_a: Column, text_b: Column, words: int, pe
     return run(a, b, text_a, text_b)
 
 
+def _shingles(text: Column, words: int) -> Column:
+    """The whole shingle set of a text as binary, 8 bytes a shingle."""
+
+    @F.pandas_udf("binary")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingle_hashes(text, words).tobytes() for text in texts], dtype=object)
+
+    return run(text)
+
+
+def _near(tile: pd.DataFrame, roots: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of a tile's outside sets, each with the places of others that its size and agreement allow and whose
+    class is another; ``roots`` may change on the way."""
+    outside = tile["outside"].to_numpy(dtype=bool)
+    sizes = tile["n"].to_numpy(dtype=np.int64)
+    mins = np.frombuffer(b"".join(tile["bits"]), dtype=np.uint8).reshape(-1, COORDINATES)
+    right = np.flatnonzero(~outside)
+    right_mins, right_sizes = mins[right], sizes[right]
+    for at in np.flatnonzero(outside):
+        fits = 100 * np.minimum(right_sizes, sizes[at]) >= percent * np.maximum(right_sizes, sizes[at])
+        fits &= (roots[right] != roots[at]) & ((right_mins == mins[at]).mean(axis=1) >= AGREE)
+        yield at, right[fits]
+
+
 def _near_in_tile(percent: int):
     """The pairs of one tile, outside sets against others, of two classes, that sizes and agreement allow."""
 
     def run(tile: pd.DataFrame) -> pd.DataFrame:
-        outside = tile["outside"].to_numpy(dtype=bool)
-        numbers, roots, sizes = (tile[c].to_numpy(dtype=np.int64) for c in ("set", "root", "n"))
-        mins = np.frombuffer(b"".join(tile["bits"]), dtype=np.uint8).reshape(-1, COORDINATES)
-        right = np.flatnonzero(~outside)
-        right_mins, right_sizes, right_roots = mins[right], sizes[right], roots[right]
+        numbers, roots = (tile[c].to_numpy(dtype=np.int64) for c in ("set", "root"))
         a, b = [], []
-        for at in np.flatnonzero(outside):
-            fits = 100 * np.minimum(right_sizes, sizes[at]) >= percent * np.maximum(right_sizes, sizes[at])
-            fits &= (right_roots != roots[at]) & ((right_mins == mins[at]).mean(axis=1) >= AGREE)
-            found = numbers[right[fits]]
+        for at, near in _near(tile, roots, percent):
+            found = numbers[near]
             a.append(np.minimum(found, numbers[at]))
             b.append(np.maximum(found, numbers[at]))
         return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)} if a else {"a": [], "b": []}, dtype="int64")
@@ -154,24 +174,51 @@ def _near_in_tile(percent: int):
     return run
 
 
+def _links_in_tile(percent: int):
+    """What the links of one tile join, decided on whole sets: classes (b), each with the smallest one (a) of its component."""
+
+    def run(tile: pd.DataFrame) -> pd.DataFrame:
+        classes, sizes = (tile[c].to_numpy(dtype=np.int64) for c in ("root", "n"))
+        roots = classes.copy()  # classes that a link has joined have one root from then on
+        ends = np.cumsum(sizes)
+        _, codes = np.unique(np.frombuffer(b"".join(tile["shingles"]), dtype=np.uint64), return_inverse=True)
+        own = [codes[end - n : end] for end, n in zip(ends, sizes, strict=True)]
+        mark = np.zeros(len(codes), dtype=np.uint8)
+        for at, near in _near(tile, roots, percent):
+            if not len(near):
+                continue
+            mark[own[at]] = 1
+            starts = np.cumsum(sizes[near]) - sizes[near]
+            both = np.add.reduceat(mark[np.concatenate([own[x] for x in near])], starts, dtype=np.int64)
+            mark[own[at]] = 0
+            joined = np.unique(roots[near[100 * both >= percent * (sizes[at] + sizes[near] - both)]])
+            roots[np.isin(roots, joined)] = roots[at]
+        found = pd.DataFrame({"a": pd.Series(classes).groupby(roots).transform("min"), "b": classes})
+        return found[found["a"] != found["b"]].drop_duplicates()
+
+    return run
+
+
 def _crowd_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Near pairs (a, b) of crowds, rows (crowd, set, root, low): sets outside of the main class ``low`` with all others.
+    Where ``sets`` have whole ``shingles``, these decide, and pairs are links (a, b) of classes.
 
-    A crowd is a matrix of tiles of ``TILE`` x ``TILE`` sets or so. A set is copied once for each tile of its row or
-    column with its 128 bytes, and only near pairs leave a tile, so no crowd has to fit into a task and no pair of it is
-    shuffled before it is looked at.
+    A crowd is a matrix of tiles of ``TILE`` x ``TILE`` sets or so, fewer where sets are large. A set is copied once for
+    each tile of its row or column, so no crowd has to fit into a task and no pair of it is shuffled before it is looked at.
     """
+    whole = [c for c in ("shingles",) if c in sets.columns]
     outside = F.col("root") != F.col("low")
-    sizes = members.groupBy("crowd").agg(F.count("*").alias("all"), F.count_if(outside).alias("out"))
-    blocks = lambda c: F.ceil(F.col(c) / TILE)
-    rows = members.join(sizes.where("out > 0"), "crowd").join(sets.select("set", "n", "bits"), "set")
-    block = lambda c: F.pmod(F.xxhash64("set"), blocks(c))
-    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), blocks(c) - 1))
-    what = ["set", "root", "n", "bits"]
+    rows = members.join(sets.select("set", "n", "bits", *whole), "set")
+    part = lambda x: F.ceil(F.greatest(F.count_if(x) / TILE, F.sum(F.when(x, F.col("n"))) / WEIGHT))
+    sizes = members.join(sets.select("set", "n"), "set").groupBy("crowd").agg(part(F.lit(True)).alias("all"), part(outside).alias("out"))
+    rows = rows.join(sizes.where("out > 0"), "crowd")
+    block = lambda c: F.pmod(F.xxhash64("set"), F.col(c))
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    what = ["set", "root", "n", "bits", *whole]
     lines = rows.where(outside).select("crowd", block("out").alias("line"), every("all").alias("col"), F.lit(True).alias("outside"), *what)
     others = rows.select("crowd", every("out").alias("line"), block("all").alias("col"), F.lit(False).alias("outside"), *what)
     tiles = lines.unionByName(others).groupBy("crowd", "line", "col")
-    return tiles.applyInPandas(_near_in_tile(percent), "a long, b long").distinct()
+    return tiles.applyInPandas((_links_in_tile if whole else _near_in_tile)(percent), "a long, b long").distinct()
 
 
 class _Sets:
@@ -193,20 +240,25 @@ class _Sets:
         whole = docs.select(text_of(text_col).alias("text"))
         self.texts = whole.select(key1.alias("t1"), key2.alias("t2"), "text")
 
-    def links(self, pairs: DataFrame, near: DataFrame | None = None) -> DataFrame:
-        """Those of the pairs (a, b) that link: sizes, then MinHash agreement, then the whole sets decide.
+    def texts_of(self, asked: DataFrame) -> DataFrame:
+        """(set, text) of the sets that are asked for."""
+        keys = staged(self.sets.select("set", "t1", "t2").join(asked, "set"), "asked-sets")
+        # Texts are shuffled only where their keys are too many to send to all tasks.
+        return self.texts.join(bounded(keys), ["t1", "t2"]).dropDuplicates(["set"]).select("set", "text")
+
+    def whole(self, asked: DataFrame) -> DataFrame:
+        """(set, n, bits, shingles) of the sets that are asked for."""
+        shingles = self.texts_of(asked).select("set", _shingles(F.col("text"), self.words).alias("shingles"))
+        return staged(self.sets.select("set", "n", "bits").join(shingles, "set"), "whole-sets")
 
-        ``near`` are pairs that sizes and agreement have passed already.
-        """
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """Those of the pairs (a, b) that link: sizes, then MinHash agreement, then the whole sets decide."""
         side = lambda x: self.sets.select(F.col("set").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"m_{x}"))
         met = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
         met = met.where(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
-        met = met.where(_agreement(F.col("m_a"), F.col("m_b")) >= AGREE).select("a", "b")
-        near = staged(met if near is None else met.union(near).distinct(), "near-sets")
+        near = staged(met.where(_agreement(F.col("m_a"), F.col("m_b")) >= AGREE).select("a", "b"), "near-sets")
         asked = near.select(F.explode(F.array("a", "b")).alias("set")).distinct()
-        keys = staged(self.sets.select("set", "t1", "t2").join(asked, "set"), "asked-sets")
-        # Texts are shuffled only where their keys are too many to send to all tasks.
-        texts = staged(self.texts.join(bounded(keys), ["t1", "t2"]).dropDuplicates(["set"]).select("set", "text"), "asked-texts")
+        texts = staged(self.texts_of(asked), "asked-texts")
         held = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         if held <= SENT:  # few texts of many pairs go to all tasks; else pairs and texts are shuffled
             texts = F.broadcast(texts)
@@ -242,40 +294,48 @@ def classes(found: _Sets, recall: float = RECALL) -> DataFrame:
     label = sets.select("set", F.col("set").alias("root"))
     pairs = crowds = None
     for level in range(LEVELS + 1):
-        # Smallest hashes choose the pivots, so that nodes with the same sets have the same pivots; each
-        # task keeps its own smallest before the shuffle.
-        pivot = [F.min_by("set", F.xxhash64("set", F.lit(j))).alias(f"p{j}") for j in range(PIVOTS)]
-        sized = rows.groupBy("node").agg(F.count("*").alias("size"), F.first("above").alias("above"), *pivot)
+        # The set of the smallest hash is the same in nodes of nearly the same sets.
+        first = F.min_by("set", F.xxhash64("set")).alias("first")
+        sized = rows.groupBy("node").agg(F.count("*").alias("size"), F.first("above").alias("above"), first)
         sized = staged(sized.where("size > 1"), "path-sizes")
         small = rows.join(sized.where(F.col("size") <= SMALL).select("node"), "node").select("node", "set")
         few = _pairs(small.toDF("node", "a").join(small.toDF("node", "b"), "node").where("a < b"))
         pairs = few if pairs is None else pairs.union(few)
-        large = rows.drop("above").join(sized.where(F.col("size") > SMALL), "node")
-        pivots = F.array_distinct(F.array(*[f"p{j}" for j in range(PIVOTS)])).alias("pivots")
-        large = staged(large.select("node", "set", "size", "above", pivots), "path-large")
+        large = sized.where(F.col("size") > SMALL)
         if large.isEmpty():
             break
-        # Nodes of a crowd have many pivots in common: a set meets each of them once, not once for each of its nodes.
-        met = large.groupBy("set").agg(F.array_distinct(F.flatten(F.collect_set("pivots"))).alias("pivots"))
-        star = _pairs(met.select(F.col("set").alias("a"), F.explode("pivots").alias("b")).where("a <> b"))
-        label = _merged(label, found.links(_apart(star, label)))
-        member = large.select("node", "set", "size", "above").join(label, "set")
-        of_class = member.groupBy("node", "size", "above", "root").agg(F.count("*").alias("n"))
-        split = of_class.groupBy("node", "size", "above").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("n"))
-        split = staged(split.where("n < size"), "path-split")
-        shrunk = F.col("size") < CROWD * F.coalesce("above", 2 * F.col("size"))
-        branching = shrunk & (F.col("size") - F.col("n") > SMALL) & F.lit(level < LEVELS)
-        # Nodes that one class fills for the most part are compared together with others of that class.
-        crowd = F.when(2 * F.col("n") >= F.col("size"), F.xxhash64(F.lit("main"), "main")).otherwise(F.xxhash64("node"))
-        compare = split.where(~branching).select("node", crowd.alias("crowd"), "main")
-        more = member.select("node", "set").join(compare, "node").select("crowd", "main", "set").distinct()
+        alike = F.col("size") >= CROWD * F.coalesce("above", 2 * F.col("size"))
+        branching = ~alike & F.lit(level < LEVELS)
+        crowd = F.when(alike, F.xxhash64(F.lit("first"), "first")).otherwise(F.xxhash64("node")).alias("crowd")
+        more = rows.join(large.where(~branching).select("node", crowd), "node").select("crowd", "set")
         crowds = more if crowds is None else crowds.union(more)
-        rows = staged(_children(large.select("node", "set", "size").join(split.where(branching).select("node"), "node"), sets), "path-nodes")
-    crowded = None
+        rows = staged(_children(rows.drop("above").join(large.where(branching).select("node", "size"), "node"), sets), "path-nodes")
     if crowds is not None:
-        now = staged(crowds.distinct().join(label, "set").join(label.toDF("main", "low"), "main"), "path-crowds")
-        crowded = _crowd_pairs(now, sets, found.percent)
-    return _merged(label, found.links(_apart(pairs, label), crowded))
+        label = _of_crowds(staged(crowds.distinct(), "path-crowds"), label, found)
+    return _merged(label, found.links(_apart(pairs, label)))
+
+
+def _of_crowds(crowds: DataFrame, label: DataFrame, found: _Sets) -> DataFrame:
+    """Classes (set, root) after all links within crowds, rows (crowd, set)."""
+    # Smallest hashes choose the pivots, so that crowds of nearly the same sets have the same pivots; each
+    # task keeps its own smallest before the shuffle.
+    pivot = [F.min_by("set", F.xxhash64("set", F.lit(j))).alias(f"p{j}") for j in range(PIVOTS)]
+    pivots = F.array_distinct(F.array(*[f"p{j}" for j in range(PIVOTS)])).alias("pivots")
+    chosen = crowds.join(crowds.groupBy("crowd").agg(*pivot).select("crowd", pivots), "crowd")
+    # A set meets each pivot once, not once for each of its crowds.
+    met = chosen.groupBy("set").agg(F.array_distinct(F.flatten(F.collect_set("pivots"))).alias("pivots"))
+    star = _pairs(met.select(F.col("set").alias("a"), F.explode("pivots").alias("b")).where("a <> b"))
+    label = _merged(label, found.links(_apart(star, label)))
+    member = crowds.join(label, "set")
+    of_class = member.groupBy("crowd", "root").agg(F.count("*").alias("n"))
+    split = of_class.groupBy("crowd").agg(F.max_by("root", F.struct("n", "root")).alias("low"), F.max("n").alias("n"), F.sum("n").alias("size"))
+    # Crowds that one class fills for the most part are compared together with others of that class.
+    key = F.when(2 * F.col("n") >= F.col("size"), F.xxhash64(F.lit("main"), "low")).otherwise(F.col("crowd"))
+    apart = split.where("n < size").select("crowd", key.alias("key"), "low")
+    member = member.join(apart, "crowd").select(F.col("key").alias("crowd"), "set", "root", "low").distinct()
+    member = staged(member, "crowd-sets")
+    links = _crowd_pairs(member, found.whole(member.select("set").distinct()), found.percent)
+    return _merged(label, staged(links, "crowd-links"))
 
 
 def _pairs(rows: DataFrame) -> DataFrame:

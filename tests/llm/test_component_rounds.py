@@ -45,3 +45,31 @@ def test_a_set_meets_a_pivot_once_for_all_its_nodes(spark, monkeypatch):
     monkeypatch.setattr(chosenpath, "_pairs", counted)
     chosenpath.components(docs).agg(F.count("*")).collect()
     assert met and all(rows == distinct for rows, distinct in met)
+
+
+def test_a_crowd_under_the_threshold_makes_no_row_of_a_pair(spark, monkeypatch):
+    draw = random.Random(11)
+    words = [f"w{n}" for n in range(400)]
+    texts = [" ".join(w if draw.random() < 0.981 else f"x{n}{at}" for at, w in enumerate(words)) for n in range(150)]
+    sets = [{tuple(t.split()[i : i + 4]) for i in range(397)} for t in texts]
+    near, root = 0, list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            near += 100 * both >= 70 * (len(sets[a]) + len(sets[b]) - both)
+            if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both) and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    assert near > 10 * len(texts) and 20 < len(set(root)) < 140
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    made, tiles = [], chosenpath._crowd_pairs
+
+    def counted(*given):
+        found = tiles(*given)
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(chosenpath, "_crowd_pairs", counted)
+    got = {r.id: r.component_id for r in chosenpath.components(docs).collect()}
+    assert got == dict(enumerate(root))
+    assert made and sum(made) <= len(texts)
