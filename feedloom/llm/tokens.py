@@ -10,9 +10,14 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable
+from itertools import chain, pairwise
+from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
+BATCH = 20_000  # pieces given to the library at once
 CUT = re.compile(r"(?<=\S) (?=\S)")
 #: A space that is not alone between two visible characters.
 UNSURE = re.compile(r"\s | \s|^ | \Z")
@@ -23,24 +28,34 @@ def space_pieces(text: str) -> list[str]:
     return CUT.split(text) if UNSURE.search(text) else text.split(" ")
 
 
-#: White space other than single spaces and line ends between two visible characters.
-PAIRS = ("  ", " \n", "\n ", "\n\n")
+#: White space other than spaces and line ends.
 OTHER_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+#: A text in which some white space is not a single space or line end between two visible characters.
+ODD = r"\A[ \n]|[ \n]\z|[ \n][ \n]|[" + "".join(rf"\x{{{ord(c):x}}}" for c in OTHER_SPACES) + "]"
+#: Where any text may be cut: at a single space between two visible characters, and before other runs of white space.
+RUN = re.compile(r"(?<=\S)(?: (?=\S)|(?=[ \n\t\r]))")
 
 
-def pieces(text: str) -> list[str]:
-    """The text cut at its safe spaces and line ends.
+def _strings(texts: pa.Array) -> list[str]:
+    return texts.to_numpy(zero_copy_only=False).tolist()
 
-    All pieces but the first had a space before them, or start with their line end. Texts with other or
-    doubled white space are cut at spaces alone.
+
+def pieces(texts: pa.Array) -> pa.ListArray:
+    """The texts cut at their safe spaces and line ends.
+
+    A piece that is not the first of its text had a space before it, unless it starts with white space itself.
     """
-    if any(x in text for x in PAIRS) or any(x in text for x in OTHER_SPACES) or text[:1].isspace() or text[-1:].isspace():
-        return CUT.split(text)
-    return text.replace("\n", " \n").split(" ")
+    odd = pc.match_substring_regex(texts, ODD)
+    plain = pc.split_pattern(pc.replace_substring(texts.filter(pc.invert(odd)), "\n", " \n"), " ")
+    if not pc.any(odd).as_py():
+        return plain
+    others = pa.array([RUN.split(text) for text in _strings(texts.filter(odd))], plain.type)
+    order = np.argsort(np.argsort(odd.to_numpy(zero_copy_only=False), kind="stable"), kind="stable")
+    return pa.concat_arrays([plain, others]).take(pa.array(order))
 
 
-#: Below this, every version of Unicode has the same letters.
-OLD_LETTERS = "\u0250"
+#: Letters after at most one line end; below U+0250 every version of Unicode has the same letters.
+LETTERS = r"\A\n?[A-Za-zªµºÀ-ÖØ-öø-ɏ]+\z"
 #: What may follow the letters of a word without joining them.
 TAIL = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~"
 
@@ -63,73 +78,141 @@ def units(word: str) -> list[str]:
     return found
 
 
+class Ragged(NamedTuple):
+    """Rows of numbers, one after the other, and how many each row has."""
+
+    values: np.ndarray
+    sizes: np.ndarray
+
+    def rows(self, pick: np.ndarray) -> Ragged:
+        """The picked rows, in that order."""
+        starts = np.cumsum(self.sizes, dtype=np.int32) - self.sizes
+        sizes = self.sizes[pick]
+        skip = starts[pick] - (np.cumsum(sizes, dtype=np.int32) - sizes)
+        return Ragged(self.values[np.repeat(skip, sizes) + np.arange(sizes.sum(), dtype=np.int32)], sizes)
+
+    def __add__(self, more: Ragged) -> Ragged:
+        return Ragged(np.concatenate([self.values, more.values]), np.concatenate([self.sizes, more.sizes]))
+
+
+def _ragged(rows: list[list[int]]) -> Ragged:
+    sizes = np.fromiter(map(len, rows), dtype=np.int32, count=len(rows))
+    return Ragged(np.fromiter(chain.from_iterable(rows), dtype="<u4", count=int(sizes.sum())), sizes)
+
+
+def _places(words: pa.Array, known: pa.Array) -> np.ndarray:
+    """Where each word stands among the known ones; -1 if it does not."""
+    return pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy(zero_copy_only=False)
+
+
 class PieceEncoder:
     """Ids of texts as little-endian unsigned 32-bit numbers.
 
-    Remembers words of at most ``longest`` characters in two generations: when the younger holds more than
-    ``keep``, it becomes the older one, and what is not asked for again goes with the next change. Special strings inside a text are treated as the library's
-    default does; none are added.
+    Only the distinct pieces of the texts given together are looked up, and what is not remembered is encoded: letters
+    straight by the library's model, all else by the library as a whole. Remembers ``keep`` pieces of at most ``longest``
+    characters, those last asked for, as one string array and one number array. Special strings inside a text are treated as
+    the library's default does; none are added.
     """
 
     def __init__(self, path: str, keep: int = 250_000, longest: int = 40) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
+        from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
 
         self._library = Tokenizer.from_file(path)
-        # Letters after a space are one pre-token, so the library need not look for its ends again.
-        self._letters = Tokenizer.from_file(path)
-        self._letters.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        # Letters after a space are one pre-token: the same model gets them as such, in the letters that stand for bytes.
+        self._letters = Tokenizer(self._library.model)
+        self._letters.pre_tokenizer = WhitespaceSplit()
+        low = "".join(map(chr, [10, *range(32, 0x250)]))
+        shown = "".join(x for x, _ in ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(low))
+        self._shown = np.zeros(256, dtype="<u4")
+        self._shown[np.frombuffer(low.encode(), dtype=np.uint8)] = [ord(c) for c in shown]
+        self._shown[0] = ord(" ")  # between two pre-tokens
         self.vocabulary = self._library.get_vocab_size()
+        names = (self._library.id_to_token(i) or "" for i in range(self.vocabulary))
+        #: Tokens with a space or line end in front: of letters, only the first has one.
+        self._starts = np.array([name[:1] in (shown[0], shown[1]) for name in names])
+        self._marks = [t.content for t in self._library.get_added_tokens_decoder().values()]
         self._keep, self._longest = keep, longest
-        self._words: dict[str, bytes] = {}  # ids of a piece with the space or line end before it
-        self._old: dict[str, bytes] = {}
-        marks = [re.escape(t.content) for t in self._library.get_added_tokens_decoder().values()]
-        self._mark = re.compile("|".join(marks) or "(?!)")
-
-    def _encode(self, texts: list[str], letters: bool = False) -> list[bytes]:
-        library = self._letters if letters else self._library
-        found = library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
-
-    def _learn(self, new: set[str]) -> dict[str, bytes]:
-        """The ids of pieces that are not remembered; the units of short ones are from now on."""
-        words, old = self._words, self._old
-        # One search over all pieces; none of them holds the character between them.
-        mark = self._mark.search if self._mark.search("\0".join(new)) else None
-        cut = {w: [w if w[0] == "\n" else " " + w] if mark and mark(w) else units(w) for w in new}
-        ids: dict[str, bytes | None] = {}
-        for parts in cut.values():
-            for unit in parts:
-                if unit not in ids:
-                    key = unit[1:] if unit[0] == " " else unit
-                    ids[unit] = (words.get(key) or old.get(key)) if unit[0] in " \n" else None
-        todo = [unit for unit, x in ids.items() if x is None]
-        plain = [u for u in todo if u[0] == " " and u[1:].isalpha() and max(u) < OLD_LETTERS]
-        ids.update(zip(plain, self._encode(plain, letters=True), strict=True))
-        rest = list(set(todo).difference(plain))
-        ids.update(zip(rest, self._encode(rest), strict=True))
-        for unit in plain:
-            if len(unit) <= self._longest:
-                words[unit[1:]] = ids[unit]
-        return {w: ids[parts[0]] if len(parts) == 1 else b"".join([ids[u] for u in parts]) for w, parts in cut.items()}
+        self._words, self._ids = pa.array([], pa.string()), _ragged([])
+
+    def _encode(self, texts: list[str]) -> Ragged:
+        found = _ragged([])
+        for at in range(0, len(texts), BATCH):
+            coded = self._library.encode_batch_fast(texts[at : at + BATCH], add_special_tokens=False)
+            found += _ragged([x.ids for x in coded])
+        return found
+
+    def _encode_letters(self, words: list[str]) -> Ragged:
+        """Ids of words of letters, each after a space or a line end."""
+        found = _ragged([])
+        for at in range(0, len(words), BATCH):
+            # A line end is a pre-token of its own.
+            spaced = [w.replace("\n", "\n\0") if w[0] == "\n" else " " + w for w in words[at : at + BATCH]]
+            data = np.frombuffer("\0".join(spaced).encode(), dtype=np.uint8)
+            text = self._shown[data].tobytes().decode("utf-32-le")
+            ids = np.array(self._letters.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            starts = np.flatnonzero(self._starts[ids])
+            found += Ragged(ids, np.diff(starts, append=len(ids)).astype(np.int32))
+        return found
+
+    def _learn(self, new: pa.Array) -> tuple[pa.Array, Ragged, np.ndarray]:
+        """What is remembered together with the new pieces, and where each of these stands in it."""
+        words, ids = self._words, self._ids
+        unit = pc.ascii_rtrim(new, characters=TAIL)
+        plain = pc.match_substring_regex(unit, LETTERS)
+        for mark in self._marks:
+            plain = pc.and_not(plain, pc.match_substring(new, mark))
+        coded = unit.filter(plain).dictionary_encode()
+        at = _places(coded.dictionary, words).copy()
+        missing = at < 0
+        at[missing] = len(words) + np.arange(missing.sum())
+        learnt = coded.dictionary.filter(pa.array(missing))
+        words, ids = pa.concat_arrays([words, learnt]), ids + self._encode_letters(_strings(learnt))
+        plain = plain.to_numpy(zero_copy_only=False)
+        place = np.empty(len(new), dtype=np.int32)
+        place[plain] = at[coded.indices.to_numpy()]
+        longer = plain & (pc.binary_length(new).to_numpy() > pc.binary_length(unit).to_numpy())
+        whole, head = new.filter(pa.array(longer)), unit.filter(pa.array(longer))
+        tails = pa.array([w[len(h) :] for w, h in zip(_strings(whole), _strings(head), strict=True)], pa.string())
+        tails = tails.dictionary_encode()
+        both = np.stack([place[longer], len(words) + tails.indices.to_numpy()], axis=1).ravel()
+        both = (ids + self._encode(_strings(tails.dictionary))).rows(both)
+        rest = new.filter(pa.array(~plain))
+        place[longer] = len(words) + np.arange(len(whole))
+        place[~plain] = len(words) + len(whole) + np.arange(len(rest))
+        words = pa.concat_arrays([words, whole, rest])
+        ids += Ragged(both.values, both.sizes.reshape(-1, 2).sum(axis=1, dtype=np.int32))
+        ids += self._encode([w if w[0].isspace() else " " + w for w in _strings(rest)])
+        return words, ids, place
+
+    def _remember(self, words: pa.Array, ids: Ragged, asked: np.ndarray) -> None:
+        """Keeps the pieces that were asked for or learnt last, then those from before."""
+        last = np.zeros(len(words), dtype=bool)
+        last[asked] = last[len(self._words) :] = True
+        order = np.argsort(~last, kind="stable")
+        short = pc.less_equal(pc.utf8_length(words), self._longest).to_numpy(zero_copy_only=False)
+        order = order[short[order]][: self._keep]
+        self._words, self._ids = words.take(pa.array(order)), ids.rows(order)
+
+    def encode_flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each text's ids begin; at last, where all end."""
+        parts = pieces(texts)
+        ends, parts = parts.offsets.to_numpy(), parts.values
+        first = np.zeros(len(parts), dtype=bool)
+        first[ends[:-1]] = True
+        heads, coded = parts.filter(pa.array(first)).dictionary_encode(), parts.filter(pa.array(~first)).dictionary_encode()
+        at = _places(coded.dictionary, self._words).copy()
+        words, ids, place = self._learn(coded.dictionary.filter(pa.array(at < 0)))
+        at[at < 0] = place
+        pick = np.empty(len(parts), dtype=np.int32)
+        pick[~first] = at[coded.indices.to_numpy()]
+        pick[first] = len(words) + heads.indices.to_numpy()
+        found = (ids + self._encode(_strings(heads.dictionary))).rows(pick)
+        self._remember(words, ids, at)
+        done = np.concatenate([[0], np.cumsum(found.sizes, dtype=np.int64)])
+        return found.values, done[ends]
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
-        cut = [pieces(text) for text in texts]
-        seen = set()
-        for parts in cut:
-            seen.update(parts[1:])
-        words, old = self._words, self._old
-        new = seen.difference(words)
-        for w in new.intersection(old) if old else ():
-            words[w] = old[w]
-        learnt = self._learn(new.difference(words))
-        words.update(learnt)
-        heads = self._encode([parts[0] for parts in cut])
-        ids = [head + b"".join(map(words.__getitem__, p[1:])) for head, p in zip(heads, cut, strict=True)]
-        for w in learnt:
-            if len(w) > self._longest:
-                del words[w]
-        if len(words) > self._keep:
-            self._words, self._old = {}, words
-        return ids
+        ids, ends = self.encode_flat(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in pairwise(ends.tolist())]
