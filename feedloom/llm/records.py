@@ -20,23 +20,30 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import slices, text_of
+from feedloom.llm.common import text_of
 from feedloom.llm.tokens import PieceEncoder
 
 MASK = 0xA282EAD8
 HEAD = struct.Struct("<QI")
 TAIL = struct.Struct("<I")
 LEAD = struct.Struct("<BBq")
-SLICE = 8_000_000  # characters encoded at once
+SLICE = 4_000_000  # bytes of text encoded, or of ids read, at once
+ROW = 16  # bytes that a row counts beside its text
 
 MANIFEST = "part int, file string, records long, ids long, bytes long"
+MANIFEST_ARROW = pa.schema(
+    [("part", pa.int32()), ("file", pa.string()), ("records", pa.int64()), ("ids", pa.int64()), ("bytes", pa.int64())]
+)
 
 
 def masked(data: bytes) -> int:
@@ -80,38 +87,54 @@ def encoder(path: str) -> PieceEncoder:
     return _ENCODERS[path]
 
 
-def _write_part(batches: Iterator[pd.DataFrame], folder: str, tokenizer: str, end: bytes) -> Iterator[pd.DataFrame]:
+def _slabs(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.Table]:
+    """The rows dealt anew, about ``budget`` bytes of text at a time; a longer text is whole and alone."""
+    held, size = [], 0
+    for batch in batches:
+        start = 0
+        for at, n in enumerate(pc.binary_length(batch["text"]).to_pylist()):
+            if size and size + n > budget:
+                held.append(batch.slice(start, at - start))
+                yield pa.Table.from_batches(held)
+                held, size, start = [], 0, at
+            size += n + ROW
+        held.append(batch.slice(start))
+    if size:
+        yield pa.Table.from_batches(held)
+
+
+def _write_part(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end: list[int]) -> Iterator[pa.RecordBatch]:
     """One task: its rows as one record file and one index; yields their manifest row."""
     part, name = TaskContext.get().partitionId(), f"part-{uuid.uuid4().hex}"
     files = root = out = None
-    offsets, total, records = [0], 0, 0
+    offsets, total = [0], 0
     pieces = encoder(tokenizer)
     width = 2 if pieces.vocabulary <= 1 << 16 else 4
+    last = np.array(end, dtype=f"<u{width}").tobytes()
     try:
-        for batch in batches:
-            if out is None and len(batch):
+        for slab in _slabs(batches, SLICE):
+            if out is None:
                 files, root = _files(folder)
                 files.create_dir(root, recursive=True)
                 out = files.open_output_stream(f"{root}/{name}.rec")
-            start = 0
-            for texts in slices(batch["text"], SLICE):
-                ids = batch["id"].iloc[start : start + len(texts)]
-                start += len(texts)
-                for doc, found in zip(ids, pieces.encode(texts), strict=True):
-                    tokens = np.frombuffer(found + end, dtype="<u4")
-                    known = not pd.isna(doc)
-                    record = frame(LEAD.pack(width, known, int(doc) if known else 0) + tokens.astype(f"<u{width}").tobytes())
-                    out.write(record)
-                    offsets.append(offsets[-1] + len(record))
-                    total += len(tokens)
-                    records += 1
+            ids, ends = pieces.encode_flat(slab["text"].cast(pa.string()).combine_chunks())
+            ids = ids.astype(f"<u{width}")
+            for doc, (a, b) in zip(slab["id"].to_pylist(), pairwise(ends.tolist()), strict=True):
+                record = frame(LEAD.pack(width, doc is not None, doc or 0) + ids[a:b].tobytes() + last)
+                out.write(record)
+                offsets.append(offsets[-1] + len(record))
+            total += len(ids) + len(end) * len(slab)
+            del slab, ids
+            pa.default_memory_pool().release_unused()
     finally:
         if out is not None:
             out.close()
+    records = len(offsets) - 1
     if records:
         with files.open_output_stream(f"{root}/{name}.idx") as index:
             index.write(np.array(offsets, dtype="<u8").tobytes())
-        yield pd.DataFrame({"part": [part], "file": [name], "records": [records], "ids": [total], "bytes": [offsets[-1]]})
+        row = {"part": [part], "file": [name], "records": [records], "ids": [total], "bytes": [offsets[-1]]}
+        yield pa.RecordBatch.from_pydict(row, schema=MANIFEST_ARROW)
 
 
 def write_records(
@@ -131,12 +154,12 @@ def write_records(
         .repartitionByRange("id", F.xxhash64("text"))
         .sortWithinPartitions("id", F.xxhash64("text"))
     )
-    end = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
+    end = [] if end_id is None else [end_id]
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _write_part(batches, folder, tokenizer, end)
 
-    manifest = ordered.mapInPandas(write, MANIFEST)
+    manifest = ordered.mapInArrow(write, MANIFEST)
     manifest.write.parquet(f"{folder}/manifest")
     return docs.sparkSession.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 

@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from feedloom.llm import records
 from feedloom.llm.queries import tokenizer_path
 from feedloom.llm.tokens import PieceEncoder
 
@@ -65,3 +66,13 @@ def test_ids_of_odd_texts_equal_the_library(keep):
     for texts in ([], [""], ["", ""], ["\n\n"], ["a"], [" a", ""], ["a b\n\nc", "d e", "", "f\ng"]):
         ids = [library.encode(x, add_special_tokens=False).ids for x in texts]
         assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == ids
+
+
+def test_slabs_keep_every_row_in_order():
+    texts = ["x" * n for n in (0, 5, 700, 0, 90, 40, 1200, 0, 0, 3)] * 9
+    table = pa.table({"id": pa.array(range(len(texts)), pa.int64()), "text": texts})
+    for rows, budget in ((1, 100), (7, 1000), (90, 300), (90, 10**6)):
+        slabs = list(records._slabs(iter(table.to_batches(max_chunksize=rows)), budget))
+        assert pa.concat_tables(slabs).to_pydict() == table.to_pydict()
+        assert all(s.num_rows == 1 or s["text"].nbytes <= budget + 16 * s.num_rows for s in slabs)
+    assert list(records._slabs(iter([]), 100)) == []
