@@ -45,9 +45,11 @@ def _same_link():
 
 
 def _pages(spark, sf_dir, rule, item, before="", after=""):
-    items = table(spark, sf_dir, "orders").select(_site().alias("feed_name"), "o_orderkey", item.alias("item"))
+    """Pages of twenty orders. Orders are spread as they are and written where they lie: their markup is many times as large."""
+    orders = table(spark, sf_dir, "orders").withColumn("feed_name", _site())
     return (
-        spread(items, "feed_name")
+        spread(orders, "feed_name")
+        .select("feed_name", "o_orderkey", item.alias("item"))
         .groupBy("feed_name")
         .agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "item"))).alias("found"))
         .select(
@@ -262,9 +264,10 @@ def _listing_bodies(spark, sf_dir):
         F.when(_key() % 11 != 0, _text("posts/", _key_text())).alias("s3Key"),
         F.when(_key() % 7 == 0, " ").otherwise(_text(_title(), " &amp; more")).alias("title"),
     )
-    rows = table(spark, sf_dir, "orders").select(_site().alias("feed_name"), "o_orderkey", row.alias("r"))
+    orders = table(spark, sf_dir, "orders").withColumn("feed_name", _site())
     return (
-        spread(rows, "feed_name")
+        spread(orders, "feed_name")
+        .select("feed_name", "o_orderkey", row.alias("r"))
         .groupBy("feed_name")
         .agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "r"))).alias("found"))
         .select("feed_name", F.to_json(F.transform("found", lambda x: x["r"])).alias("body"))
@@ -429,7 +432,8 @@ WALKED = {
 
 
 def _named(df, rule):
-    return df.withColumn("feed_name", _text(rule, ":", F.col("feed_name")))
+    # A name that cannot be NULL: no rule gets a filter of its own below its shuffle of orders, so the rules share shuffles.
+    return df.withColumn("feed_name", F.format_string(f"{rule}:%s", "feed_name"))
 
 
 @query(

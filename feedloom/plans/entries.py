@@ -101,12 +101,15 @@ def choose_entries(candidates: DataFrame) -> DataFrame:
     undated_last = (F.col("dedupe") == "first_dated") & F.col("published").isNull()
     rows = candidates.where(F.col("usable") & (F.col("valid") | seen))
 
-    place = F.struct("page_no", "section", "pos", "collection_id")
-    payload = F.struct("rule_id", "title", "description", "category", "published", "valid")
-    # Two snapshots of one page can show different texts in one place; the hash decides.
-    tie = F.xxhash64("title", "description", "category", "published")
-    rank = F.struct(F.col("page_no"), undated_last, F.col("section"), F.col("pos"), F.col("collection_id"), tie)
-    chosen = rows.groupBy("feed_name", "link").agg(F.min_by(payload, rank).alias("w"), F.min(place).alias("at"))
+    # The winner is the least of its place and then its texts (two snapshots of one page can show different texts in one
+    # place), so that each value goes through the sort and the shuffle once.
+    texts = ["title", "description", "category", "published", "rule_id", "valid"]
+    whole = F.struct("page_no", undated_last.alias("undated"), "section", "pos", "collection_id", *texts)
+    # Only a dated winner can stand behind the first row of its link.
+    number = lambda row: arrival(row["page_no"], row["section"], row["pos"])
+    here = {c: F.col(c) for c in ("page_no", "section", "pos")}
+    first = F.min_by(number(here), F.when(F.col("dedupe") == "first_dated", F.struct(*here)))
+    chosen = rows.groupBy("feed_name", "link").agg(F.min(whole).alias("w"), first.alias("at"))
     return chosen.where("w.valid").select(
         "feed_name",
         "w.rule_id",
@@ -115,7 +118,7 @@ def choose_entries(candidates: DataFrame) -> DataFrame:
         "w.description",
         "w.category",
         "w.published",
-        arrival(F.col("at.page_no"), F.col("at.section"), F.col("at.pos")).alias("seq"),
+        F.least(number(F.col("w")), "at").alias("seq"),
     )
 
 
@@ -152,18 +155,30 @@ def crawl_candidates(candidates: DataFrame, pages: DataFrame, page_limit: int |
 
 
 def with_details(
-    entries: DataFrame, details: DataFrame, order: Sequence[str] = (), rules: DataFrame | None = None
+    entries: DataFrame,
+    details: DataFrame,
+    order: Sequence[str] = (),
+    rules: DataFrame | None = None,
+    placed: bool = False,
 ) -> DataFrame:
     """Entries and what their own pages say: detail_date, detail_text.
 
     ``rules`` holds ``detail`` and ``date_patterns`` by rule; without it they are columns of the entries.
     Bodies meet the entries before they are read and are read where they meet; only dates and texts go on.
     Of several pages of one link the first by ``order`` counts, as a whole; ties go by a hash of the body.
-    Bodies of links without an entry are not read, nor are those that do not count.
+    Bodies of links without an entry are not read, nor are those that do not count. ``placed`` entries lie by feed and
+    link, as de-duplication leaves them: bodies are brought to them, and they are not shuffled again.
     """
-    bodies = details.select("feed_name", "link", F.col("html").alias("detail_html"), F.struct(*order, F.xxhash64("html")).alias("rank"))
     key = ["feed_name", "link"]
-    asked = first_by(dealt(entries, *key).join(dealt(bodies, *key), key, "left"), ["rank"])
+    ranks = {f"_rank{n}": F.col(c) for n, c in enumerate(order)}
+    bodies = details.select(*key, F.col("html").alias("detail_html"), *[c.alias(n) for n, c in ranks.items()])
+    if placed:  # a fixed number again, so that AQE leaves these costly rows as they are
+        bodies = bodies.repartition(int(details.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
+    else:
+        entries, bodies = dealt(entries, *key), dealt(bodies, *key)
+    met = entries.join(bodies, key, "left")
+    # The hash that breaks ties is worked out behind the shuffle.
+    asked = first_by(met, [*ranks, F.xxhash64("detail_html")]).drop(*ranks)
     if rules is None:
         asked = with_shapes(asked)
     else:  # after the shuffle, which the programs need not go through
@@ -234,7 +249,7 @@ def resolve_entries(
         book = book.unionByName(json_rule(spark))
     if details is not None:
         readings = book.select("rule_id", "date_patterns", "detail")
-        fresh = with_details(fresh, details, rules=readings).withColumns(
+        fresh = with_details(fresh, details, rules=readings, placed=True).withColumns(
             {
                 "published": F.coalesce("detail_date", "published"),
                 "description": F.coalesce(text.null_if_blank(F.col("detail_text")), "description"),

@@ -37,13 +37,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def dealt(df: DataFrame, *keys: str) -> DataFrame:
+def dealt(df: DataFrame, *keys: str, wide: bool = False) -> DataFrame:
     """Rows in as many partitions as keep all cores busy to the end: a fixed number, which stays as it is.
 
     Pages are small in bytes but costly to walk. Files, and AQE, which gathers shuffled rows by size, would leave
-    some of the cores without work.
+    some of the cores without work. ``wide`` rows, which are sorted where they arrive, lie in as many partitions as other
+    shuffles have if these are more, so that a large table's partitions are sorted in memory.
     """
-    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, *keys)
+    spark = df.sparkSession
+    parts = 4 * spark.sparkContext.defaultParallelism
+    return df.repartition(max(parts, int(spark.conf.get("spark.sql.shuffle.partitions"))) if wide else parts, *keys)
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
