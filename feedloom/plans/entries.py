@@ -102,23 +102,34 @@ def choose_entries(candidates: DataFrame) -> DataFrame:
     rows = candidates.where(F.col("usable") & (F.col("valid") | seen))
 
     # The winner is the least of its place and then its texts (two snapshots of one page can show different texts in one
-    # place), so that each value goes through the sort and the shuffle once.
-    texts = ["title", "description", "category", "published", "rule_id", "valid"]
-    whole = F.struct("page_no", undated_last.alias("undated"), "section", "pos", "collection_id", *texts)
+    # place), so that each value goes through the sort and the shuffle once, in few words: two numbers are the place, and
+    # a description that repeats the title is a flag.
+    spot = F.shiftleft(F.col("section").cast("bigint"), 32) + F.col("pos")
+    same = F.col("description").eqNullSafe(F.col("title"))
+    whole = F.struct(
+        (F.col("page_no").cast("bigint") * 2 + F.coalesce(undated_last, F.lit(False)).cast("int")).alias("page"),
+        spot.alias("spot"),
+        "collection_id",
+        "title",
+        F.when(~same, F.col("description")).alias("description"),
+        "category",
+        "published",
+        "rule_id",
+        (F.col("valid").cast("int") + 2 * same.cast("int")).alias("flags"),
+    )
     # Only a dated winner can stand behind the first row of its link.
-    number = lambda row: arrival(row["page_no"], row["section"], row["pos"])
-    here = {c: F.col(c) for c in ("page_no", "section", "pos")}
-    first = F.min_by(number(here), F.when(F.col("dedupe") == "first_dated", F.struct(*here)))
+    here = F.when(F.col("dedupe") == "first_dated", F.struct("page_no", spot))
+    first = F.min_by(arrival(F.col("page_no"), F.col("section"), F.col("pos")), here)
     chosen = rows.groupBy("feed_name", "link").agg(F.min(whole).alias("w"), first.alias("at"))
-    return chosen.where("w.valid").select(
+    return chosen.where("w.flags % 2 = 1").select(
         "feed_name",
         "w.rule_id",
         "link",
         "w.title",
-        "w.description",
+        F.when(F.col("w.flags") >= 2, F.col("w.title")).otherwise(F.col("w.description")).alias("description"),
         "w.category",
         "w.published",
-        F.least(number(F.col("w")), "at").alias("seq"),
+        F.least(F.shiftleft(F.shiftright("w.page", 1), 40) + F.col("w.spot"), "at").alias("seq"),
     )
 
 

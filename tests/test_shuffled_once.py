@@ -106,6 +106,16 @@ def test_winner_and_place_do_not_depend_on_the_order_of_rows(spark):
             assert found == ([] if wanted is None else [wanted]), (order, found)
 
 
+def test_texts_and_numbers_come_back_as_they_were(spark):
+    rows = candidates(spark, [(3, 2, 9, "c", "t", None, True, "first_valid")]).drop("title", "description", "link", "valid")
+    texts = [("a", "a", True), ("a", "b", True), ("a", None, True), (None, "b", True), (None, None, True), ("", "", True), ("a", "a", None), ("x", "y", False)]
+    cases = spark.createDataFrame([(f"l{n}", *t) for n, t in enumerate(texts)], "link STRING, title STRING, description STRING, valid BOOLEAN")
+    for policy in ("first_valid", "first_seen", "first_dated", None):
+        chosen = plans.choose_entries(rows.withColumn("dedupe", F.lit(policy).cast("string")).crossJoin(cases)).collect()
+        found = sorted((r["link"], r["title"], r["description"], r["seq"]) for r in chosen)
+        assert found == [(f"l{n}", t, d, (3 << 40) + (2 << 32) + 9) for n, (t, d, v) in enumerate(texts) if v], policy
+
+
 def test_details_go_by_order_then_by_the_hash_of_the_body(spark):
     entry = "feed_name STRING, link STRING, rule_id STRING, date_patterns ARRAY<STRING>, detail STRING"
     program = plans.builtin_rules(spark).where("rule_id = 'note_links'").first()["detail"]
